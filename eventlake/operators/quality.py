@@ -125,7 +125,10 @@ def report(df: DataFrame, generated_at: str | None = None) -> DataFrame:
     if limits:
         tops = top_values(df, limits)
         metric = F.coalesce(*(F.when(F.col("column") == c, F.lit(names[c])) for c in limits))
-        parts.append(tops.select(metric.alias("metric"), _position("rank"), _object("value", "count")))
+        objects = [
+            F.when(F.col("column") == c, _object(F.col("value").cast(df.schema[c].dataType).alias(c), "count")) for c in limits
+        ]
+        parts.append(tops.select(metric.alias("metric"), _position("rank"), F.coalesce(*objects).alias("value")))
     if "year" in df.columns:
         years = yearly_counts(df)
         parts.append(years.select(F.lit("yearly_record_count").alias("metric"), F.lpad(F.col("year").cast("string"), 6, "0").alias("key"), _object("year", "count")))
@@ -145,8 +148,9 @@ def _position(rank: str) -> Column:
     return F.lpad(F.col(rank).cast("string"), 6, "0").alias("key")
 
 
-def _object(*columns: str) -> Column:
-    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value")
+def _object(*columns: str | Column) -> Column:
+    options = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    return F.to_json(F.struct(*columns), options).alias("value")
 
 
 def by_metric(report_df: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-BATCH_COLUMN = "batch_id"
+BATCH_COLUMN = "batch"
 
 _ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_TABLE_NOT_FOUND", "DELTA_MISSING_DELTA_TABLE"}
 
@@ -72,14 +72,16 @@ def write_table(
     return counted.get["rows"]
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> int:
+def write_batch(df: DataFrame, path: str, batch: str, fmt: str = "parquet") -> int:
     """Write one micro-batch under its own partition, replacing what an earlier attempt left there.
 
+    ``batch`` names the batch uniquely in the life of the table, e.g. stream id and batch number.
+
     A stream delivers a batch at least once; a replay overwrites its partition, so the table holds
     each batch exactly once.
     """
     counted = Observation()
-    tagged = df.observe(counted, F.count(F.lit(1)).alias("rows")).withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
+    tagged = df.observe(counted, F.count(F.lit(1)).alias("rows")).withColumn(BATCH_COLUMN, F.lit(batch))
     writer = tagged.write.format(fmt).mode("overwrite").partitionBy(BATCH_COLUMN)
     writer.option("partitionOverwriteMode", "dynamic").save(path)
     return counted.get["rows"]

@@ -39,18 +39,18 @@ def _sides(batch: DataFrame, passes) -> tuple[int, int]:
     return row["passed"], row["failed"]
 
 
-def write_raw_batch(batch: DataFrame, batch_id: int, raw_path: str, bad_path: str) -> None:
+def write_raw_batch(parsed: DataFrame, batch: str, raw_path: str, bad_path: str) -> None:
     """Route a parsed micro-batch to the raw table and the bad-records table; skip an empty side."""
-    with _kept(batch) as held:
+    with _kept(parsed) as held:
         good, bad = _sides(held, identified())
-        LOG.info("raw batch %s: good=%s bad=%s", batch_id, good, bad)
+        LOG.info("raw batch %s: good=%s bad=%s", batch, good, bad)
         if good:
-            write_batch(good_records(held), raw_path, batch_id)
+            write_batch(good_records(held), raw_path, batch)
         if bad:
-            write_batch(bad_records(held), bad_path, batch_id)
+            write_batch(bad_records(held), bad_path, batch)
 
 
-def upsert_batch(valid: DataFrame, batch_id: int, clean_path: str) -> int:
+def upsert_batch(valid: DataFrame, batch: str, clean_path: str) -> int:
     """Insert the records of a batch that the clean table does not hold yet; return how many.
 
     The batch's own partition is left out of the comparison: a replay after a crash decides as the
@@ -61,33 +61,43 @@ def upsert_batch(valid: DataFrame, batch_id: int, clean_path: str) -> int:
         rows = candidates.count()
         fresh = candidates
         if table_exists(spark, clean_path):
-            others = read_table(spark, clean_path).where(F.col(BATCH_COLUMN) != batch_id)
+            others = read_table(spark, clean_path).where(F.col(BATCH_COLUMN) != batch)
             fresh = new_records(candidates, others, batch_rows=rows)
-        return write_batch(fresh, clean_path, batch_id)
+        return write_batch(fresh, clean_path, batch)
 
 
-def write_clean_batch(batch: DataFrame, batch_id: int, clean_path: str, quarantine_path: str) -> None:
+def write_clean_batch(cleaned: DataFrame, batch: str, clean_path: str, quarantine_path: str) -> None:
     """Upsert the valid records of a micro-batch and quarantine the rest; skip an empty side."""
-    with _kept(conform(batch, SILVER_COLUMNS, "clean layer")) as held:
+    with _kept(conform(cleaned, SILVER_COLUMNS, "clean layer")) as held:
         valid, invalid = _sides(held, F.col("is_valid_record"))
-        LOG.info("clean batch %s: valid=%s invalid=%s", batch_id, valid, invalid)
+        LOG.info("clean batch %s: valid=%s invalid=%s", batch, valid, invalid)
         if valid:
-            inserted = upsert_batch(valid_records(held), batch_id, clean_path)
-            LOG.info("clean batch %s: inserted=%s", batch_id, inserted)
+            inserted = upsert_batch(valid_records(held), batch, clean_path)
+            LOG.info("clean batch %s: inserted=%s", batch, inserted)
         if invalid:
-            write_batch(quarantined_records(held), quarantine_path, batch_id)
+            write_batch(quarantined_records(held), quarantine_path, batch)
 
 
 def _start(
     stream: DataFrame,
-    write: Callable[[DataFrame, int], None],
+    write: Callable[[DataFrame, str], None],
     checkpoint: str,
     name: str,
     available_now: bool,
     processing_time: str,
 ) -> StreamingQuery:
-    require_utc(stream.sparkSession)
-    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).queryName(name)
+    spark = stream.sparkSession
+    require_utc(spark)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        # The query id lives in the checkpoint: the same after a restart, new with a new checkpoint.
+        # Batch numbers alone would start over and overwrite the batches of the former checkpoint.
+        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if query_id is None:
+            raise RuntimeError("the stream does not tell its query id")
+        write(batch, f"{query_id}-{batch_id}")
+
+    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).queryName(name)
     trigger = {"availableNow": True} if available_now else {"processingTime": processing_time}
     return writer.trigger(**trigger).start()
 
@@ -105,7 +115,7 @@ def start_raw_stream(
     """Parse a message stream and land it. With ``available_now`` it stops when the backlog is done."""
     return _start(
         parse_messages(messages),
-        lambda batch, batch_id: write_raw_batch(batch, batch_id, raw_path, bad_path),
+        lambda parsed, batch: write_raw_batch(parsed, batch, raw_path, bad_path),
         checkpoint,
         name,
         available_now,
@@ -126,7 +136,7 @@ def start_clean_stream(
     """Clean a stream of the raw layer and upsert it."""
     return _start(
         clean(raw),
-        lambda batch, batch_id: write_clean_batch(batch, batch_id, clean_path, quarantine_path),
+        lambda cleaned, batch: write_clean_batch(cleaned, batch, clean_path, quarantine_path),
         checkpoint,
         name,
         available_now,
