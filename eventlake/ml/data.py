@@ -60,11 +60,11 @@ def split(data: DataFrame, *, share: float = TRAIN_SHARE, seed: int = SEED, by_h
 def class_weights(train: DataFrame, label: str = "label") -> DataFrame:
     """Balanced weight per class: all rows / (number of classes * rows of the class). One row per class."""
     counts = train.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
-    totals = counts.agg(F.sum("count").alias("total"), F.count(F.lit(1)).alias("classes"))
-    # The totals are a single row.
-    weighed = counts.join(F.broadcast(totals), F.lit(True))
+    # One entry per class; the label is binary.
+    entries = F.collect_list(F.struct(label, "count"))
+    classes = counts.agg(F.sum("count").alias("total"), F.count(F.lit(1)).alias("classes"), entries.alias("entries"))
     weight = F.col("total") / (F.col("classes") * F.col("count"))
-    return weighed.select(label, "count", weight.alias("class_weight"))
+    return classes.select("total", "classes", F.inline("entries")).select(label, "count", weight.alias("class_weight"))
 
 
 def with_class_weights(train: DataFrame, weights: dict[float, float], label: str = "label") -> DataFrame:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import datetime, timezone
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,16 +22,30 @@ from eventlake.sources.tables import first_existing, read_table, require_rows, t
 from eventlake.streaming.jobs import start_clean_stream, start_raw_stream
 
 
-@dataclass(frozen=True)
-class Layout:
-    """Where the tables of one lakehouse live."""
-
-    root: str
-
-    def __getattr__(self, name: str) -> str:
-        if name.startswith("_"):
-            raise AttributeError(name)
-        return f"{self.root}/{name}"
+TABLES = (
+    "messages",
+    "raw",
+    "bad_records",
+    "clean",
+    "quarantine",
+    "features",
+    "daily_aggregates",
+    "state_aggregates",
+    "tsunami_risk",
+    "magnitude_predictions",
+    "tsunami_predictions",
+    "ml",
+    "reports",
+    "checkpoint_raw",
+    "checkpoint_clean",
+)
+
+
+class Layout(SimpleNamespace):
+    """Paths of the tables of one lakehouse, e.g. ``Layout(root).features``."""
+
+    def __init__(self, root: str) -> None:
+        super().__init__(root=root, **{name: f"{root}/{name}" for name in TABLES})
 
 
 def publish_csv(spark: SparkSession, csv_path: str, lake: Layout, *, topic: str = "events", max_rows: int = 0) -> None:

@@ -8,6 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventlake.operators.events import message_key, message_value
+from eventlake.schemas import EVENT_COLUMNS
+
 DIALECTS = {
     "spark": {"ms": "unix_millis(CAST(ts AS TIMESTAMP))", "kts": "CAST(ts AS TIMESTAMP)"},
     "duckdb": {"ms": "epoch_us(ts)//1000", "kts": "ts"},
@@ -60,3 +63,100 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def identified_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_events(spark, sf_dir).where(F.col("event_id").isNotNull())
+
+
+#: Two deliveries of the raw events. The second also repeats records of both at later offsets,
+#: some unchanged and some with another place, so with a known event id but a new natural key.
+DELIVERIES = """
+SELECT {columns}, kafka_topic, kafka_partition, kafka_offset, kafka_timestamp,
+  CASE WHEN kafka_timestamp < TIMESTAMP '2024-01-16 00:00:00' THEN 1 ELSE 2 END AS delivery
+FROM {raw}
+UNION ALL
+SELECT {columns}, kafka_topic, kafka_partition, kafka_offset + 1000000000 AS kafka_offset, kafka_timestamp, 2 AS delivery
+FROM {raw} WHERE kafka_offset % 101 = 0
+UNION ALL
+SELECT {moved}, kafka_topic, kafka_partition, kafka_offset + 2000000000 AS kafka_offset, kafka_timestamp, 2 AS delivery
+FROM {raw} WHERE kafka_offset % 103 = 0
+"""
+
+REGRESSION_PREDICTIONS = """
+SELECT event_id, magnitudo,
+  magnitudo + ((CAST(substr(event_id, 7) AS BIGINT) * 37) % 200 - 100) / 100 AS prediction
+FROM {features}
+"""
+
+SCORES = """
+SELECT event_id, CAST(tsunami AS DOUBLE) AS label,
+  ((CAST(substr(event_id, 7) AS BIGINT) * 7919) % 997) / 997 AS score
+FROM {features}
+"""
+
+CLASSIFICATION_PREDICTIONS = """
+SELECT event_id, label, score, CASE WHEN score >= 0.5 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction
+FROM {scores}
+"""
+
+RUNS = """
+SELECT 'run-' || CAST(event_id AS STRING) AS run_id,
+  CASE WHEN event_type IN ('click', 'view') THEN 'magnitude_regression' ELSE 'tsunami_classification' END AS experiment,
+  'FINISHED' AS status, {kts} AS start_time, {kts} + INTERVAL '1' MINUTE AS end_time,
+  'models/run-' || CAST(event_id AS STRING) AS artifact_uri,
+  event_type AS model_name, CAST(user_id % 10 AS STRING) AS max_depth,
+  CASE WHEN event_id % 13 = 0 THEN NULL ELSE value END AS rmse, value / 2 AS mae, 1 - value / 1000 AS r2,
+  CASE WHEN event_type IN ('click', 'view') THEN 'regression' ELSE 'classification' END AS model_family
+FROM {events}
+"""
+
+#: Payloads that are no event object, by message offset.
+BROKEN_PAYLOADS = {79: "'null'", 83: "'[]'", 89: "'{bad'", 107: "CAST(NULL AS STRING)"}
+
+
+def deliveries_sql(raw: str) -> str:
+    columns = ", ".join(EVENT_COLUMNS)
+    moved = ", ".join("place || 'moved' AS place" if c == "place" else c for c in EVENT_COLUMNS)
+    return DELIVERIES.format(raw=raw, columns=columns, moved=moved)
+
+
+def redelivered_sql(raw: str) -> str:
+    return REDELIVERED.format(raw=raw, columns=", ".join(EVENT_COLUMNS))
+
+
+def runs_sql(dialect: str, events: str = "{events}") -> str:
+    return RUNS.format(events=events, **DIALECTS[dialect])
+
+
+def broken_payload(offset: str, otherwise: str) -> str:
+    cases = " ".join(f"WHEN {offset} % {n} = 0 THEN {text}" for n, text in BROKEN_PAYLOADS.items())
+    return f"CASE {cases} ELSE {otherwise} END"
+
+
+def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(deliveries_sql("{raw}"), raw=raw_events(spark, sf_dir))
+
+
+def redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(redelivered_sql("{raw}"), raw=identified_events(spark, sf_dir))
+
+
+def as_messages(raw: DataFrame) -> DataFrame:
+    """Raw events as broker messages; some payloads are broken."""
+    value = raw.withColumn("payload", message_value())
+    return value.select(
+        F.col("kafka_topic").alias("topic"),
+        F.col("kafka_partition").alias("partition"),
+        F.col("kafka_offset").alias("offset"),
+        F.col("kafka_timestamp").alias("timestamp"),
+        message_key().cast("binary").alias("key"),
+        F.expr(broken_payload("kafka_offset", "payload")).cast("binary").alias("value"),
+    )
+
+
+def model_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = spark.sql(runs_sql("spark"), events=events_table(spark, sf_dir))
+    params = F.create_map(F.lit("model_name"), "model_name", F.lit("maxDepth"), "max_depth")
+    metrics = F.create_map(F.lit("rmse"), "rmse", F.lit("mae"), "mae", F.lit("r2"), "r2")
+    tags = F.create_map(F.lit("model_family"), "model_family", F.lit("mlflow.user"), F.lit("tester"))
+    return flat.select(
+        "run_id", "experiment", "status", "start_time", "end_time", "artifact_uri",
+        params.alias("params"), metrics.alias("metrics"), tags.alias("tags"),
+    )
