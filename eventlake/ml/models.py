@@ -12,6 +12,7 @@ from pyspark.ml.regression import (
     LinearRegression,
     RandomForestRegressor,
 )
+from pyspark.sql import DataFrame
 
 from eventlake.ml.data import CLASSIFICATION_FEATURES, REGRESSION_FEATURES, SEED
 
@@ -69,6 +70,16 @@ def build_pipeline(model_name: str, seed: int = SEED) -> Pipeline:
     return Pipeline(stages=[index, vector, estimator(model_name, seed)])
 
 
+def fit_stored(model_name: str, train: DataFrame, path: str, seed: int = SEED) -> PipelineModel:
+    """Fit, save and return the model as saved.
+
+    The fitted object itself keeps a training summary that refers to the session, which can make its
+    ``transform`` unserialisable once the session has observed a query. The saved model has none.
+    """
+    build_pipeline(model_name, seed).fit(train).write().overwrite().save(path)
+    return PipelineModel.load(path)
+
+
 def explain(fitted: PipelineModel, model_name: str) -> list[dict]:
     """Importance or coefficient per input, with the intercept for linear models."""
     model, inputs = fitted.stages[-1], input_columns(model_name)

@@ -50,13 +50,17 @@ def newest_runs(runs: DataFrame, limit: int = NEWEST_RUNS) -> DataFrame:
     return runs.withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_rank")
 
 
+def _keys_of(map_column: str) -> Column:
+    return F.transform(F.map_keys(map_column), lambda key: F.struct(F.lit(map_column).alias("map"), key.alias("key")))
+
+
 def run_summary(runs: DataFrame, limit: int = NEWEST_RUNS) -> DataFrame:
     """The newest runs per experiment with one ``param_``, ``metric_`` or ``tag_`` column per map key.
 
     Map keys are collected from the runs shown, a bounded number, to name the columns.
     """
     shown = newest_runs(runs, limit)
-    entries = [F.transform(F.map_keys(m), lambda k, m=m: F.struct(F.lit(m).alias("map"), k.alias("key"))) for m in _PREFIXES]
+    entries = [_keys_of(m) for m in _PREFIXES]
     keys = sorted((r["map"], r["key"]) for r in shown.select(F.inline(F.concat(*entries))).distinct().collect())
     keys = [(m, k) for m, k in keys if not (m == "tags" and k.startswith(SYSTEM_TAG_PREFIX))]
     flat = {f"{_PREFIXES[m]}_{k}": F.col(m)[k] for m, k in keys}

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from eventlake.ml.data import MIN_ROWS, SEED, TRAIN_SHARE, class_weights, split, with_class_weights
 from eventlake.ml.metrics import classification_metrics, confusion_matrix, curve_auc, regression_metrics
-from eventlake.ml.models import CLASSIFIERS, REGRESSORS, build_pipeline, explain, hyperparameters, input_columns
+from eventlake.ml.models import CLASSIFIERS, REGRESSORS, explain, fit_stored, hyperparameters, input_columns
 from eventlake.ml.runs import append_run, write_csv
 
 SAMPLE_ROWS = 100
@@ -110,12 +110,11 @@ def train(
         results = []
         for model_name in models or task.models:
             run_id, started = uuid.uuid4().hex, datetime.now(timezone.utc)
-            fitted = build_pipeline(model_name, seed).fit(train_part)
+            artifact = f"{folder}/models/{run_id}"
+            fitted = fit_stored(model_name, train_part, artifact, seed)
             predictions = fitted.transform(test_part).persist(StorageLevel.MEMORY_AND_DISK)
             held.append(predictions)
             metrics = evaluate(task, predictions)
-            artifact = f"{folder}/models/{run_id}"
-            fitted.write().overwrite().save(artifact)
             _write_diagnostics(task, f"{folder}/diagnostics/{run_id}", fitted, model_name, predictions)
             predictions.unpersist()
             append_run(

@@ -14,7 +14,7 @@ from eventlake.ml import data as ml_data
 from eventlake.ml import metrics as ml_metrics
 from eventlake.ml import runs as ml_runs
 from eventlake.ml.inference import predict
-from eventlake.ml.models import CLASSIFIERS, REGRESSORS, build_pipeline, explain
+from eventlake.ml.models import CLASSIFIERS, REGRESSORS, explain, fit_stored
 from eventlake.ml.training import CLASSIFICATION, REGRESSION, evaluate, train
 from eventlake.operators import bronze, events, gold, profile, quality, ranking, silver, upsert
 from eventlake.schemas import BRONZE_COLUMNS, RAW_COLUMNS, SILVER_COLUMNS
@@ -478,7 +478,7 @@ def _model(name: str) -> Query:
         if task is CLASSIFICATION:
             weights = {r["label"]: r["class_weight"] for r in ml_data.class_weights(train_part).collect()}
             train_part = ml_data.with_class_weights(train_part, weights)
-        fitted = build_pipeline(name).fit(train_part.persist())
+        fitted = fit_stored(name, train_part.persist(), scratch_path(spark, "model"))
         scores = evaluate(task, fitted.transform(test_part))
         rows = [("metric", m, float(v)) for m, v in scores.items()]
         rows += [("input", e["feature"], e.get("importance", e.get("coefficient"))) for e in explain(fitted, name)]
