@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Summary size and the prefix of tags that belong to the tracking system.
 NEWEST_RUNS = 100
 SYSTEM_TAG_PREFIX = "mlflow."
 
-RUN_SCHEMA = T.StructType.fromDDL(
+RUN_SCHEMA = (
     "run_id string, experiment string, status string, start_time timestamp, end_time timestamp, artifact_uri string, "
     "params map<string,string>, metrics map<string,double>, tags map<string,string>"
 )

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.session import BROADCAST_ROWS, SALTS
+from eventlake.session import BROADCAST_ROWS, HOT_KEYS, SALTS
 
-_SALT = "_salt"
+_SALT, _HOT = "_salt", "_hot"
 
 
 def join_unique(
@@ -20,15 +20,26 @@ def join_unique(
     how: str = "left",
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Join ``facts`` with ``keyed``, which holds each key once and ``keyed_rows`` rows in all.
+    """Join ``facts`` with ``keyed``, which holds each key once and at most ``keyed_rows`` rows.
 
     Up to ``broadcast_rows`` the keyed side is broadcast and the facts are not shuffled. Beyond, both
-    sides shuffle on the key plus a salt: the rows of a hot key spread over ``SALTS`` tasks, and each
-    meets its own copy of the single matching row. The salt is a hash of ``spread_by``, so a task that
-    is run again places its rows as before.
+    sides shuffle on the key, and the most frequent keys of the facts are salted: their rows spread
+    over ``SALTS`` tasks, each with its own copy of the one matching row. Only ``HOT_KEYS`` keys are
+    copied; any other key holds less than one ``HOT_KEYS``-th of the facts. Rows without a key match
+    nothing and are spread too. The salt is a hash of ``spread_by``, so a task that is run again
+    places its rows as before.
     """
     if keyed_rows <= broadcast_rows:
         return facts.join(F.broadcast(keyed), key, how)
-    salted = facts.withColumn(_SALT, F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
-    copies = keyed.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+    frequency = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    # Ordered by key as well: the set must be the same wherever it is evaluated.
+    hot = frequency.orderBy(F.desc("_n"), key).limit(HOT_KEYS).select(key, F.lit(True).alias(_HOT))
+
+    spread = F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")
+    salt = F.when(F.col(_HOT) | F.col(key).isNull(), spread).otherwise(0)
+    salted = facts.join(F.broadcast(hot), key, "left").withColumn(_SALT, salt).drop(_HOT)
+
+    last_copy = F.when(F.col(_HOT), SALTS - 1).otherwise(0)
+    copies = keyed.join(F.broadcast(hot), key, "left").withColumn(_SALT, F.explode(F.sequence(F.lit(0), last_copy))).drop(_HOT)
     return salted.join(copies, [key, _SALT], how).drop(_SALT)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -60,18 +61,29 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], quantiles: dict[str,
     return placed.groupBy("column").agg(*picked).select("column", *interpolated)
 
 
-def numeric_profile(df: DataFrame, columns: Sequence[str] = PROFILE_COLUMNS, digits: int = 2) -> DataFrame:
+def numeric_profile(
+    df: DataFrame,
+    columns: Sequence[str] = PROFILE_COLUMNS,
+    digits: int = 2,
+    *,
+    accuracy: int | None = None,
+) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum per column, rounded.
 
-    A column without any value has count 0 and NULL elsewhere.
+    A column without any value has count 0 and NULL elsewhere. With an ``accuracy`` the quartiles are
+    approximate (rank error 1 / accuracy) and come from the same single pass as the rest.
     """
     measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    if accuracy is not None:
+        measures |= {n: lambda x, q=q: F.percentile_approx(x, q, accuracy) for n, q in QUARTILES.items()}
     flat = df.agg(*(f(_known(c)).alias(f"{m}_{i}") for i, c in enumerate(columns) for m, f in measures.items()))
     per_column = [
         F.struct(F.lit(c).alias("column"), *(F.col(f"{m}_{i}").alias(m) for m in measures)) for i, c in enumerate(columns)
     ]
     moments = flat.select(F.inline(F.array(*per_column)))
-    joined = moments.join(F.broadcast(exact_quantiles(df, columns, QUARTILES)), "column", "left")
+    joined = moments
+    if accuracy is None:
+        joined = moments.join(F.broadcast(exact_quantiles(df, columns, QUARTILES)), "column", "left")
     rounded = [F.round(c, digits).alias(c) for c in ["mean", "std", "min", *QUARTILES, "max"]]
     return joined.select("column", "count", *rounded)
 
@@ -106,6 +118,8 @@ def histogram(df: DataFrame, columns: Sequence[str] = HISTOGRAM_COLUMNS, bins: i
     limits = {}
     for i, c in enumerate(columns):
         low, high = ranges[f"lo_{i}"], ranges[f"hi_{i}"]
+        if low == -math.inf or high == math.inf:
+            raise ValueError(f"{c}: no equal-width bins over infinite values")
         if low is not None:
             limits[c] = (low - 0.5, high + 0.5) if low == high else (low, high)
     if not limits:
@@ -113,7 +127,8 @@ def histogram(df: DataFrame, columns: Sequence[str] = HISTOGRAM_COLUMNS, bins: i
 
     def bin_of(c: str) -> Column:
         low, high = limits[c]
-        return F.least(F.floor((_known(c) - F.lit(low)) / F.lit(high - low) * bins), F.lit(bins - 1)).cast("int")
+        number = F.floor((_known(c) - F.lit(low)) / F.lit(high - low) * bins)
+        return F.when(number < bins, number).when(number >= bins, bins - 1).cast("int")
 
     pairs = [F.struct(F.lit(c).alias("column"), bin_of(c).alias("bin")) for c in limits]
     counted = df.select(F.inline(F.array(*pairs))).where("bin IS NOT NULL").groupBy("column", "bin").agg(F.count(F.lit(1)).alias("count"))

@@ -51,16 +51,16 @@ def new_records(
     is left is no larger than the batch. NULL keys match nothing.
     """
     small = batch_rows <= broadcast_rows
-    kept = batch
-    for key in (KEY, "event_id"):
-        stored = _already_stored(batch, target, key, small)
-        kept = join_unique(
-            kept,
-            stored,
-            key,
-            keyed_rows=batch_rows,
-            spread_by=KEY,
-            how="left_anti",
-            broadcast_rows=broadcast_rows,
-        )
-    return kept
+    by_key = _already_stored(batch, target, KEY, small)
+    kept = batch.join(F.broadcast(by_key) if small else by_key, KEY, "left_anti")
+    # The batch may repeat an event id, so this side can have hot keys.
+    by_id = _already_stored(batch, target, "event_id", small)
+    return join_unique(
+        kept,
+        by_id,
+        "event_id",
+        keyed_rows=batch_rows,
+        spread_by=KEY,
+        how="left_anti",
+        broadcast_rows=broadcast_rows,
+    )

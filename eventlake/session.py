@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Most rows that are ever broadcast. At roughly 150 bytes a row this stays under 80 MB per executor.
 BROADCAST_ROWS = 500_000
-#: Copies of the small side in a salted join, i.e. tasks that share one hot key.
+#: Keys treated as hot in a shuffled join, and the number of tasks that share one of them.
+HOT_KEYS = 1000
 SALTS = 32
 
 _UTC_NAMES = {"UTC", "ETC/UTC", "GMT", "ETC/GMT", "Z", "+00:00", "UTC+00:00", "ETC/UCT", "UCT", "ZULU"}
