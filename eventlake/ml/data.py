@@ -49,7 +49,10 @@ def in_train_part(id_column: str = "event_id", share: float = TRAIN_SHARE, seed:
 
 
 def split(data: DataFrame, *, share: float = TRAIN_SHARE, seed: int = SEED, by_hash: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Train and test part. ``by_hash=False`` uses ``randomSplit``, which depends on the partitioning."""
+    """Train and test part, both read from ``data``: hold it if it is costly to compute.
+
+    ``by_hash=False`` uses ``randomSplit``, which depends on the partitioning.
+    """
     if not by_hash:
         train, test = data.randomSplit([share, 1.0 - share], seed=seed)
         return train, test

@@ -85,11 +85,11 @@ def train(
     """Train, evaluate, save and log each model; the best comes first in the result.
 
     Below ``folder`` stand ``runs`` (the run table), ``models/<run id>`` and ``diagnostics/<run id>``.
-    The training part is held on executors because the estimators read it once per iteration.
+    The data is held on executors, once for both parts, because the estimators read it repeatedly.
     """
     spark = data.sparkSession
-    train_part, test_part = (p.persist(StorageLevel.MEMORY_AND_DISK) for p in split(data, share=share, seed=seed, by_hash=by_hash))
-    held = [train_part, test_part]
+    held = [data.persist(StorageLevel.MEMORY_AND_DISK)]
+    train_part, test_part = split(data, share=share, seed=seed, by_hash=by_hash)
     try:
         train_rows, test_rows = train_part.count(), test_part.count()
         if train_rows + test_rows < MIN_ROWS:

@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from eventlake.functions import uuid5_url
 from eventlake.schemas import EVENT_COLUMNS, RAW_COLUMNS
 
-_EDGE_SPACE = r"^\s+|\s+$"
+# The characters Unicode counts as white space, which Python's ``str.strip`` removes.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 _IDENTITY_FIELDS = ("time", "place", "date")
 
 
 def normalise(df: DataFrame) -> DataFrame:
     """Strip every raw column of surrounding white space and turn empty text into NULL."""
-    stripped = {c: F.nullif(F.regexp_replace(c, _EDGE_SPACE, ""), F.lit("")) for c in RAW_COLUMNS}
+    stripped = {c: F.nullif(F.btrim(F.col(c), F.lit(WHITE_SPACE)), F.lit("")) for c in RAW_COLUMNS}
     return df.withColumns(stripped)
 
 

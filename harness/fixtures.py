@@ -49,6 +49,27 @@ FROM {raw} WHERE kafka_offset % 101 = 0
 """
 
 
+def raw_sql(dialect: str, events: str = "{events}") -> str:
+    return RAW_EVENTS.format(events=events, **DIALECTS[dialect])
+
+
+def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(raw_sql("spark"), events=events_table(spark, sf_dir))
+
+
+#: A broker may deliver again: the same payload at a later offset.
+REDELIVERED = """
+SELECT * FROM {raw}
+UNION ALL
+SELECT {columns}, kafka_topic, kafka_partition, kafka_offset + 1000000000 AS kafka_offset, kafka_timestamp
+FROM {raw} WHERE kafka_offset % 101 = 0
+"""
+
+
 def raw_sql(dialect: str, events: str = "{events}") -> str:
     return RAW_EVENTS.format(events=events, **DIALECTS[dialect])
 
@@ -130,12 +151,12 @@ def broken_payload(offset: str, otherwise: str) -> str:
     return f"CASE {cases} ELSE {otherwise} END"
 
 
-def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(deliveries_sql("{raw}"), raw=raw_events(spark, sf_dir))
+def deliveries(raw: DataFrame) -> DataFrame:
+    return raw.sparkSession.sql(deliveries_sql("{raw}"), raw=raw)
 
 
-def redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(redelivered_sql("{raw}"), raw=identified_events(spark, sf_dir))
+def redelivered(raw: DataFrame) -> DataFrame:
+    return raw.sparkSession.sql(redelivered_sql("{raw}"), raw=raw)
 
 
 def as_messages(raw: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,14 +15,15 @@ from eventlake.ml import data as ml_data
 from eventlake.ml import metrics as ml_metrics
 from eventlake.ml import runs as ml_runs
 from eventlake.ml.inference import predict
-from eventlake.ml.models import CLASSIFIERS, REGRESSORS, explain, fit_stored
-from eventlake.ml.training import CLASSIFICATION, REGRESSION, evaluate, train
+from eventlake.ml.models import CLASSIFIERS, REGRESSORS, explain
+from eventlake.ml.training import CLASSIFICATION, REGRESSION, train
 from eventlake.operators import bronze, events, gold, profile, quality, ranking, silver, upsert
 from eventlake.schemas import BRONZE_COLUMNS, RAW_COLUMNS, SILVER_COLUMNS
-from eventlake.session import scratch_path
+from eventlake.session import scratch_path, written
 from eventlake.sources import csv_events, messages, tables
 from eventlake.streaming.jobs import start_clean_stream, start_raw_stream
 from harness import fixtures
+from harness.layers import clean_layer, feature_layer, raw_layer, source_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -39,21 +41,8 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.clean(fixtures.identified_events(spark, sf_dir))
-
-
-def features_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.feature_table(silver_table(spark, sf_dir))
-
-
-def features_without_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For queries that do not use the state index."""
-    return gold.with_feature_columns(gold.usable(silver_table(spark, sf_dir)))
-
-
 def risk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.tsunami_risk_set(features_table(spark, sf_dir))
+    return gold.tsunami_risk_set(feature_layer(spark, sf_dir))
 
 
 # -- events and messages ---------------------------------------------------------------------------
@@ -62,7 +51,7 @@ def risk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "csv")
-    fixtures.raw_events(spark, sf_dir).select(*RAW_COLUMNS, "source_file").write.option("header", True).option("escape", '"').csv(path)
+    source_rows(spark, sf_dir).select(*RAW_COLUMNS, "source_file").write.option("header", True).option("escape", '"').csv(path)
     return events.normalise(csv_events.scan_csv(spark, path).select(*RAW_COLUMNS))
 
 
@@ -71,7 +60,7 @@ def csv_row_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of a fixed number of rows in event order; each row carries its identity in ``place``."""
     path = scratch_path(spark, "csv")
     file_no = F.floor(F.col("kafka_offset") / ROWS_PER_CSV_FILE).alias("file_no")
-    raw = fixtures.raw_events(spark, sf_dir).withColumn("place", F.concat(F.lit("event-"), F.col("kafka_offset").cast("string")))
+    raw = source_rows(spark, sf_dir).withColumn("place", F.concat(F.lit("event-"), F.col("kafka_offset").cast("string")))
     placed = raw.select(*RAW_COLUMNS, "kafka_offset", file_no).repartition("file_no").sortWithinPartitions("file_no", "kafka_offset")
     placed.drop("kafka_offset").write.partitionBy("file_no").option("header", True).option("escape", '"').csv(path)
     return csv_events.read_csv_rows(spark, path).select("place", "row_number")
@@ -79,7 +68,7 @@ def csv_row_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def event_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events.normalise(fixtures.raw_events(spark, sf_dir)).select(*RAW_COLUMNS)
+    return events.normalise(source_rows(spark, sf_dir)).select(*RAW_COLUMNS)
 
 
 def _row_number():
@@ -88,14 +77,14 @@ def _row_number():
 
 @register
 def event_id_uuid5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = events.normalise(fixtures.raw_events(spark, sf_dir))
+    rows = events.normalise(source_rows(spark, sf_dir))
     identity = events.event_identity(F.col("source_file"), _row_number())
     return rows.select(_row_number().alias("row_number"), identity.alias("event_id"))
 
 
 @register
 def event_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = fixtures.raw_events(spark, sf_dir)
+    raw = source_rows(spark, sf_dir)
     return events.build_events(raw, row_number=_row_number(), ingested_at=F.lit("2024-01-01T00:00:00+00:00"))
 
 
@@ -120,7 +109,7 @@ def message_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bronze.parse_messages(fixtures.as_messages(fixtures.raw_events(spark, sf_dir)))
+    return bronze.parse_messages(fixtures.as_messages(source_rows(spark, sf_dir)))
 
 
 @register
@@ -138,32 +127,32 @@ def bronze_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_table(spark, sf_dir).select(*SILVER_COLUMNS)
+    return silver.clean(raw_layer(spark, sf_dir)).select(*SILVER_COLUMNS)
 
 
 @register
 def timestamp_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_table(spark, sf_dir).select("event_id", "event_timestamp")
+    return silver.clean(raw_layer(spark, sf_dir)).select("event_id", "event_timestamp")
 
 
 @register
 def date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_table(spark, sf_dir).select("event_id", "year", "month", "day", "hour")
+    return silver.clean(raw_layer(spark, sf_dir)).select("event_id", "year", "month", "day", "hour")
 
 
 @register
 def natural_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_table(spark, sf_dir).select("event_id", "record_natural_key")
+    return silver.clean(raw_layer(spark, sf_dir)).select("event_id", "record_natural_key")
 
 
 @register
 def quality_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_table(spark, sf_dir).select("event_id", *silver.PENALTIES, "is_valid_record")
+    return silver.clean(raw_layer(spark, sf_dir)).select("event_id", *silver.PENALTIES, "is_valid_record")
 
 
 @register
 def quality_score_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_table(spark, sf_dir).groupBy("quality_score").count()
+    return silver.clean(raw_layer(spark, sf_dir)).groupBy("quality_score").count()
 
 
 @register
@@ -178,16 +167,16 @@ def silver_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid = silver.valid_records(silver.clean(fixtures.redelivered(spark, sf_dir)))
+    valid = silver.valid_records(silver.clean(fixtures.redelivered(raw_layer(spark, sf_dir))))
     return upsert.first_per_key(valid).select(*SILVER_COLUMNS)
 
 
 @register
 def silver_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = fixtures.deliveries(spark, sf_dir).where("event_id IS NOT NULL")
-    valid = silver.valid_records(silver.clean(known))
-    target = upsert.first_per_key(valid.where("delivery = 1"))
-    batch = upsert.first_per_key(valid.where("delivery = 2"))
+    """The clean table after a second delivery: what it held, and what the upsert inserts."""
+    valid = silver.valid_records(silver.clean(fixtures.deliveries(raw_layer(spark, sf_dir))))
+    target = written(upsert.first_per_key(valid.where("delivery = 1")), "clean")
+    batch = written(upsert.first_per_key(valid.where("delivery = 2")), "candidates")
     inserted = upsert.new_records(batch, target, batch_rows=batch.count())
     return target.unionByName(inserted).select(*SILVER_COLUMNS)
 
@@ -197,22 +186,22 @@ def silver_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def gold_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features_table(spark, sf_dir)
+    return gold.feature_table(clean_layer(spark, sf_dir))
 
 
 @register
 def gold_state_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranking.frequency_index(gold.usable(silver_table(spark, sf_dir)), "state", "state_index")
+    return ranking.frequency_index(gold.usable(clean_layer(spark, sf_dir)), "state", "state_index")
 
 
 @register
 def gold_daily_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(gold.daily_aggregates(features_without_index(spark, sf_dir)), "avg_magnitude", "avg_depth")
+    return rounded(gold.daily_aggregates(feature_layer(spark, sf_dir)), "avg_magnitude", "avg_depth")
 
 
 @register
 def gold_state_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    states = gold.by_event_count(gold.state_aggregates(features_without_index(spark, sf_dir)))
+    states = gold.by_event_count(gold.state_aggregates(feature_layer(spark, sf_dir)))
     return rounded(states, "avg_magnitude", "avg_depth")
 
 
@@ -225,7 +214,7 @@ def gold_tsunami_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table after a partitioned overwrite, read back."""
     path = scratch_path(spark, "features")
-    features = features_table(spark, sf_dir)
+    features = gold.feature_table(clean_layer(spark, sf_dir))
     tables.write_table(features, path, partition_by=["year"])
     return tables.read_table(spark, path).select(*features.columns)
 
@@ -234,7 +223,7 @@ def gold_partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def append_added_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two appends, the second with a further column, read as one table."""
     path = scratch_path(spark, "appended")
-    clean_df = silver_table(spark, sf_dir)
+    clean_df = clean_layer(spark, sf_dir)
     tables.write_table(silver.quarantined_records(clean_df).select("event_id", "latitude"), path, mode="append")
     tables.write_table(silver.valid_records(clean_df).select("event_id", "latitude", "magnitudo"), path, mode="append")
     return tables.read_table(spark, path, merge_schema=True).select("event_id", "latitude", "magnitudo")
@@ -242,7 +231,7 @@ def append_added_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def class_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.class_distribution(features_without_index(spark, sf_dir))
+    return gold.class_distribution(feature_layer(spark, sf_dir))
 
 
 # -- quality report --------------------------------------------------------------------------------
@@ -250,18 +239,18 @@ def class_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def value_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.value_distribution(silver_table(spark, sf_dir), "place")
+    return quality.value_distribution(clean_layer(spark, sf_dir), "place")
 
 
 @register
 def value_distributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     limits = {**quality.DISTRIBUTION_LIMITS, "state": quality.TOP_STATES}
-    return quality.top_values(silver_table(spark, sf_dir), limits)
+    return quality.top_values(clean_layer(spark, sf_dir), limits)
 
 
 @register
 def null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.null_counts(silver_clean(spark, sf_dir))
+    return quality.null_counts(clean_layer(spark, sf_dir))
 
 
 def _scalars(df: DataFrame) -> DataFrame:
@@ -270,32 +259,32 @@ def _scalars(df: DataFrame) -> DataFrame:
 
 @register
 def quality_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scalars(silver_table(spark, sf_dir))
+    return _scalars(clean_layer(spark, sf_dir))
 
 
 @register
 def quality_scalars_raw_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scalars(fixtures.identified_events(spark, sf_dir).select(*BRONZE_COLUMNS))
+    return _scalars(raw_layer(spark, sf_dir).select(*BRONZE_COLUMNS))
 
 
 @register
 def yearly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.yearly_counts(silver_table(spark, sf_dir))
+    return quality.yearly_counts(clean_layer(spark, sf_dir))
 
 
 @register
 def top_magnitude(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.top_magnitude(silver_table(spark, sf_dir))
+    return quality.top_magnitude(clean_layer(spark, sf_dir))
 
 
 @register
 def top_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.value_distribution(silver_table(spark, sf_dir), "state", quality.TOP_STATES)
+    return quality.value_distribution(clean_layer(spark, sf_dir), "state", quality.TOP_STATES)
 
 
 @register
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.report(silver_clean(spark, sf_dir))
+    return quality.report(clean_layer(spark, sf_dir))
 
 
 # -- profiles --------------------------------------------------------------------------------------
@@ -303,59 +292,59 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def numeric_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.numeric_profile(features_without_index(spark, sf_dir), digits=6)
+    return profile.numeric_profile(feature_layer(spark, sf_dir), digits=6)
 
 
 @register
 def missing_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.missing_profile(silver_clean(spark, sf_dir))
+    return profile.missing_profile(clean_layer(spark, sf_dir))
 
 
 @register
 def histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(profile.histogram(features_without_index(spark, sf_dir)), "low", "high")
+    return rounded(profile.histogram(feature_layer(spark, sf_dir)), "low", "high")
 
 
 @register
 def category_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.category_shares(features_without_index(spark, sf_dir))
+    return profile.category_shares(feature_layer(spark, sf_dir))
 
 
 @register
 def hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.hourly_counts(features_without_index(spark, sf_dir))
+    return profile.hourly_counts(feature_layer(spark, sf_dir))
 
 
 @register
 def largest_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.largest_states(gold.state_aggregates(features_without_index(spark, sf_dir)))
+    return profile.largest_states(gold.state_aggregates(feature_layer(spark, sf_dir)))
 
 
 @register
 def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = gold.by_day(gold.daily_aggregates(features_without_index(spark, sf_dir)))
+    days = gold.by_day(gold.daily_aggregates(feature_layer(spark, sf_dir)))
     return rounded(days.select("date_day", "event_count", "avg_magnitude", "max_magnitude"), "avg_magnitude")
 
 
 @register
 def location_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.location_points(features_without_index(spark, sf_dir))
+    return profile.location_points(feature_layer(spark, sf_dir))
 
 
 @register
 def location_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(profile.location_grid(features_without_index(spark, sf_dir)), "avg_magnitude")
+    return rounded(profile.location_grid(feature_layer(spark, sf_dir)), "avg_magnitude")
 
 
 # -- models on derived prediction tables -----------------------------------------------------------
 
 
 def regression_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(fixtures.REGRESSION_PREDICTIONS, features=features_without_index(spark, sf_dir))
+    return spark.sql(fixtures.REGRESSION_PREDICTIONS, features=feature_layer(spark, sf_dir))
 
 
 def classification_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = spark.sql(fixtures.SCORES, features=features_without_index(spark, sf_dir))
+    scores = spark.sql(fixtures.SCORES, features=feature_layer(spark, sf_dir))
     return spark.sql(fixtures.CLASSIFICATION_PREDICTIONS, scores=scores)
 
 
@@ -377,7 +366,7 @@ def ideal_line(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def regression_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ml_data.regression_data(features_without_index(spark, sf_dir))
+    return ml_data.regression_data(feature_layer(spark, sf_dir))
 
 
 @register
@@ -438,7 +427,7 @@ def metric_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_streams(spark: SparkSession, sf_dir: str) -> str:
     """Two deliveries through both streams; each stream is stopped and restarted in between."""
     root = scratch_path(spark, "streams")
-    delivered = fixtures.deliveries(spark, sf_dir)
+    delivered = fixtures.deliveries(source_rows(spark, sf_dir))
     for delivery in (1, 2):
         sent = fixtures.as_messages(delivered.where(F.col("delivery") == delivery))
         messages.publish_folder(sent, f"{root}/messages", "seismic-events")
@@ -470,19 +459,14 @@ def _model(name: str) -> Query:
     """Metrics on the test part and importance or coefficient per input of one trained model."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = scratch_path(spark, "models")
         if name in REGRESSORS:
-            task, data = REGRESSION, regression_data(spark, sf_dir)
+            (result,) = train(REGRESSION, regression_data(spark, sf_dir), folder, models=[name])
         else:
-            task, data = CLASSIFICATION, classification_data(spark, sf_dir)
-        train_part, test_part = ml_data.split(data)
-        if task is CLASSIFICATION:
-            weights = {r["label"]: r["class_weight"] for r in ml_data.class_weights(train_part).collect()}
-            train_part = ml_data.with_class_weights(train_part, weights)
-        fitted = fit_stored(name, train_part.persist(), scratch_path(spark, "model"))
-        scores = evaluate(task, fitted.transform(test_part))
-        rows = [("metric", m, float(v)) for m, v in scores.items()]
+            (result,) = train(CLASSIFICATION, classification_data(spark, sf_dir), folder, models=[name])
+        fitted = PipelineModel.load(f"{folder}/models/{result['run_id']}")
+        rows = [("metric", m, v) for m, v in result.items() if isinstance(v, float)]
         rows += [("input", e["feature"], e.get("importance", e.get("coefficient"))) for e in explain(fitted, name)]
-        train_part.unpersist()
         return spark.createDataFrame(rows, "kind string, name string, value double")
 
     return query
@@ -495,14 +479,14 @@ for _name in [*REGRESSORS, *CLASSIFIERS]:
 @register
 def inference_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two models are trained and logged; the one with the lower error scores every feature row."""
-    folder, features = scratch_path(spark, "models"), features_table(spark, sf_dir)
+    folder, features = scratch_path(spark, "models"), feature_layer(spark, sf_dir)
     train(REGRESSION, ml_data.regression_data(features), folder, models=["linear_regression_baseline", "decision_tree_regressor"])
     return predict(REGRESSION, features, ml_runs.read_runs(spark, f"{folder}/runs"), predicted_at=FIXED_TIME)
 
 
 @register
 def inference_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, features = scratch_path(spark, "models"), features_table(spark, sf_dir)
+    folder, features = scratch_path(spark, "models"), feature_layer(spark, sf_dir)
     train(CLASSIFICATION, classification_data(spark, sf_dir), folder, models=["logistic_regression_baseline"])
     return predict(CLASSIFICATION, features, ml_runs.read_runs(spark, f"{folder}/runs"), predicted_at=FIXED_TIME)
 

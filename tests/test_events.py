@@ -29,6 +29,12 @@ def test_normalise_strips_all_white_space(spark):
     assert (row["place"], row["state"], row["status"], row["depth"]) == ("a b", None, None, None)
 
 
+def test_white_space_is_what_python_strips(spark):
+    assert sorted(events.WHITE_SPACE) == [chr(i) for i in range(0x110000) if chr(i).isspace()]
+    row = events.normalise(raw(spark, {"place": "\u3000\xa0 ö \u2003", "state": "\xa0", "status": " \u200b"})).first()
+    assert (row["place"], row["state"], row["status"]) == ("ö", None, "\u200b")
+
+
 def test_event_has_all_fields_and_a_stable_id(spark):
     rows = raw(spark, {}, {}, {"time": None, "place": None, "date": None})
     built = events.build_events(rows, source_file=F.lit("f.csv"), row_number=F.lit(1))
