@@ -51,7 +51,8 @@ def hyperparameters(model_name: str) -> dict:
     return dict({**REGRESSORS, **CLASSIFIERS}[model_name][1])
 
 
-def estimator(model_name: str, seed: int = SEED) -> Estimator:
+def estimator(model_name: str, seed: int = SEED, **changes) -> Estimator:
+    """The estimator with its fixed hyperparameters; ``changes`` replace some of them."""
     catalog = {**REGRESSORS, **CLASSIFIERS}
     if model_name not in catalog:
         raise ValueError(f"unknown model {model_name}, known are {sorted(catalog)}")
@@ -59,24 +60,24 @@ def estimator(model_name: str, seed: int = SEED) -> Estimator:
     columns = {"featuresCol": "features", "labelCol": "magnitudo"}
     if model_name in CLASSIFIERS:
         columns |= {"labelCol": "label", "weightCol": "class_weight"}
-    model = kind(**columns, **settings)
+    model = kind(**columns, **{**settings, **changes})
     return model.setSeed(seed) if model.hasParam("seed") else model
 
 
-def build_pipeline(model_name: str, seed: int = SEED) -> Pipeline:
+def build_pipeline(model_name: str, seed: int = SEED, **changes) -> Pipeline:
     """State index, feature vector, model. Rows with a missing input get no prediction."""
     index = StringIndexer(inputCol="state", outputCol=STATE_INDEX, handleInvalid="keep")
     vector = VectorAssembler(inputCols=input_columns(model_name), outputCol="features", handleInvalid="skip")
-    return Pipeline(stages=[index, vector, estimator(model_name, seed)])
+    return Pipeline(stages=[index, vector, estimator(model_name, seed, **changes)])
 
 
-def fit_stored(model_name: str, train: DataFrame, path: str, seed: int = SEED) -> PipelineModel:
+def fit_stored(model_name: str, train: DataFrame, path: str, seed: int = SEED, **changes) -> PipelineModel:
     """Fit, save and return the model as saved.
 
     The fitted object itself keeps a training summary that refers to the session, which can make its
     ``transform`` unserialisable once the session has observed a query. The saved model has none.
     """
-    build_pipeline(model_name, seed).fit(train).write().overwrite().save(path)
+    build_pipeline(model_name, seed, **changes).fit(train).write().overwrite().save(path)
     return PipelineModel.load(path)
 
 

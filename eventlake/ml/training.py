@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -78,12 +78,15 @@ def train(
     folder: str,
     *,
     models: Sequence[str] | None = None,
+    changes: Mapping[str, dict] | None = None,
     share: float = TRAIN_SHARE,
     seed: int = SEED,
     by_hash: bool = True,
 ) -> list[dict]:
     """Train, evaluate, save and log each model; the best comes first in the result.
 
+    ``changes`` holds hyperparameters to replace, by model name.
+
     Below ``folder`` stand ``runs`` (the run table), ``models/<run id>`` and ``diagnostics/<run id>``.
     The data is held on executors, once for both parts, because the estimators read it repeatedly.
     """
@@ -110,8 +113,8 @@ def train(
         results = []
         for model_name in models or task.models:
             run_id, started = uuid.uuid4().hex, datetime.now(timezone.utc)
-            artifact = f"{folder}/models/{run_id}"
-            fitted = fit_stored(model_name, train_part, artifact, seed)
+            artifact, changed = f"{folder}/models/{run_id}", (changes or {}).get(model_name, {})
+            fitted = fit_stored(model_name, train_part, artifact, seed, **changed)
             predictions = fitted.transform(test_part).persist(StorageLevel.MEMORY_AND_DISK)
             held.append(predictions)
             metrics = evaluate(task, predictions)
@@ -131,6 +134,7 @@ def train(
                         "model_name": model_name,
                         **shared,
                         **hyperparameters(model_name),
+                        **changed,
                         "features": ",".join(input_columns(model_name)),
                     },
                     "metrics": metrics,

@@ -17,29 +17,37 @@ BATCH_COLUMN = "batch"
 _ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_TABLE_NOT_FOUND", "DELTA_MISSING_DELTA_TABLE"}
 
 
-def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
+def read_if_exists(spark: SparkSession, path: str, *, fmt: str = "parquet", merge_schema: bool = False) -> DataFrame | None:
+    """Load a table, or None where there is none yet.
+
+    ``merge_schema`` unites the columns of appends that added some (Parquet).
+    """
+    reader = spark.read.format(fmt)
     try:
-        spark.read.format(fmt).load(path)
+        return (reader.option("mergeSchema", "true") if merge_schema else reader).load(path)
     except AnalysisException as error:
         if (error.getCondition() or "").split(".")[0] in _ABSENT:
-            return False
+            return None
         raise
-    return True
+
+
+def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
+    return read_if_exists(spark, path, fmt=fmt) is not None
 
 
 def read_table(spark: SparkSession, path: str, *, fmt: str = "parquet", merge_schema: bool = False) -> DataFrame:
-    """Load a table; ``merge_schema`` unites the columns of appends that added some (Parquet)."""
-    if not table_exists(spark, path, fmt):
+    table = read_if_exists(spark, path, fmt=fmt, merge_schema=merge_schema)
+    if table is None:
         raise FileNotFoundError(f"no {fmt} table at {path}")
-    reader = spark.read.format(fmt)
-    return (reader.option("mergeSchema", "true") if merge_schema else reader).load(path)
+    return table
 
 
 def first_existing(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet") -> DataFrame:
     """The first table that exists, e.g. the clean layer before the raw layer."""
     for path in paths:
-        if table_exists(spark, path, fmt):
-            return read_table(spark, path, fmt=fmt)
+        table = read_if_exists(spark, path, fmt=fmt)
+        if table is not None:
+            return table
     raise FileNotFoundError(f"none of these tables exists: {list(paths)}")
 
 

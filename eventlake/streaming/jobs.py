@@ -16,7 +16,7 @@ from eventlake.operators.silver import clean, quarantined_records, valid_records
 from eventlake.operators.upsert import first_per_key, new_records
 from eventlake.schemas import SILVER_COLUMNS, conform
 from eventlake.session import require_utc
-from eventlake.sources.tables import BATCH_COLUMN, read_table, table_exists, write_batch
+from eventlake.sources.tables import BATCH_COLUMN, read_if_exists, write_batch
 
 LOG = logging.getLogger(__name__)
 
@@ -60,9 +60,9 @@ def upsert_batch(valid: DataFrame, batch: str, clean_path: str) -> int:
     with _kept(first_per_key(valid)) as candidates:
         rows = candidates.count()
         fresh = candidates
-        if table_exists(spark, clean_path):
-            others = read_table(spark, clean_path).where(F.col(BATCH_COLUMN) != batch)
-            fresh = new_records(candidates, others, batch_rows=rows)
+        stored = read_if_exists(spark, clean_path)
+        if stored is not None:
+            fresh = new_records(candidates, stored.where(F.col(BATCH_COLUMN) != batch), batch_rows=rows)
         return write_batch(fresh, clean_path, batch)
 
 

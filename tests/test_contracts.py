@@ -49,6 +49,16 @@ def test_tables(spark, lake):
         tables.require_rows(spark.range(0), "it")
 
 
+def test_counts_of_empty_writes(spark, lake):
+    nothing = spark.range(5).where("false")
+    assert tables.write_table(nothing, f"{lake}/a") == 0
+    assert tables.write_batch(nothing, f"{lake}/b", "s-0") == 0
+    assert tables.write_batch(spark.range(5), f"{lake}/b", "s-0") == 5
+    emptied = spark.range(1000).repartition(3).join(spark.range(1000).repartition(3), "id", "left_anti")
+    assert tables.write_batch(emptied, f"{lake}/b", "s-1") == 0
+    assert tables.read_table(spark, f"{lake}/b").count() == 5
+
+
 def test_a_hot_partition_is_split_and_small_ones_are_not(spark, lake, setting):
     setting("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
     rows = spark.range(60000).selectExpr("CASE WHEN id % 10 = 0 THEN id % 7 ELSE 100 END AS year", "uuid() AS payload")

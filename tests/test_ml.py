@@ -83,6 +83,8 @@ def test_hyperparameters_reach_the_estimators():
     forest = estimator("random_forest_regressor")
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getMaxBins(), forest.getSeed()) == (80, 8, 128, 42)
     assert estimator("random_forest_classifier").getNumTrees() == 100
+    changed = estimator("random_forest_regressor", numTrees=50, maxDepth=6)
+    assert (changed.getNumTrees(), changed.getMaxDepth(), changed.getMaxBins()) == (50, 6, 128)
     assert estimator("logistic_regression_baseline").getWeightCol() == "class_weight"
     assert estimator("gbt_regressor").getMaxIter() == 50 and estimator("decision_tree_regressor").getMaxDepth() == 8
     assert estimator("generalized_linear_regression").getLink() == "identity"
@@ -92,13 +94,16 @@ def test_hyperparameters_reach_the_estimators():
 
 
 def test_train_log_and_score(spark, features, lake):
-    best = train(REGRESSION, data.regression_data(features), f"{lake}/r", models=["linear_regression_baseline", "decision_tree_regressor"])
+    best = train(REGRESSION, data.regression_data(features), f"{lake}/r", models=["linear_regression_baseline", "decision_tree_regressor"], changes={"decision_tree_regressor": {"maxDepth": 4}})
     assert best[0]["rmse"] <= best[1]["rmse"] < 1
     log = runs.read_runs(spark, f"{lake}/r/runs")
     top = runs.best_run(log, "magnitude_regression", "rmse", ascending=True)
     assert top["run_id"] == best[0]["run_id"] and top["params"]["data_row_count"] == "400"
     assert int(top["params"]["train_row_count"]) + int(top["params"]["test_row_count"]) == 400
 
+    depths = [r["params"].get("maxDepth") for r in log.collect()]
+    assert sorted(d for d in depths if d) == ["4"]
+
     holed = features.withColumn("depth", F.when(F.col("event_id") != "e0", F.col("depth")))
     scored = inference.predict(REGRESSION, holed, log)
     assert scored.columns == ["event_id", "prediction", "model_name", "run_id", "model_version", "predicted_at"]
