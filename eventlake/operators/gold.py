@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.functions import step_label
@@ -58,30 +58,34 @@ def feature_table(clean_df: DataFrame) -> DataFrame:
     return conform(indexed, FEATURE_COLUMNS, "feature table")
 
 
+def _measures(*names: str) -> list[Column]:
+    """Aggregates of the feature table by output name. Conditional counts skip NULL."""
+    known = {
+        "event_count": F.count(F.lit(1)),
+        "tsunami_count": F.count_if(F.col("tsunami") == 1),
+        "high_significance_count": F.count_if("is_high_significance"),
+        "first_event_time": F.min("event_timestamp"),
+        "last_event_time": F.max("event_timestamp"),
+    }
+    for prefix, function in {"avg": F.avg, "min": F.min, "max": F.max}.items():
+        known |= {f"{prefix}_magnitude": function("magnitudo"), f"{prefix}_depth": function("depth")}
+    return [known[name].alias(name) for name in names]
+
+
 def daily_aggregates(features: DataFrame) -> DataFrame:
-    return features.groupBy(F.to_date("event_timestamp").alias("date_day")).agg(
-        F.count(F.lit(1)).alias("event_count"),
-        F.avg("magnitudo").alias("avg_magnitude"),
-        F.max("magnitudo").alias("max_magnitude"),
-        F.min("magnitudo").alias("min_magnitude"),
-        F.avg("depth").alias("avg_depth"),
-        F.max("depth").alias("max_depth"),
-        F.count_if(F.col("tsunami") == 1).alias("tsunami_count"),
-        F.count_if("is_high_significance").alias("high_significance_count"),
-    )
+    measures = _measures(
+        "event_count", "avg_magnitude", "max_magnitude", "min_magnitude", "avg_depth", "max_depth",
+        "tsunami_count", "high_significance_count",
+    )
+    return features.groupBy(F.to_date("event_timestamp").alias("date_day")).agg(*measures)
 
 
 def state_aggregates(features: DataFrame) -> DataFrame:
     """One row per state. Sort with :func:`by_event_count` when reading: a table keeps no order."""
-    return features.groupBy("state").agg(
-        F.count(F.lit(1)).alias("event_count"),
-        F.avg("magnitudo").alias("avg_magnitude"),
-        F.max("magnitudo").alias("max_magnitude"),
-        F.avg("depth").alias("avg_depth"),
-        F.count_if(F.col("tsunami") == 1).alias("tsunami_count"),
-        F.min("event_timestamp").alias("first_event_time"),
-        F.max("event_timestamp").alias("last_event_time"),
+    measures = _measures(
+        "event_count", "avg_magnitude", "max_magnitude", "avg_depth", "tsunami_count", "first_event_time", "last_event_time"
     )
+    return features.groupBy("state").agg(*measures)
 
 
 def by_event_count(states: DataFrame) -> DataFrame:

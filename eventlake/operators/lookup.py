@@ -15,24 +15,27 @@ def join_unique(
     keyed: DataFrame,
     key: str,
     *,
-    keyed_rows: int,
     spread_by: str,
+    keyed_rows: int | None = None,
     how: str = "left",
     broadcast_rows: int = BROADCAST_ROWS,
+    count_in: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``facts`` with ``keyed``, which holds each key once and at most ``keyed_rows`` rows.
 
-    Up to ``broadcast_rows`` the keyed side is broadcast and the facts are not shuffled. Beyond, both
-    sides shuffle on the key, and the most frequent keys of the facts are salted: their rows spread
+    Up to ``broadcast_rows`` the keyed side is broadcast and the facts are not shuffled. Beyond, or
+    where the size is not known, both sides shuffle on the key, and the most frequent keys of the facts are salted: their rows spread
     over ``SALTS`` tasks, each with its own copy of the one matching row. Only ``HOT_KEYS`` keys are
     copied; any other key holds less than one ``HOT_KEYS``-th of the facts. Rows without a key match
     nothing and are spread too. The salt is a hash of ``spread_by``, so a task that is run again
-    places its rows as before.
+    places its rows as before. ``count_in`` is a cheaper frame to find the frequent keys in, one that
+    holds all rows of the facts.
     """
-    if keyed_rows <= broadcast_rows:
+    if keyed_rows is not None and keyed_rows <= broadcast_rows:
         return facts.join(F.broadcast(keyed), key, how)
 
-    frequency = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    counted = facts if count_in is None else count_in
+    frequency = counted.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     # Ordered by key as well: the set must be the same wherever it is evaluated.
     hot = frequency.orderBy(F.desc("_n"), key).limit(HOT_KEYS).select(key, F.lit(True).alias(_HOT))
 

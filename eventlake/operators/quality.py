@@ -69,6 +69,8 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     One pass: each row is expanded to its values and counted map-side. Absent columns are skipped.
     """
     present = [c for c in columns if c in df.columns]
+    if not present:
+        return df.sparkSession.createDataFrame([], "column string, value string, count bigint")
     texts = df.select(*(F.col(c).cast("string").alias(c) for c in present))
     # grouping(c) is 0 in the grouping set of column c.
     grouped = texts.groupingSets([[c] for c in present], *present).agg(

@@ -25,14 +25,10 @@ def first_per_key(df: DataFrame, key: str = KEY, arrival: Sequence[str] = ARRIVA
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
-def _already_stored(batch: DataFrame, target: DataFrame, key: str, small_batch: bool) -> DataFrame:
-    """Distinct keys of ``batch`` that the target holds. Reads one column of the target."""
+def _stored_among(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """Distinct keys of a broadcastable batch that the target holds. Reads one column of the target."""
     wanted = batch.select(key).where(F.col(key).isNotNull()).distinct()
-    stored = target.select(key)
-    if small_batch:
-        return stored.join(F.broadcast(wanted), key, "left_semi").distinct()
-    # Duplicates collapse before the shuffle, so a key that fills the target does not fill a task.
-    return stored.distinct().join(wanted, key, "left_semi")
+    return target.select(key).join(F.broadcast(wanted), key, "left_semi").distinct()
 
 
 def new_records(
@@ -44,23 +40,25 @@ def new_records(
 ) -> DataFrame:
     """Records of ``batch`` that match no target record by natural key or by event id.
 
-    ``batch`` holds each natural key once. "No match on a or b" is an anti join on each in turn: two
-    hash joins where one join with the OR would compare all pairs. The target can be far larger than
-    the batch, so it is never joined as a whole: its key columns are first reduced to the keys the
-    batch asks for, which up to ``broadcast_rows`` batch rows needs no shuffle of the target. What
-    is left is no larger than the batch. NULL keys match nothing.
+    ``batch`` holds each natural key once, and so does ``target``. "No match on a or b" is an anti
+    join on each in turn: two hash joins where one join with the OR would compare all pairs. NULL
+    keys match nothing. Of the target only the two key columns are read.
+
+    Up to ``broadcast_rows`` batch rows the batch's keys are broadcast to find those the target holds,
+    which are no more; the target, however large, is not shuffled. A larger batch is joined by
+    shuffling the key columns. There the target's repeated event ids collapse map-side, and event ids
+    the batch repeats often are salted.
     """
-    small = batch_rows <= broadcast_rows
-    by_key = _already_stored(batch, target, KEY, small)
-    kept = batch.join(F.broadcast(by_key) if small else by_key, KEY, "left_anti")
-    # The batch may repeat an event id, so this side can have hot keys.
-    by_id = _already_stored(batch, target, "event_id", small)
+    if batch_rows <= broadcast_rows:
+        kept = batch
+        for key in (KEY, "event_id"):
+            kept = kept.join(F.broadcast(_stored_among(batch, target, key)), key, "left_anti")
+        return kept
     return join_unique(
-        kept,
-        by_id,
+        batch.join(target.select(KEY), KEY, "left_anti"),
+        target.select("event_id").where(F.col("event_id").isNotNull()).distinct(),
         "event_id",
-        keyed_rows=batch_rows,
         spread_by=KEY,
         how="left_anti",
-        broadcast_rows=broadcast_rows,
+        count_in=batch,
     )

@@ -251,7 +251,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         # events and messages
         "csv_scan": _sql(NORMAL, f"SELECT {_columns(RAW_COLUMNS)} FROM normal"),
-        "csv_row_number": "SELECT 'event-' || CAST(event_id AS VARCHAR) AS place, row_number() OVER (PARTITION BY event_id // 2000 ORDER BY event_id) AS row_number FROM events",
+        "csv_row_number": "SELECT 'event-' || CAST(event_id AS VARCHAR) AS place, row_number() OVER (PARTITION BY event_id // 1000000 ORDER BY event_id) AS row_number FROM events",
         "event_normalise": _sql(NORMAL, f"SELECT {_columns(RAW_COLUMNS)} FROM normal"),
         "event_id_uuid5": _sql(IDS, "SELECT kafka_offset + 1 AS row_number, event_id FROM uuids"),
         "event_build": _sql(IDS, f"SELECT {_columns(EVENT_COLUMNS)} FROM uuids"),

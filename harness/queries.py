@@ -28,7 +28,7 @@ from harness.layers import clean_layer, feature_layer, raw_layer, source_rows
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
 
-ROWS_PER_CSV_FILE = 2000
+ROWS_PER_CSV_FILE = 1_000_000
 FIXED_TIME = "2024-02-01T00:00:00Z"
 
 

@@ -14,7 +14,7 @@ def test_from_csv_to_predictions(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(lakehouse, "train", lambda task, *a: train(task, *a, **small[task is lakehouse.CLASSIFICATION]))
     rows = [
         {
-            "time": str(631153353990 + i * 3600_000), "place": f" Place {i} ", "status": "Reviewed", "tsunami": str(int(i % 4 == 0)),
+            "time": str(1704069153990 + i * 3600_000), "place": f" Place {i} ", "status": "Reviewed", "tsunami": str(int(i % 4 == 0)),
             "significance": str(i % 900), "data_type": "earthquake", "magnitudo": f"{3 + i % 5}.5", "state": f"S{i % 7}",
             "longitude": str(i % 180), "latitude": str(i % 90), "depth": "" if i % 50 == 0 else str(i % 400), "date": "",
         }

@@ -11,17 +11,17 @@ def as_dict(report):
 
 
 def test_report_on_the_clean_layer(spark):
-    df = silver.clean(raw(spark, {}, BAD, {"event_id": "event-3", "magnitudo": "9"}))
+    df = silver.clean(raw(spark, {}, BAD, {"event_id": "quake-3", "magnitudo": "9"}))
     got = as_dict(quality.report(df, generated_at="now"))
     assert got["generated_at"] == "now" and got["total_record_count"] == "3"
     assert (got["invalid_latitude_count"], got["null_magnitudo_count"], got["negative_depth_count"]) == ("1", "1", "1")
     assert json.loads(got["null_counts"])["magnitudo"] == 1 and len(json.loads(got["null_counts"])) == 32
     assert json.loads(got["tsunami_distribution"]) == [{"tsunami": 0, "count": 3}]
-    assert json.loads(got["yearly_record_count"]) == [{"year": 1990, "count": 3}]
-    assert json.loads(got["top_states_by_event_count"]) == [{"state": "Alaska", "count": 2}, {"state": "BadState", "count": 1}]
+    assert json.loads(got["yearly_record_count"]) == [{"year": 2024, "count": 3}]
+    assert json.loads(got["top_states_by_event_count"]) == [{"state": "Nevada", "count": 2}, {"state": "Elsewhere", "count": 1}]
     top = json.loads(got["top_magnitudo_records"])
-    assert [t["event_id"] for t in top] == ["event-3", "event-1", "event-2"]
-    assert top[0]["event_timestamp"] == "1990-01-01T00:22:33.990000" and top[2]["magnitudo"] is None
+    assert [t["event_id"] for t in top] == ["quake-3", "quake-1", "quake-2"]
+    assert top[0]["event_timestamp"] == "2024-01-01T00:32:33.990000" and top[2]["magnitudo"] is None
 
 
 def test_report_on_the_raw_layer_leaves_out_what_it_cannot_tell(spark):
@@ -46,6 +46,7 @@ def test_distributions(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), (None, None), ("c", None), ("c", 3)], "s string, n int")
     assert quality.value_distribution(df, "s", 2).collect() == [("a", 2), ("c", 2)]
     assert quality.value_distribution(df, "absent").count() == 0
+    assert quality.top_values(df, {"absent": 3}).count() == 0
     rows = sorted(quality.top_values(df, {"s": 2, "n": 1}).collect())
     assert [(r["column"], r["value"], r["count"], r["rank"]) for r in rows] == [("n", None, 2, 1), ("s", "a", 2, 1), ("s", "c", 2, 2)]
 
