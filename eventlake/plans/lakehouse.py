@@ -40,6 +40,9 @@ TABLES = (
     "checkpoint_clean",
 )
 
+#: Bounds a micro-batch, so that a backlog of any size is worked off in steps of about a terabyte.
+FILES_PER_BATCH = 10_000
+
 
 class Layout(SimpleNamespace):
     """Paths of the tables of one lakehouse, e.g. ``Layout(root).features``."""
@@ -54,17 +57,17 @@ def publish_csv(spark: SparkSession, csv_path: str, lake: Layout, *, topic: str
     publish_folder(to_messages(events), lake.messages, topic)
 
 
-def ingest(spark: SparkSession, lake: Layout, messages: DataFrame | None = None) -> None:
+def ingest(spark: SparkSession, lake: Layout, messages: DataFrame | None = None, *, files_per_batch: int = FILES_PER_BATCH) -> None:
     """Land the backlog of messages in the raw and bad-records tables."""
-    source = folder_stream(spark, lake.messages) if messages is None else messages
+    source = folder_stream(spark, lake.messages, max_files_per_trigger=files_per_batch) if messages is None else messages
     start_raw_stream(source, lake.raw, lake.bad_records, lake.checkpoint_raw).awaitTermination()
 
 
-def refine(spark: SparkSession, lake: Layout) -> None:
+def refine(spark: SparkSession, lake: Layout, *, files_per_batch: int = FILES_PER_BATCH) -> None:
     """Upsert new raw records into the clean table and quarantine invalid ones."""
     if not table_exists(spark, lake.raw):
         raise FileNotFoundError(f"no raw table at {lake.raw}, ingest messages first")
-    stream = raw_layer_stream(spark, lake.raw)
+    stream = raw_layer_stream(spark, lake.raw, max_files_per_trigger=files_per_batch)
     start_clean_stream(stream, lake.clean, lake.quarantine, lake.checkpoint_clean).awaitTermination()
 
 

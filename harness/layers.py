@@ -14,19 +14,24 @@ from eventlake.operators import gold, silver
 from eventlake.operators.bronze import identified
 from eventlake.schemas import FEATURE_COLUMNS, SILVER_COLUMNS
 from eventlake.session import scratch_path
-from eventlake.sources.tables import read_table, table_exists, write_table
+from eventlake.sources.tables import read_table, write_table
 from harness import fixtures
 
 _PATHS: dict[tuple[str, str, str], str] = {}
 
 
-def _stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame], partition_by: tuple[str, ...] = ()) -> DataFrame:
+def once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[str], object]) -> str:
+    """Path below which ``make`` has put its tables, made on first use."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _PATHS or not table_exists(spark, _PATHS[key]):
+    if key not in _PATHS:
         path = scratch_path(spark, name)
-        write_table(build(), path, partition_by=partition_by)
+        make(path)
         _PATHS[key] = path
-    return read_table(spark, _PATHS[key])
+    return _PATHS[key]
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame], partition_by: tuple[str, ...] = ()) -> DataFrame:
+    return read_table(spark, once(spark, sf_dir, name, lambda path: write_table(build(), path, partition_by=partition_by)))
 
 
 def source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

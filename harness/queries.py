@@ -23,7 +23,7 @@ from eventlake.session import scratch_path, written
 from eventlake.sources import csv_events, messages, tables
 from eventlake.streaming.jobs import start_clean_stream, start_raw_stream
 from harness import fixtures
-from harness.layers import clean_layer, feature_layer, raw_layer, source_rows
+from harness.layers import clean_layer, feature_layer, once, raw_layer, source_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -424,9 +424,8 @@ def metric_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- streams ---------------------------------------------------------------------------------------
 
 
-def run_streams(spark: SparkSession, sf_dir: str) -> str:
+def run_streams(spark: SparkSession, sf_dir: str, root: str) -> None:
     """Two deliveries through both streams; each stream is stopped and restarted in between."""
-    root = scratch_path(spark, "streams")
     delivered = fixtures.deliveries(source_rows(spark, sf_dir))
     for delivery in (1, 2):
         sent = fixtures.as_messages(delivered.where(F.col("delivery") == delivery))
@@ -435,13 +434,12 @@ def run_streams(spark: SparkSession, sf_dir: str) -> str:
         start_raw_stream(source, f"{root}/raw", f"{root}/bad", f"{root}/checkpoint_raw").awaitTermination()
         raw = messages.raw_layer_stream(spark, f"{root}/raw")
         start_clean_stream(raw, f"{root}/clean", f"{root}/quarantine", f"{root}/checkpoint_clean").awaitTermination()
-    return root
 
 
 def _streamed(table: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        stored = tables.read_table(spark, f"{run_streams(spark, sf_dir)}/{table}")
-        return stored.drop(tables.BATCH_COLUMN)
+        root = once(spark, sf_dir, "streams", lambda path: run_streams(spark, sf_dir, path))
+        return tables.read_table(spark, f"{root}/{table}").drop(tables.BATCH_COLUMN)
 
     return query
 
