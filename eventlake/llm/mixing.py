@@ -1,7 +1,7 @@
 """Mixing sources to target weights with a multivariate-hypergeometric splitting tree.
 
 A source's documents are permuted by a hash and cut into blocks, ranges of the permutation. A source below its target is taken
-whole as often as it fits; the rest is a prefix of its permutation and the one further document that comes closest to the
+whole as often as it fits; the rest is a prefix of its permutation and up to three further documents that bring it close to the
 target. This gives each source an exact quota of blocks. A binary tree splits the quotas among output shards: at each node the
 left half's number of blocks from each source is a hypergeometric draw, source after source, so that every shard is a random
 sample without replacement of the whole mix. Shards then draw their blocks from the permuted list of each source, disjoint by
@@ -57,7 +57,7 @@ def _block() -> Column:
 
 def plan(rows: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Written: for each source its target, the number of whole passes (``passes``), of blocks, and the cut of the last pass:
-    documents up to (cut_block, cut_u), and the one at ``finish_u``. ``quota``: block copies the mix takes."""
+    documents up to (cut_block, cut_u), and those at the places in ``finish``. ``quota``: block copies the mix takes."""
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     sources = targets(rows, weights, cap).withColumns({"passes": passes, "blocks": F.greatest(F.lit(1), F.ceil(F.col("source_size") / block_words)).cast("long")})
     sources = written(sources.withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size")), "passes")
@@ -72,14 +72,29 @@ def plan(rows: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP,
     prefix = inside.withColumn("so_far", so_far).where("so_far <= rest").groupBy("number").agg(F.max("u").alias("cut_u"), F.max("so_far").alias("drawn"))
     cut = cut.join(prefix, "number", "left").select("number", "cut_block", F.coalesce("cut_u", F.lit(-1)).alias("cut_u"), F.coalesce("drawn", "before").alias("drawn"))
     cut = written(cut, "cut")
-    left = placed.join(cut, "number").where("block > cut_block or (block = cut_block and u > cut_u)").withColumn("miss", F.abs(F.col("size") - (F.col("rest") - F.col("drawn"))))
-    finish = left.where("miss < rest - drawn").groupBy("number").agg(F.min(F.struct("miss", "u"))["u"].alias("finish_u"))
-    whole = sources.join(cut, "number", "left").join(finish, "number", "left")
+    finish = _finished(placed, cut)
+    whole = sources.join(finish, "number", "left")
     quota = F.col("passes") * F.col("blocks") + F.when(F.col("rest") > 0, F.col("cut_block") + 1).otherwise(0)
-    columns = {"cut_block": F.coalesce("cut_block", F.lit(-1)), "cut_u": F.coalesce("cut_u", F.lit(-1)), "finish_u": F.coalesce("finish_u", F.lit(-1)), "quota": F.coalesce(quota, F.lit(0))}
+    columns = {"cut_block": F.coalesce("cut_block", F.lit(-1)), "cut_u": F.coalesce("cut_u", F.lit(-1)), "finish": F.coalesce("finish", F.array().cast("array<bigint>")), "quota": F.coalesce(quota, F.lit(0))}
     return written(whole.withColumns(columns), "plan")
 
 
+def _finished(placed: DataFrame, cut: DataFrame) -> DataFrame:
+    """Written: ``cut`` with the places of the documents that finish the last pass (``finish``): behind the cut, twice the
+    largest that still fits, then the one that comes closest to the target."""
+    found = cut.withColumn("finish", F.array().cast("array<bigint>"))
+    behind = "(block > cut_block or (block = cut_block and u > cut_u)) and size > 0 and not array_contains(finish, u)"
+    for fits in (True, True, False):
+        gap = F.col("rest") - F.col("drawn")
+        miss = F.abs(F.col("size") - gap)
+        wanted = F.col("size") <= gap if fits else miss < gap
+        best = placed.join(found, "number").where(behind).where(wanted).groupBy("number").agg(F.min(F.struct(miss.alias("miss"), "u", "size")).alias("best"))
+        joined = found.join(best, "number", "left")
+        more = F.when(F.col("best").isNull(), F.col("finish")).otherwise(F.concat("finish", F.array("best.u")))
+        found = written(joined.select("number", "cut_block", "cut_u", (F.col("drawn") + F.coalesce("best.size", F.lit(0))).alias("drawn"), more.alias("finish")), "finish")
+    return found
+
+
 def _with_source(rows: DataFrame, sources: DataFrame, *columns: str) -> DataFrame:
     of = sources.select(F.col("source").alias("_of"), *columns)
     return rows.join(of, F.col("source").eqNullSafe(F.col("_of"))).drop("_of")
@@ -89,24 +104,24 @@ def _split(node: str) -> str:
     """SQL: how many blocks of each source go left. ``quotas`` is the node's array, ``node`` its number.
 
     A draw inverts the distribution function, summed over twelve standard deviations around the mean from the ratio of
-    neighbouring probabilities; beyond lies less than 1e-30. N blocks remain, n of them still to go left.
+    neighbouring probabilities; beyond lies less than 1e-30. Of ``blocks`` that remain, ``own`` are the source's and ``n`` go left.
     """
     let = lambda name, value, body: f"aggregate(array({value}), 0L, (unused, {name}) -> {body})"
-    spread = "sqrt(q.n * (q.K / q.N) * (1 - q.K / q.N) * (q.N - q.n) / greatest(1L, q.N - 1))"
-    range_ = f"""named_struct('N', q.N, 'K', q.K, 'n', q.n, 'u', q.u,
-        'lo', greatest(0L, q.n - (q.N - q.K), cast(floor(q.n * (q.K / q.N) - 12 * {spread}) as bigint) - 1),
-        'hi', least(q.n, q.K, cast(ceil(q.n * (q.K / q.N) + 12 * {spread}) as bigint) + 1))"""
-    ratio = "(r.K - k) * (r.n - k) / ((k + 1D) * (r.N - r.K - r.n + k + 1D))"
+    spread = "sqrt(q.n * (q.own / q.blocks) * (1 - q.own / q.blocks) * (q.blocks - q.n) / greatest(1L, q.blocks - 1))"
+    range_ = f"""named_struct('blocks', q.blocks, 'own', q.own, 'n', q.n, 'u', q.u,
+        'lo', greatest(0L, q.n - (q.blocks - q.own), cast(floor(q.n * (q.own / q.blocks) - 12 * {spread}) as bigint) - 1),
+        'hi', least(q.n, q.own, cast(ceil(q.n * (q.own / q.blocks) + 12 * {spread}) as bigint) + 1))"""
+    ratio = "(r.own - k) * (r.n - k) / ((k + 1D) * (r.blocks - r.own - r.n + k + 1D))"
     total = f"aggregate(sequence(r.lo, r.hi), named_struct('w', 1D, 's', 0D), (a, k) -> named_struct('w', a.w * {ratio}, 's', a.s + a.w), a -> a.s)"
     draw = f"""aggregate(sequence(r.lo, r.hi), named_struct('w', 1D, 's', 0D, 'k', r.lo),
         (a, k) -> named_struct('w', a.w * {ratio}, 's', a.s + a.w, 'k', if(a.s + a.w < r.u * total, least(r.hi, k + 1), a.k)), a -> a.k)"""
     drawn = let("r", range_, let("total", total, draw))
     u = f"shiftrightunsigned(xxhash64({node}, size(acc.left)), 11) / 9007199254740992D"
-    one = let("q", f"named_struct('N', acc.N, 'K', K, 'n', acc.n, 'u', {u})", f"if(q.N = 0 or q.K = 0 or q.n = 0, 0L, {drawn})")
-    step = f"aggregate(array({one}), acc, (b, x) -> named_struct('N', b.N - K, 'n', b.n - x, 'left', concat(b.left, array(x))))"
-    blocks = "aggregate(quotas, 0L, (s, x) -> s + x)"
-    start = f"named_struct('N', {blocks}, 'n', {blocks} div 2, 'left', cast(array() as array<bigint>))"
-    return f"aggregate(quotas, {start}, (acc, K) -> {step}, acc -> acc.left)"
+    one = let("q", f"named_struct('blocks', acc.blocks, 'own', own, 'n', acc.n, 'u', {u})", f"if(q.blocks = 0 or q.own = 0 or q.n = 0, 0L, {drawn})")
+    step = f"aggregate(array({one}), acc, (b, x) -> named_struct('blocks', b.blocks - own, 'n', b.n - x, 'left', concat(b.left, array(x))))"
+    whole = "aggregate(quotas, 0L, (s, x) -> s + x)"
+    start = f"named_struct('blocks', {whole}, 'n', {whole} div 2, 'left', cast(array() as array<bigint>))"
+    return f"aggregate(quotas, {start}, (acc, own) -> {step}, acc -> acc.left)"
 
 
 def shards(sources: DataFrame, *, shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
@@ -130,9 +145,9 @@ def shards(sources: DataFrame, *, shard_words: int = SHARD_WORDS, seed: int = SE
 
 def drawn(rows: DataFrame, sources: DataFrame, blocks: DataFrame) -> DataFrame:
     """``rows`` with ``pass`` and ``shard``: once for each time the mix takes them, and once with NULLs if never."""
-    columns = ("number", "blocks", "source_size", "target", "passes", "cut_block", "cut_u", "finish_u")
+    columns = ("number", "blocks", "source_size", "target", "passes", "cut_block", "cut_u", "finish")
     placed = _with_source(rows, sources, *columns).withColumn("block", _block())
-    part = F.expr("cut_block >= 0 and (block < cut_block or (block = cut_block and u <= cut_u) or u = finish_u)")
+    part = F.expr("cut_block >= 0 and (block < cut_block or (block = cut_block and u <= cut_u) or array_contains(finish, u))")
     times = F.col("passes") + F.when(part, 1).otherwise(0)
     taken = placed.withColumn("pass", F.explode_outer(F.when(times > 0, F.sequence(F.lit(0).cast("long"), times - 1))))
     copy = F.col("pass") * F.col("blocks") + F.when(F.col("pass") < F.col("passes"), F.col("block")).otherwise(F.least("block", "cut_block"))
