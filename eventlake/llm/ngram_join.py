@@ -10,8 +10,9 @@ Jaccard similarity of 0.8.
 3. The sets left are points: their shared hashes fall into ``GROUPS`` groups, the coordinates are the counts. The overlap of
    two points, or of two boxes around points, is at most the sum of their coordinates' minima.
 4. In each posting list the points form a tree: the list, boxes around the points already linked with each other, points.
-   First each list's points are held against one pivot, which links the bulk of large groups; the pivots of a list change
-   from round to round. Then all pairs of boxes of a list, and all pairs of their points, are bounded, and verified on the
+   First each list's points are held against one pivot, which links the bulk of large groups. The pivot is the set whose
+   hashes are the most frequent: copies of one text share more with the original than with each other. The next round's
+   pivot comes from outside the first one's component. Then all pairs of boxes of a list, and all pairs of their points, are bounded, and verified on the
    hashes if they survive. Points in one box need no pair: their component is known. ``all_links`` keeps these too.
 
 No list is gathered in a task, a large one is split by Spark's skewed join.
@@ -33,7 +34,9 @@ from eventlake.llm.common import chunks, components, text_of, written
 #: Words of a shingle. Coordinates of a point. Hashes an owner is meant to hold. Bytes of text hashed at once.
 SHINGLE, GROUPS, OWNER_HASHES, CHUNK = 5, 32, 1 << 20, 1 << 23
 #: Rounds of pivots before all boxes of a list are compared.
-PIVOTS = 2
+PIVOTS = 1
+#: The bound of two points: their coordinates' minima add up to the overlap that a link needs.
+OVERLAP = "9 * aggregate(zip_with(point_a, point_b, (x, y) -> least(x, y)), 0, (s, x) -> s + x) >= 4 * (n_a + n_b)"
 _MASK = np.uint64((1 << 48) - 1)
 _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -145,12 +148,14 @@ def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def candidates(docs: DataFrame, owners: int, *, text: str = "text") -> DataFrame:
-    """Written: the sets with a prefix that other sets share: ``set_id``, ``n``, ``tokens`` (shared, rarest first), ``prefix``, ``point``."""
+    """Written: the sets with a prefix that other sets share: ``set_id``, ``n``, ``tokens`` (shared, rarest first),
+    ``prefix`` (how many of them), ``weight`` (mean frequency of the set's hashes) and ``point``."""
     shared = _sent(docs, owners, text).groupBy("owner").applyInArrow(_shared, "set_id long, n long, tokens array<struct<often:int,token:long>>")
     sets = shared.groupBy("set_id").agg(F.first("n").alias("n"), F.array_sort(F.flatten(F.collect_list("tokens"))).alias("tokens"))
     prefix = F.expr("cast(n div 5 + 1 - (n - size(tokens)) as int)")
-    rows = sets.withColumn("prefix", prefix).where("prefix > 0").select("set_id", "n", F.col("tokens.token").alias("tokens"), "prefix")
-    return written(rows.mapInArrow(_points, "set_id long, n long, tokens array<long>, prefix int, point array<int>"), "candidates")
+    weight = F.expr("aggregate(tokens, 0L, (s, t) -> s + t.often) / n").alias("weight")
+    rows = sets.withColumn("prefix", prefix).where("prefix > 0").select("set_id", "n", F.col("tokens.token").alias("tokens"), "prefix", weight)
+    return written(rows.mapInArrow(_points, "set_id long, n long, tokens array<long>, prefix int, weight double, point array<int>"), "candidates")
 
 
 def _near(n1: str, n2: str) -> Column:
@@ -161,8 +166,7 @@ def _verified(pairs: DataFrame, points: DataFrame) -> DataFrame:
     """The pairs (a, b) that link. The points' bound comes first, the hashes decide."""
     side = lambda x: points.select(F.col("set_id").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("n", "tokens", "point")))
     both = pairs.join(side("b"), "b").join(side("a"), "a")
-    bound = F.expr("9 * aggregate(zip_with(point_a, point_b, (x, y) -> least(x, y)), 0, (s, x) -> s + x) >= 4 * (n_a + n_b)")
-    return both.where(bound).where("9 * size(array_intersect(tokens_a, tokens_b)) >= 4 * (n_a + n_b)").select("a", "b")
+    return both.where(OVERLAP).where("9 * size(array_intersect(tokens_a, tokens_b)) >= 4 * (n_a + n_b)").select("a", "b")
 
 
 def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -178,17 +182,23 @@ def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _lists(points: DataFrame, labels: DataFrame) -> DataFrame:
-    """Written: the posting lists (token, set_id, n, root) that hold sets of more than one component."""
+    """Written: the posting lists (token, set_id, n, weight, root) that hold sets of more than one component."""
     entries = points.join(labels.select(F.col("node").alias("set_id"), "root"), "set_id", "left").select(
-        "set_id", "n", F.coalesce("root", "set_id").alias("root"), F.explode(F.expr("slice(tokens, 1, prefix)")).alias("token")
+        "set_id", "n", "weight", F.coalesce("root", "set_id").alias("root"), F.explode(F.expr("slice(tokens, 1, prefix)")).alias("token")
     )
     open_lists = entries.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
     return written(entries.join(open_lists, "token", "left_semi"), "lists")
 
 
 def _pivot_pairs(lists: DataFrame, turn: int) -> DataFrame:
-    pivot = lists.groupBy("token").agg(F.min(F.struct(F.xxhash64("set_id", F.lit(turn)).alias("rank"), F.col("set_id").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))).alias("p"))
-    held = lists.join(pivot.select("token", "p.a", "p.n_a", "p.root_a"), "token").where(F.col("root") != F.col("root_a")).where(_near("n", "n_a"))
+    """Each list's pivot with the list's sets of other components."""
+    best = F.max(F.struct("weight", F.xxhash64("set_id").alias("tie"), F.col("set_id").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))).alias("p")
+    rest = lists
+    for _ in range(turn):
+        before = rest.groupBy("token").agg(best).select("token", "p.root_a")
+        rest = rest.join(before, "token").where(F.col("root") != F.col("root_a")).drop("root_a")
+    pivot = rest.groupBy("token").agg(best).select("token", "p.a", "p.n_a", "p.root_a")
+    held = lists.join(pivot, "token").where(F.col("root") != F.col("root_a")).where(_near("n", "n_a"))
     return held.select("a", F.col("set_id").alias("b")).distinct()
 
 
@@ -197,14 +207,18 @@ def _box_pairs(lists: DataFrame, points: DataFrame, all_links: bool = False) ->
     box = "set_id" if all_links else "root"
     entries = lists.withColumn("box", F.col(box)).join(points.select("set_id", "point"), "set_id")
     corner = [F.max(F.col("point")[i]).alias(f"c{i}") for i in range(GROUPS)]
-    boxes = written(entries.groupBy("token", "box").agg(F.min("n").alias("low"), F.max("n").alias("high"), *corner), "boxes")
+    boxes = written(entries.groupBy("token", "box").agg(F.count(F.lit(1)).alias("points"), F.min("n").alias("low"), F.max("n").alias("high"), *corner), "boxes")
     one, two = boxes.alias("x"), boxes.alias("y")
     minima = " + ".join(f"least(x.c{i}, y.c{i})" for i in range(GROUPS))
     close = F.expr(f"x.box < y.box and 5 * x.high >= 4 * y.low and 5 * y.high >= 4 * x.low and 9 * ({minima}) >= 4 * (x.low + y.low)")
-    pairs = one.join(two, (F.col("x.token") == F.col("y.token")) & close).select("x.token", F.col("x.box").alias("box_a"), F.col("y.box").alias("box_b"))
-    side = lambda x: entries.select("token", F.col("box").alias(f"box_{x}"), F.col("set_id").alias(x), F.col("n").alias(f"n_{x}"))
-    wide = pairs.join(side("a"), ["token", "box_a"]).join(side("b"), ["token", "box_b"]).where(_near("n_a", "n_b"))
-    return wide.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    fewer = F.col("x.points") <= F.col("y.points")  # the smaller box is opened first
+    pairs = one.join(two, (F.col("x.token") == F.col("y.token")) & close).select(
+        F.col("x.token").alias("token_a"), F.when(fewer, F.col("x.box")).otherwise(F.col("y.box")).alias("box_a"), F.when(fewer, F.col("y.box")).otherwise(F.col("x.box")).alias("box_b")
+    )
+    side = lambda x: entries.select(F.col("token").alias(f"t_{x}"), F.col("box").alias(f"of_{x}"), F.col("set_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("point").alias(f"point_{x}"))
+    opened = pairs.join(side("a"), (F.col("token_a") == F.col("t_a")) & (F.col("box_a") == F.col("of_a")))
+    meet = (F.col("token_a") == F.col("t_b")) & (F.col("box_b") == F.col("of_b")) & _near("n_a", "n_b") & F.expr(OVERLAP)
+    return opened.join(side("b"), meet).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _owners(rows: DataFrame) -> int:
