@@ -27,11 +27,11 @@ SYMBOLS, SPACES = "#*$%&|<>", " \t\n\x0b\x0c\r"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 #: Coordinates of the statistic vector, and the spread below which a difference counts as none: shares of zero are common.
 VECTOR = {
-    "log_words": ("log(1 + n_words)", 0.5),
+    "log_words": ("log(1 + n_words)", 1.0),
     "log_word_length": ("log((word_chars + 100 * 5.0) / (n_words + 100))", 0.08),
     "symbol_share": ("sqrt(n_symbols / greatest(1, word_chars))", 0.05),
-    "dup_line_share": ("sqrt(n_dup_lines / greatest(1, n_lines))", 0.12),
-    "repeat_share": ("sqrt(n_repeat_words / greatest(1, n_words))", 0.1),
+    "dup_line_share": ("sqrt(n_dup_lines / greatest(1, n_lines))", 0.3),
+    "repeat_share": ("sqrt(n_repeat_words / greatest(1, n_words))", 0.3),
 }
 P = len(VECTOR)
 #: Steps of the fixed-point numbers, quantiles' bins for each unit, smallest group, concentration steps.
