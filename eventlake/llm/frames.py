@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from eventlake.llm.common import chunks, text_of, written
 from eventlake.llm.tokens import encoder
 
-END, LEVEL, CHUNK, SLICE = 0, 3, 1 << 23, 1024
+END, LEVEL, CHUNK, SLICE = 0, 3, 1 << 22, 1024
 # Fixed values of the zstandard seekable format: skippable frames' magic numbers, the table's, its flag for checksums.
 SKIPPABLE, SEEK_TABLE, SEEKABLE, CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
 _ENTRY, _FOOTER = struct.Struct("<III"), struct.Struct("<IBI")

@@ -103,12 +103,12 @@ def _fp(text: str) -> Column:
 def groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text", prints: DataFrame | None = None) -> DataFrame:
     """One row for each text that several rows share: ``text_sha256``, ``keep_id`` (largest key), ``group_size``.
 
-    Suspects are found in ``prints`` (block, fp), by default computed from ``docs``. The suspects' table is written, so
-    that Spark knows its size when it chooses the join.
+    Suspects are found in ``prints`` (block, fp), by default computed from ``docs``. Their number grows with the input, so
+    the join is one that shuffles at every size.
     """
     prints = numbered(docs, key=key, text=text) if prints is None else prints
     found = written(suspects(prints.select("block", "fp")), "suspects")
-    rows = docs.select(F.col(key).alias("key"), text_of(text).alias("text"), _fp(text).alias("fp")).join(found, "fp", "left_semi")
+    rows = docs.select(F.col(key).alias("key"), text_of(text).alias("text"), _fp(text).alias("fp")).join(found.hint("merge"), "fp", "left_semi")
     equal = rows.groupBy("text").agg(F.max("key").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
     return written(equal.select(F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size"), "copies")
 
@@ -128,7 +128,7 @@ def exact_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text"
     """
     prints = numbered(docs, key=key, text=text)
     copies = groups(docs, key=key, text=text, prints=prints)
-    rows = prints.select("key", "text_sha256").join(copies.withColumn("copied", F.lit(True)), "text_sha256", "left")
+    rows = prints.select("key", "text_sha256").join(copies.withColumn("copied", F.lit(True)).hint("merge"), "text_sha256", "left")
     repeat = F.row_number().over(Window.partitionBy("text_sha256", "key").orderBy(F.lit(0)))
     keep = F.when(F.col("copied"), F.col("keep_id")).otherwise(F.col("key"))
     return rows.withColumn("repeat", repeat).select(
@@ -141,9 +141,9 @@ def exact_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text"
 
 
 def without_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are kept, all columns. Rows keep their task unless the table of copies is large."""
+    """The rows of ``docs`` that are kept, all columns."""
     copies = groups(docs, key=key, text=text)
     rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("key"), F.sha2(text_of(text), 256).alias("text_sha256"))
-    joined = rows.join(copies, "text_sha256", "left").where(F.col("group_size").isNull() | F.col("key").eqNullSafe(F.col("keep_id")))
+    joined = rows.join(copies.hint("merge"), "text_sha256", "left").where(F.col("group_size").isNull() | F.col("key").eqNullSafe(F.col("keep_id")))
     single = joined.where(F.col("group_size").isNull()).select("row.*")
     return single.unionByName(joined.where(F.col("group_size").isNotNull()).dropDuplicates(["text_sha256"]).select("row.*"))

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from eventlake.llm.common import chunks, components, text_of, written
 
 #: Words of a shingle. Coordinates of a point. Hashes an owner is meant to hold. Bytes of text hashed at once.
-SHINGLE, GROUPS, OWNER_HASHES, CHUNK = 5, 32, 1 << 20, 1 << 23
+SHINGLE, GROUPS, OWNER_HASHES, CHUNK = 5, 32, 1 << 21, 1 << 22
 #: Rounds of pivots before all boxes of a list are compared.
 PIVOTS = 1
 #: The bound of two points: their coordinates' minima add up to the overlap that a link needs.
@@ -45,7 +45,7 @@ class _Words(dict):
     """Hashes of words, kept as long as they are few."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 300_000:
+        if len(self) >= 100_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
@@ -223,7 +223,7 @@ def _box_pairs(lists: DataFrame, points: DataFrame, all_links: bool = False) ->
 
 def _owners(rows: DataFrame) -> int:
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
-    return max(16, math.ceil(total / OWNER_HASHES))
+    return max(64, math.ceil(total / OWNER_HASHES))
 
 
 def links(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:

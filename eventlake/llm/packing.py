@@ -23,7 +23,7 @@ from eventlake.llm.tokens import encoder
 SIZE, END = 1024, 2
 #: Pieces of a partition, and rounds of exchange at most.
 PARTITION_ROWS, ROUNDS = 1 << 15, 4
-CHUNK = 1 << 23
+CHUNK = 1 << 22
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 

@@ -6,29 +6,53 @@ import re
 
 import numpy as np
 
-#: Words whose ids a worker remembers.
-REMEMBERED = 400_000
+#: Words, and pieces of words, whose ids a worker remembers.
+REMEMBERED = 150_000
+#: Words of one run of letters and one of punctuation, which need no Unicode tables to be split.
+_PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
 _LOADED: dict[str, Encoder] = {}
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write bytes as: printable ones stand for themselves, the others follow from 256."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return {b: chr(b if b in printable else next(others)) for b in range(0x100)}
+
+
 class Encoder(dict):
-    """Ids (uint16 bytes) of texts. A byte-level tokenizer never joins across the place before a space that a non-space
-    follows, so a text's ids are those of its words, each with its space; the library encodes every distinct word once."""
+    """Ids (uint16 bytes) of texts, as a byte-level tokenizer gives them.
+
+    Its pieces never join across the place before a space that a non-space follows, so a text's ids are those of its words,
+    each with its space. A word falls into pieces by the pattern of the vocabulary, and the library's model gives the ids of
+    each distinct piece once. ``pattern``: the vocabulary's own pattern of pieces.
+    """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, pattern: str):
+        import regex
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.model, self.pieces, self.ids = Tokenizer.from_file(path).model, regex.compile(pattern).findall, {}
+        self.letters = _byte_letters()
+
+    def __missing__(self, word: str) -> bytes:
+        plain = _PLAIN.fullmatch(word)
+        value = self[word] = b"".join([self.ids.get(p) or self._piece(p) for p in (plain.groups() if plain else self.pieces(word)) if p])
+        return value
+
+    def _piece(self, piece: str) -> bytes:
+        letters = piece.encode("utf-8").decode("latin-1").translate(self.letters)
+        value = self.ids[piece] = np.array([t.id for t in self.model.tokenize(letters)], np.uint16).tobytes()
+        return value
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        words = [_words(x) for x in texts]
-        if len(self) > REMEMBERED:
-            self.clear()
-        new = list(set().union(*words).difference(self))
-        for word, found in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self[word] = np.array(found.ids, np.uint16).tobytes()
-        return [b"".join(map(self.__getitem__, x)) for x in words]
+        out = []
+        for text in texts:
+            for memory in (self, self.ids):
+                if len(memory) > REMEMBERED:
+                    memory.clear()
+            out.append(b"".join(map(self.__getitem__, _words(text))))
+        return out
 
 
 def _words(text: str) -> list[str]:
@@ -40,8 +64,7 @@ def _words(text: str) -> list[str]:
 def encoder(path: str) -> Encoder:
     """One for each worker, kept between tasks. Vocabularies of up to 65,536 ids."""
     if path not in _LOADED:
-        import os
+        import public_tokenizers
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        _LOADED[path] = Encoder(path)
+        _LOADED[path] = Encoder(path, public_tokenizers.PATTERN)
     return _LOADED[path]
