@@ -31,12 +31,11 @@ def to_whole(text: Column, width: str = "int") -> Column:
 
 
 def to_instant(date: Column, epoch_ms: Column) -> Column:
-    """Parse ``date``; failing that without its UTC suffix; failing that use the epoch milliseconds.
+    """Parse ``date``; failing that without its UTC suffix; failing that use the epoch milliseconds, a whole number.
 
-    The epoch form keeps whole seconds only. A NaN epoch counts as 0, an epoch beyond the
-    timestamp range as NULL.
+    The epoch form keeps whole seconds only. An epoch beyond the timestamp range is NULL.
     """
-    seconds = F.nanvl(to_double(epoch_ms), F.lit(0.0)) / F.lit(1000)
+    seconds = (epoch_ms / F.lit(1000)).cast("double")
     in_range = F.abs(seconds) <= F.lit(float(_LAST_SECOND))
     return F.coalesce(
         date.try_cast("timestamp"),

@@ -81,12 +81,19 @@ def fit_stored(model_name: str, train: DataFrame, path: str, seed: int = SEED, *
     return PipelineModel.load(path)
 
 
+#: What explains a model: the name of the quantity, and the attributes that hold it and its constant term.
+_LINEAR, _TREES = ("coefficient", "coefficients", "intercept"), ("importance", "featureImportances", None)
+EXPLAINED = {
+    "linear_regression_baseline": _LINEAR,
+    "generalized_linear_regression": _LINEAR,
+    "logistic_regression_baseline": _LINEAR,
+}
+
+
 def explain(fitted: PipelineModel, model_name: str) -> list[dict]:
-    """Importance or coefficient per input, with the intercept for linear models."""
-    model, inputs = fitted.stages[-1], input_columns(model_name)
-    if hasattr(model, "featureImportances"):
-        return [{"feature": f, "importance": float(v)} for f, v in zip(inputs, model.featureImportances.toArray())]
-    if hasattr(model, "coefficients"):
-        rows = [{"feature": f, "coefficient": float(v)} for f, v in zip(inputs, model.coefficients.toArray())]
-        return [*rows, {"feature": "intercept", "coefficient": float(model.intercept)}]
-    return [{"feature": "not_available", "model": model_name}]
+    """One row per input of the model: ``feature, kind, value``; the constant term of a linear model is a row too."""
+    kind, values, constant = EXPLAINED.get(model_name, _TREES)
+    model = fitted.stages[-1]
+    row = lambda feature, value: {"feature": feature, "kind": kind, "value": float(value)}
+    rows = list(map(row, input_columns(model_name), getattr(model, values).toArray()))
+    return rows if constant is None else [*rows, row(constant, getattr(model, constant))]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
+from eventlake.sources.tables import table_exists
+
 # Summary size and the prefix of tags that belong to the tracking system.
 NEWEST_RUNS = 100
 SYSTEM_TAG_PREFIX = "mlflow."
@@ -25,6 +27,9 @@ def append_run(spark: SparkSession, path: str, run: dict) -> None:
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The run table; without rows while nothing was trained."""
+    if not table_exists(spark, path):
+        return spark.createDataFrame([], RUN_SCHEMA)
     return spark.read.schema(RUN_SCHEMA).parquet(path)
 
 

@@ -97,6 +97,8 @@ def train(
         train_rows, test_rows = train_part.count(), test_part.count()
         if train_rows + test_rows < MIN_ROWS:
             raise ValueError(f"{task.experiment}: {train_rows + test_rows} rows, needs {MIN_ROWS}")
+        if not (train_rows and test_rows):
+            raise ValueError(f"{task.experiment}: {train_rows} rows to train on and {test_rows} to test with, needs some of each")
         shared = {
             "train_test_split": share,
             "data_row_count": train_rows + test_rows,
@@ -106,7 +108,7 @@ def train(
         if task is CLASSIFICATION:
             classes = class_weights(train_part).collect()  # one row per class
             weights = {float(r["label"]): r["class_weight"] for r in classes}
-            shared["class_distribution"] = {float(r["label"]): r["count"] for r in classes}
+            shared["class_distribution"] = {float(r["label"]): r["count"] for r in data.groupBy("label").count().collect()}
             shared["class_weights"] = weights
             train_part = with_class_weights(train_part, weights)
 

@@ -133,7 +133,7 @@ def report(df: DataFrame, generated_at: str | None = None) -> DataFrame:
         parts.append(tops.select(metric.alias("metric"), _position("rank"), F.coalesce(*objects).alias("value")))
     if "year" in df.columns:
         years = yearly_counts(df)
-        parts.append(years.select(F.lit("yearly_record_count").alias("metric"), F.lpad(F.col("year").cast("string"), 6, "0").alias("key"), _object("year", "count")))
+        parts.append(years.select(F.lit("yearly_record_count").alias("metric"), F.coalesce(F.lpad(F.col("year").cast("string"), 6, "0"), F.lit("")).alias("key"), _object("year", "count")))
     if set(TOP_RECORD_COLUMNS) <= set(df.columns):
         order = Window.orderBy(F.desc_nulls_last("magnitudo"), F.asc("event_id"))
         # At most TOP_RECORDS rows are left here.
@@ -155,9 +155,14 @@ def _object(*columns: str | Column) -> Column:
     return F.to_json(F.struct(*columns), options).alias("value")
 
 
+LIST_METRICS = (*(f"{c}_distribution" for c in DISTRIBUTION_LIMITS), "top_states_by_event_count", "yearly_record_count", "top_magnitudo_records")
+
+
 def by_metric(report_df: DataFrame) -> DataFrame:
     """One ``metric, value`` row per metric; keyed metrics become a JSON object or list in key order.
 
+    A metric's name decides its form, never its keys: records without a timestamp make a year without a value.
+
     The report is bounded: its size depends on the number of columns, the limits and the years.
     """
     entries = F.sort_array(F.collect_list(F.struct("key", "value")))
@@ -167,7 +172,7 @@ def by_metric(report_df: DataFrame) -> DataFrame:
     as_object = F.to_json(F.map_from_entries(F.transform("entries", lambda e: F.struct(e["key"], e["value"].cast("bigint")))))
     text = (
         F.when(F.col("metric") == "null_counts", as_object)
-        .when(F.col("entries")[0]["key"].isNotNull(), as_list)
+        .when(F.col("metric").isin(*LIST_METRICS), as_list)
         .otherwise(F.col("entries")[0]["value"])
     )
     return grouped.select("metric", text.alias("value"))

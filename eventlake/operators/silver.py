@@ -33,7 +33,7 @@ def _typed() -> dict:
         **{c: to_whole(F.col(c)) for c in ("tsunami", "significance")},
         **{c: to_double(F.col(c)) for c in ("magnitudo", "longitude", "latitude", "depth")},
         "state": F.coalesce(F.trim("state"), F.lit(UNKNOWN_STATE)),
-        "date": to_instant(F.col("date"), F.col("time")),
+        "date": to_instant(F.col("date"), to_whole(F.col("time"), "bigint")),
         "ingested_at": F.col("ingested_at").try_cast("timestamp"),
     }
 

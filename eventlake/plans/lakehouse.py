@@ -12,7 +12,7 @@ from eventlake.ml.inference import write_predictions
 from eventlake.ml.runs import read_runs, run_summary, write_csv
 from eventlake.ml.training import CLASSIFICATION, REGRESSION, train
 from eventlake.operators.events import build_events, to_messages
-from eventlake.operators.gold import daily_aggregates, feature_table, state_aggregates, tsunami_risk_set
+from eventlake.operators.gold import daily_aggregates, feature_table, state_aggregates, tsunami_risk_set, usable
 from eventlake.operators.quality import report, write_report
 from eventlake.schemas import BRONZE_COLUMNS, SILVER_COLUMNS
 from eventlake.session import require_utc
@@ -78,9 +78,10 @@ def build_analytics(spark: SparkSession, lake: Layout) -> dict[str, int]:
     columns, so that costs less than holding all features in executor memory.
     """
     require_utc(spark)
-    clean_df = require_rows(read_table(spark, lake.clean), "clean layer")
+    clean_df = read_table(spark, lake.clean)
+    require_rows(usable(clean_df), "clean layer, as far as usable,")  # before the stored features are replaced
     counts = {"features": write_table(feature_table(clean_df), lake.features, partition_by=["year"])}
-    features = require_rows(read_table(spark, lake.features), "feature table")
+    features = read_table(spark, lake.features)
     counts["daily_aggregates"] = write_table(daily_aggregates(features), lake.daily_aggregates)
     counts["state_aggregates"] = write_table(state_aggregates(features), lake.state_aggregates)
     counts["tsunami_risk"] = write_table(tsunami_risk_set(features), lake.tsunami_risk)

@@ -63,7 +63,8 @@ def upsert_batch(valid: DataFrame, batch: str, clean_path: str) -> int:
         stored = read_if_exists(spark, clean_path)
         if stored is not None:
             fresh = new_records(candidates, stored.where(F.col(BATCH_COLUMN) != batch), batch_rows=rows)
-        return write_batch(fresh, clean_path, batch)
+        # Joins by name move their key to the front; every batch is stored in the order of the contract.
+        return write_batch(fresh.select(*candidates.columns), clean_path, batch)
 
 
 def write_clean_batch(cleaned: DataFrame, batch: str, clean_path: str, quarantine_path: str) -> None:

@@ -17,7 +17,8 @@ DIALECTS = {
 }
 
 RAW_EVENTS = """
-SELECT CAST({ms} AS STRING) AS time,
+SELECT CASE WHEN event_id % 142 = 0 THEN 'NaN' WHEN event_id % 213 = 0 THEN '1.5e12' WHEN event_id % 355 = 0 THEN '1000d'
+    ELSE CAST({ms} AS STRING) END AS time,
   '  Zone ' || CAST(user_id AS STRING) || ' ' AS place,
   ' ' || upper(event_type) || ' ' AS status,
   CASE WHEN event_type='error' THEN '1' ELSE '0' END AS tsunami,
@@ -61,31 +62,6 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(raw_sql("spark"), events=events_table(spark, sf_dir))
 
 
-#: A broker may deliver again: the same payload at a later offset.
-REDELIVERED = """
-SELECT * FROM {raw}
-UNION ALL
-SELECT {columns}, kafka_topic, kafka_partition, kafka_offset + 1000000000 AS kafka_offset, kafka_timestamp
-FROM {raw} WHERE kafka_offset % 101 = 0
-"""
-
-
-def raw_sql(dialect: str, events: str = "{events}") -> str:
-    return RAW_EVENTS.format(events=events, **DIALECTS[dialect])
-
-
-def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
-
-
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(raw_sql("spark"), events=events_table(spark, sf_dir))
-
-
-def identified_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_events(spark, sf_dir).where(F.col("event_id").isNotNull())
-
-
 #: Two deliveries of the raw events. The second also repeats records of both at later offsets,
 #: some unchanged and some with another place, so with a known event id but a new natural key.
 DELIVERIES = """

@@ -8,12 +8,12 @@ from harness import fixtures
 MESSAGE = "kafka_topic, kafka_partition, kafka_offset, kafka_timestamp"
 
 TYPED = """
-SELECT TRY_CAST(r.time AS BIGINT) AS time, trim(r.place) AS place, lower(trim(r.status)) AS status,
+SELECT CASE WHEN regexp_full_match(r.time, '[+-]?[0-9]+') THEN TRY_CAST(r.time AS BIGINT) END AS time, trim(r.place) AS place, lower(trim(r.status)) AS status,
   TRY_CAST(r.tsunami AS INTEGER) AS tsunami, TRY_CAST(r.significance AS INTEGER) AS significance,
   lower(trim(r.data_type)) AS data_type, TRY_CAST(r.magnitudo AS DOUBLE) AS magnitudo,
   coalesce(trim(r.state), 'unknown') AS state, TRY_CAST(r.longitude AS DOUBLE) AS longitude,
   TRY_CAST(r.latitude AS DOUBLE) AS latitude, TRY_CAST(r.depth AS DOUBLE) AS depth,
-  coalesce(TRY_CAST(r.date AS TIMESTAMP), make_timestamp((TRY_CAST(r.time AS BIGINT) // 1000) * 1000000)) AS date,
+  coalesce(TRY_CAST(r.date AS TIMESTAMP), make_timestamp((CASE WHEN regexp_full_match(r.time, '[+-]?[0-9]+') THEN TRY_CAST(r.time AS BIGINT) END // 1000) * 1000000)) AS date,
   r.event_id, TRY_CAST(r.ingested_at AS TIMESTAMP) AS ingested_at, r.source_file,
   r.kafka_topic, r.kafka_partition, r.kafka_offset, r.kafka_timestamp {extra}
 FROM {raw} r

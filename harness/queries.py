@@ -464,7 +464,7 @@ def _model(name: str) -> Query:
             (result,) = train(CLASSIFICATION, classification_data(spark, sf_dir), folder, models=[name])
         fitted = PipelineModel.load(f"{folder}/models/{result['run_id']}")
         rows = [("metric", m, v) for m, v in result.items() if isinstance(v, float)]
-        rows += [("input", e["feature"], e.get("importance", e.get("coefficient"))) for e in explain(fitted, name)]
+        rows += [("input", e["feature"], e["value"]) for e in explain(fitted, name)]
         return spark.createDataFrame(rows, "kind string, name string, value double")
 
     return query

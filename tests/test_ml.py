@@ -136,7 +136,7 @@ def test_explanations(features):
     linear = explain(build_pipeline("linear_regression_baseline").fit(frame), "linear_regression_baseline")
     assert [r["feature"] for r in linear] == [*input_columns("linear_regression_baseline"), "intercept"]
     tree = explain(build_pipeline("decision_tree_regressor").fit(frame), "decision_tree_regressor")
-    assert sum(r["importance"] for r in tree) == pytest.approx(1)
+    assert sum(r["value"] for r in tree) == pytest.approx(1)
 
 
 def run(i, **changes):

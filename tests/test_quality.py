@@ -11,16 +11,16 @@ def as_dict(report):
 
 
 def test_report_on_the_clean_layer(spark):
-    df = silver.clean(raw(spark, {}, BAD, {"event_id": "quake-3", "magnitudo": "9"}))
+    df = silver.clean(raw(spark, {}, BAD, {"event_id": "third", "magnitudo": "9"}))
     got = as_dict(quality.report(df, generated_at="now"))
     assert got["generated_at"] == "now" and got["total_record_count"] == "3"
     assert (got["invalid_latitude_count"], got["null_magnitudo_count"], got["negative_depth_count"]) == ("1", "1", "1")
     assert json.loads(got["null_counts"])["magnitudo"] == 1 and len(json.loads(got["null_counts"])) == 32
     assert json.loads(got["tsunami_distribution"]) == [{"tsunami": 0, "count": 3}]
-    assert json.loads(got["yearly_record_count"]) == [{"year": 2024, "count": 3}]
-    assert json.loads(got["top_states_by_event_count"]) == [{"state": "Nevada", "count": 2}, {"state": "Elsewhere", "count": 1}]
+    assert json.loads(got["yearly_record_count"]) == [{"year": 1970, "count": 3}]
+    assert json.loads(got["top_states_by_event_count"]) == [{"state": "First", "count": 2}, {"state": "Second", "count": 1}]
     top = json.loads(got["top_magnitudo_records"])
-    assert [t["event_id"] for t in top] == ["quake-3", "quake-1", "quake-2"]
+    assert [t["event_id"] for t in top] == ["third", "good", "bad"]
     assert top[0]["event_timestamp"] == "2024-01-01T00:32:33.990000" and top[2]["magnitudo"] is None
 
 
@@ -60,3 +60,9 @@ def test_write_report(spark, lake):
     (path,) = glob(f"{lake}/data_quality_report_json/*.json")
     with open(path, encoding="utf-8") as file:
         assert {json.loads(line)["metric"] for line in file} == set(rows)
+
+
+def test_a_record_without_timestamp_hides_no_year(spark, lake):
+    df = silver.clean(raw(spark, {}, {"date": None, "time": "NaN", "event_id": "b", "kafka_offset": 3}, {"date": "1971-05-05", "event_id": "c", "kafka_offset": 4}))
+    years = {r["metric"]: r["value"] for r in quality.by_metric(quality.report(df)).collect()}["yearly_record_count"]
+    assert json.loads(years) == [{"year": None, "count": 1}, {"year": 1970, "count": 1}, {"year": 1971, "count": 1}]

@@ -38,7 +38,7 @@ def test_streams_equal_the_batch_path_and_restart(spark, lake):
     cleaned = silver.clean(bronze.good_records(everything))
     batch = sorted(first_per_key(silver.valid_records(cleaned)).select(*SILVER_COLUMNS[12:13], "record_natural_key").collect())
     assert load(spark, lake, "clean", ("event_id", "record_natural_key")) == batch
-    assert [r["event_id"] for r in load(spark, lake, "quarantine")] == ["quake-2"]
+    assert [r["event_id"] for r in load(spark, lake, "quarantine")] == ["bad"]
 
     before = load(spark, lake, "clean")
     drain(spark, lake)  # nothing new
@@ -103,3 +103,10 @@ def test_processing_time_trigger(spark, lake):
         assert query.name == "messages_to_raw" and len(load(spark, lake, "raw")) == 1
     finally:
         query.stop()
+
+
+def test_every_batch_is_stored_in_the_order_of_the_contract(spark, lake):
+    for i in range(2):
+        rows = silver.clean(raw(spark, {"event_id": f"e{i}", "place": f"p{i}"}))
+        jobs.upsert_batch(rows.select(*SILVER_COLUMNS), f"s-{i}", f"{lake}/clean")
+        assert spark.read.parquet(f"{lake}/clean/batch=s-{i}").columns == SILVER_COLUMNS
