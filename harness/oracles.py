@@ -180,8 +180,8 @@ def _report() -> str:
         f"SELECT 'null_counts' AS metric, \"column\" AS key, CAST(null_count AS VARCHAR) AS value FROM ({_nulls('silver', SILVER_COLUMNS)})",
         *(listed(c) for c in _LIMITS),
         "SELECT 'yearly_record_count', coalesce(lpad(CAST(year AS VARCHAR), 6, '0'), ''), '{\"year\":' || coalesce(CAST(year AS VARCHAR), 'null') || ',\"count\":' || CAST(count(*) AS VARCHAR) || '}' FROM silver GROUP BY year",
-        "SELECT 'top_magnitudo_records', lpad(CAST(rn AS VARCHAR), 6, '0'), '{\"event_id\":\"' || event_id || '\",\"event_timestamp\":\"' "
-        "|| strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f') || '\",\"place\":\"' || place || '\",\"state\":\"' || state || '\",\"magnitudo\":' "
+        "SELECT 'top_magnitudo_records', lpad(CAST(rn AS VARCHAR), 6, '0'), '{\"event_id\":\"' || event_id || '\",\"event_timestamp\":' "
+        "|| coalesce('\"' || strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f') || '\"', 'null') || ',\"place\":\"' || place || '\",\"state\":\"' || state || '\",\"magnitudo\":' "
         "|| CAST(magnitudo AS VARCHAR) || ',\"depth\":' || coalesce(CAST(depth AS VARCHAR), 'null') || '}' "
         "FROM (SELECT *, row_number() OVER (ORDER BY magnitudo DESC NULLS LAST, event_id) AS rn FROM silver) WHERE rn <= 20",
     ]
