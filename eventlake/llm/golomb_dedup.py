@@ -13,7 +13,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.llm.common import text_of, written
@@ -114,10 +114,24 @@ def groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text", prints:
 
 
 def numbered(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Written: ``key``, ``block``, ``fp`` and ``text_sha256`` of every row."""
-    block = F.monotonically_increasing_id().bitwiseAND(F.lit(-BLOCK_ROWS))
-    rows = docs.select(F.col(key).alias("key"), block.alias("block"), _fp(text).alias("fp"), F.sha2(text_of(text), 256).alias("text_sha256"))
-    return written(rows, "fingerprints")
+    """Written: ``key``, ``row`` (unique), ``block``, ``fp`` and ``text_sha256`` of every row."""
+    row = F.monotonically_increasing_id()
+    columns = [F.col(key).alias("key"), row.alias("row"), row.bitwiseAND(F.lit(-BLOCK_ROWS)).alias("block"), _fp(text).alias("fp"), F.sha2(text_of(text), 256).alias("text_sha256")]
+    return written(docs.select(*columns), "fingerprints")
+
+
+def by_block(prints: DataFrame, copies: DataFrame) -> DataFrame:
+    """Written: the groups of ``copies`` that a block has rows of, and ``keep_row``, the row that stays.
+
+    Each block asks once for a text, however many copies it holds, so that a group of any size stays spread over its blocks.
+    """
+    best = prints.select("text_sha256", "row", F.col("key").alias("keep_id")).join(
+        copies.select(F.col("text_sha256").alias("sha"), F.col("keep_id").alias("best")).hint("merge"),
+        (F.col("text_sha256") == F.col("sha")) & F.col("keep_id").eqNullSafe(F.col("best")),
+    )
+    stays = written(best.groupBy("text_sha256").agg(F.min("row").alias("keep_row")), "keepers")
+    asked = prints.select("block", "text_sha256").distinct()
+    return written(asked.join(copies.join(stays.hint("merge"), "text_sha256").hint("merge"), "text_sha256"), "copies-by-block")
 
 
 def exact_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -127,23 +141,26 @@ def exact_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text"
     key and text are told apart: one of them is kept. An empty table gives no rows.
     """
     prints = numbered(docs, key=key, text=text)
-    copies = groups(docs, key=key, text=text, prints=prints)
-    rows = prints.select("key", "text_sha256").join(copies.withColumn("copied", F.lit(True)).hint("merge"), "text_sha256", "left")
-    repeat = F.row_number().over(Window.partitionBy("text_sha256", "key").orderBy(F.lit(0)))
-    keep = F.when(F.col("copied"), F.col("keep_id")).otherwise(F.col("key"))
-    return rows.withColumn("repeat", repeat).select(
+    copies = by_block(prints, groups(docs, key=key, text=text, prints=prints))
+    rows = prints.join(copies.hint("merge"), ["block", "text_sha256"], "left")
+    single = F.col("keep_row").isNull()
+    return rows.select(
         F.col("key").alias("doc_id"),
-        keep.alias("keep_id"),
+        F.when(single, F.col("key")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).alias("group_size"),
-        (F.col("key").eqNullSafe(keep) & (F.col("repeat") == 1)).alias("kept"),
+        (single | (F.col("row") == F.col("keep_row"))).alias("kept"),
         "text_sha256",
     )
 
 
 def without_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are kept, all columns."""
-    copies = groups(docs, key=key, text=text)
+    """The rows of ``docs`` that are kept, all columns. Rows meet their group by text and key: its copies stay spread."""
+    prints = numbered(docs, key=key, text=text)
+    copies = by_block(prints, groups(docs, key=key, text=text, prints=prints))
+    grouped = prints.select("block", "text_sha256", "key").distinct().join(copies.hint("merge"), ["block", "text_sha256"])
+    marks = grouped.select(F.col("text_sha256").alias("sha"), F.col("key").alias("marked"), F.col("key").eqNullSafe(F.col("keep_id")).alias("stays")).distinct()
     rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("key"), F.sha2(text_of(text), 256).alias("text_sha256"))
-    joined = rows.join(copies.hint("merge"), "text_sha256", "left").where(F.col("group_size").isNull() | F.col("key").eqNullSafe(F.col("keep_id")))
-    single = joined.where(F.col("group_size").isNull()).select("row.*")
-    return single.unionByName(joined.where(F.col("group_size").isNotNull()).dropDuplicates(["text_sha256"]).select("row.*"))
+    same = (F.col("text_sha256") == F.col("sha")) & F.col("key").eqNullSafe(F.col("marked"))
+    joined = rows.join(marks.hint("merge"), same, "left")
+    once = joined.where("stays").dropDuplicates(["text_sha256"])
+    return joined.where(F.col("stays").isNull()).select("row.*").unionByName(once.select("row.*"))
