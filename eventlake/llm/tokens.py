@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import re
+from array import array
 
-import numpy as np
-
-#: Words, and pieces of words, whose ids a worker remembers.
-REMEMBERED = 150_000
+#: Words, and pieces of words, that a worker meets before it forgets those it did not meet again.
+REMEMBERED = 200_000
 #: Words of one run of letters and one of punctuation, which need no Unicode tables to be split.
 _PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
 _LOADED: dict[str, Encoder] = {}
@@ -33,24 +32,33 @@ class Encoder(dict):
         from tokenizers import Tokenizer
 
         self.model, self.pieces, self.ids = Tokenizer.from_file(path).model, regex.compile(pattern).findall, {}
+        self.earlier_words, self.earlier_ids = {}, {}
         self.letters = _byte_letters()
 
     def __missing__(self, word: str) -> bytes:
-        plain = _PLAIN.fullmatch(word)
-        value = self[word] = b"".join([self.ids.get(p) or self._piece(p) for p in (plain.groups() if plain else self.pieces(word)) if p])
+        value = self.earlier_words.get(word)
+        if value is None:
+            plain = _PLAIN.fullmatch(word)
+            value = b"".join([self.ids.get(p) or self._piece(p) for p in (plain.groups() if plain else self.pieces(word)) if p])
+        self[word] = value
         return value
 
     def _piece(self, piece: str) -> bytes:
-        letters = piece.encode("utf-8").decode("latin-1").translate(self.letters)
-        value = self.ids[piece] = np.array([t.id for t in self.model.tokenize(letters)], np.uint16).tobytes()
+        value = self.earlier_ids.get(piece)
+        if value is None:
+            letters = piece.encode("utf-8").decode("latin-1").translate(self.letters)
+            value = array("H", [t.id for t in self.model.tokenize(letters)]).tobytes()
+        self.ids[piece] = value
         return value
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out = []
         for text in texts:
-            for memory in (self, self.ids):
-                if len(memory) > REMEMBERED:
-                    memory.clear()
+            if len(self) > REMEMBERED:
+                self.earlier_words = dict(self)
+                self.clear()
+            if len(self.ids) > REMEMBERED:
+                self.ids, self.earlier_ids = {}, self.ids
             out.append(b"".join(map(self.__getitem__, _words(text))))
         return out
 
