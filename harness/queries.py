@@ -28,7 +28,7 @@ from harness.layers import clean_layer, feature_layer, once, raw_layer, source_r
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
 
-ROWS_PER_CSV_FILE = 1_000_000
+ROWS_PER_CSV_FILE = 2_000
 FIXED_TIME = "2024-02-01T00:00:00Z"
 
 
