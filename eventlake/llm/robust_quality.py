@@ -3,7 +3,9 @@
 Base rules reject texts that are short or repeat themselves. For the others a vector of transformed statistics is held
 against the estimate of its language and source: centre and scatter of the half of the group that lies closest together,
 found by concentration steps from two deterministic starts, then reweighted. A text is rejected if its Mahalanobis distance
-exceeds a cutoff. Groups that are too small for an estimate are joined within their language, and at last over all languages.
+exceeds a cutoff. Groups that are too small for an estimate are joined within their language. If that is too small as well,
+the estimate over all rows of the language serves them, large groups included; rows of languages that are too small are
+joined, and at last the whole table is one group.
 
 All statistics are counts over every row. The vectors are fixed-point integers and sums are exact, so that the estimates do
 not depend on the order of the rows. A group never meets in one task: medians and the closest half come from counts of
@@ -36,6 +38,8 @@ VECTOR = {
 P = len(VECTOR)
 #: Steps of the fixed-point numbers, quantiles' bins for each unit, smallest group, concentration steps.
 STEP, BINS, MIN_GROUP, STEPS = 1024, 32, 100, 4
+#: The whole table serves as the last group from five rows for each coordinate on.
+MIN_TABLE = 5 * P
 #: Chi-square quantiles with five degrees of freedom: the median, 0.975 (reweighting) and 1 - 1e-9 (rejection).
 CHI2_MEDIAN, CHI2_REWEIGHT, CHI2_CUTOFF = 4.3515, 12.833, 50.69
 _MOMENTS = [(i, j) for i in range(P) for j in range(i, P)]
@@ -78,17 +82,25 @@ def _vector() -> list[Column]:
     return [F.round(F.expr(how) * STEP).cast("long").alias(f"x{i}") for i, (how, _) in enumerate(VECTOR.values())]
 
 
-def _grouped(stats: DataFrame, min_group: int) -> DataFrame:
-    """lang, source, ``grp``: the group whose estimate serves the rows; NULL if even the last joint group is too small."""
+def _grouped(stats: DataFrame, min_group: int) -> tuple[DataFrame, DataFrame]:
+    """Groups: lang, source, ``grp``, whose estimate serves the rows; NULL if even the whole table is too small. Members: lang,
+    source, grp, whose rows an estimate is made of; a language's or the table's are also those of groups with their own."""
     sizes = written(stats.where(~base_failed()).groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n")), "sizes")
-    small = sizes.where(F.col("n") < min_group)
-    langs = written(small.groupBy("lang").agg(F.sum("n").alias("n_lang")), "langs")
-    rest = langs.where(F.col("n_lang") < min_group).agg(F.sum("n_lang").alias("n_rest"))
-    joined = sizes.join(langs.withColumnRenamed("lang", "of"), F.col("lang").eqNullSafe(F.col("of")), "left").crossJoin(F.broadcast(rest))  # one row
+    small = F.when(F.col("n") < min_group, F.col("n"))
+    langs = written(sizes.groupBy(F.col("lang").alias("of")).agg(F.sum("n").alias("n_lang"), F.sum(small).alias("n_small")), "langs")
+    rest = langs.agg(F.sum(F.when(F.col("n_lang") < min_group, F.col("n_lang"))).alias("n_rest"), F.sum("n_lang").alias("n_all"))
+    joined = sizes.join(langs, F.col("lang").eqNullSafe(F.col("of")), "left").crossJoin(F.broadcast(rest))  # one row
     own = F.to_json(F.struct(F.lit(1).alias("own"), "lang", "source"))
-    lang = F.to_json(F.struct(F.lit(1).alias("joint"), "lang"))
-    group = F.when(F.col("n") >= min_group, own).when(F.col("n_lang") >= min_group, lang).when(F.col("n_rest") >= min_group, F.lit("{}"))
-    return written(joined.select("lang", "source", group.alias("grp")), "groups")
+    joint = F.to_json(F.struct(F.lit(1).alias("joint"), "lang"))
+    lang = F.to_json(F.struct(F.lit(1).alias("whole"), "lang"))
+    rare = F.when(F.col("n_lang") < min_group, F.lit("{}"))
+    every = F.lit('{"every":1}')
+    group = F.when(F.col("n") >= min_group, own).when(F.col("n_small") >= min_group, joint).when(F.col("n_lang") >= min_group, lang)
+    group = group.when(F.col("n_rest") >= min_group, rare).when(F.col("n_all") >= min(min_group, MIN_TABLE), every)
+    placed = written(joined.select("lang", "source", group.alias("grp"), lang.alias("whole")), "groups")
+    pools = placed.select("lang", "source", F.explode(F.array("grp", "whole", every)).alias("grp")).distinct()
+    members = pools.join(placed.where("grp is not null").select("grp").distinct(), "grp", "left_semi")
+    return placed.drop("whole"), written(members, "members")
 
 
 def _quantiles(values: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
@@ -173,10 +185,10 @@ def _starts(rows: DataFrame) -> DataFrame:
 
 def fit(stats: DataFrame, *, min_group: int = MIN_GROUP, steps: int = STEPS) -> tuple[DataFrame, DataFrame]:
     """Groups (lang, source, grp) and estimates (grp, centre, inverse, ``scale``) from counts (lang, source, ``COUNTS``)."""
-    groups = _grouped(stats, min_group)
+    groups, members = _grouped(stats, min_group)
     keyed = stats.where(~base_failed()).select(F.col("lang").alias("l"), F.col("source").alias("s"), *_vector())
     on = F.col("l").eqNullSafe(F.col("lang")) & F.col("s").eqNullSafe(F.col("source"))
-    rows = written(keyed.join(groups.where("grp is not null"), on).select("grp", *(f"x{i}" for i in range(P))), "vectors")
+    rows = written(keyed.join(members, on).select("grp", *(f"x{i}" for i in range(P))), "vectors")
     estimates = _starts(rows)
     for _ in range(steps):
         placed = rows.join(estimates, "grp").select("grp", "start", *(f"x{i}" for i in range(P)), _bin().alias("bin"))
@@ -211,7 +223,7 @@ def quality(docs: DataFrame, *, key: str = "doc_id", min_group: int = MIN_GROUP)
     """One row per row of ``docs``: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, distance.
 
     A NULL text has no words and fails. NULL languages and sources form groups of their own. Rows without an estimate
-    (fewer than ``min_group`` rows even when joined) are judged by the base rules. An empty table gives no rows.
+    (a table with fewer than ``MIN_TABLE`` that pass the base rules) are judged by those alone. An empty table gives no rows.
     """
     counted = with_counts(docs.select(F.col(key).alias("doc_id"), "text", "lang", "source"))
     stats = written(counted.select("row.doc_id", "row.lang", "row.source", "counts.*"), "counts")
