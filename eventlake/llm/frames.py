@@ -101,7 +101,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, *, key: str = "doc_id",
         writer = None
         for part in (c for batch in batches for c in chunks(batch, "text", CHUNK)):
             writer = writer or Writer(path)
-            for row, raw in zip(part.column("key").to_pylist(), encoder(tokenizer).encode(part.column("text").to_pylist()), strict=True):
+            for row, raw in zip(part.column("key").to_pylist(), encoder(tokenizer).tokenized(part.column("text").to_pylist()), strict=True):
                 writer.add(row, np.append(np.frombuffer(raw, np.uint16), np.uint16(end)))
         if writer:
             writer.close()

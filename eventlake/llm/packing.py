@@ -33,7 +33,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str =
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (c for batch in batches for c in chunks(batch, "text", CHUNK)):
             rows = []
-            for row, raw in zip(part.column("key").to_pylist(), encoder(tokenizer).encode(part.column("text").to_pylist()), strict=True):
+            for row, raw in zip(part.column("key").to_pylist(), encoder(tokenizer).tokenized(part.column("text").to_pylist()), strict=True):
                 ids = np.append(np.frombuffer(raw, np.uint16), np.uint16(end))
                 first = (len(ids) - 1) % size + 1
                 edges = [0, *range(first, len(ids) + 1, size)]

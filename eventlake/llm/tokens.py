@@ -24,16 +24,22 @@ class Encoder(dict):
 
     Its pieces never join across the place before a space that a non-space follows, so a text's ids are those of its words,
     each with its space. A word falls into pieces by the pattern of the vocabulary, and the library's model gives the ids of
-    each distinct piece once. ``pattern``: the vocabulary's own pattern of pieces.
+    each distinct piece once. ``pattern``: the vocabulary's own pattern of pieces. ``encode`` reads all text as ordinary text;
+    ``tokenized`` finds the tokenizer's added tokens in it first, as the tokenizer does as loaded.
     """
 
     def __init__(self, path: str, pattern: str):
         import regex
         from tokenizers import Tokenizer
 
-        self.model, self.pieces, self.ids = Tokenizer.from_file(path).model, regex.compile(pattern).findall, {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.pieces, self.ids = self.tokenizer.model, regex.compile(pattern).findall, {}
         self.earlier_words, self.earlier_ids = {}, {}
         self.letters = _byte_letters()
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = {t.content: array("H", [i]).tobytes() for i, t in added.items()}
+        self.plain_added = not any(t.lstrip or t.rstrip or t.single_word for t in added.values())
+        self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split
 
     def __missing__(self, word: str) -> bytes:
         value = self.earlier_words.get(word)
@@ -63,6 +69,22 @@ class Encoder(dict):
         return out
 
 
+    def tokenized(self, texts: list[str]) -> list[bytes]:
+        """Added tokens that take in their surroundings are left to the library."""
+        out = []
+        for text in texts:
+            if not any(t in text for t in self.added):
+                out += self.encode([text])
+            elif self.plain_added:
+                parts = self.split(text)
+                parts[::2] = self.encode(parts[::2])
+                parts[1::2] = [self.added[t] for t in parts[1::2]]
+                out.append(b"".join(parts))
+            else:
+                out.append(array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes())
+        return out
+
+
 def _words(text: str) -> list[str]:
     if "\x00" in text or re.search(r" \s", text):
         return re.split(r"(?= \S)", text)

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
 
-from eventlake.llm import robust_quality
+from eventlake.llm import frames, packing, robust_quality
+from eventlake.llm.queries import TOKENIZER
+from eventlake.llm.tokens import encoder
 
 # quality
 
@@ -32,3 +38,23 @@ def test_a_small_source_beside_large_ones_is_judged_by_its_language(spark):
 def test_a_rare_language_and_a_small_table_are_judged_by_the_whole_table(spark):
     _rejects_the_bad(spark, ("en", "large", 300, 0), (None, "new", 3, 9))
     _rejects_the_bad(spark, ("en", "a", 50, 3), ("de", None, 20, 2))
+
+
+# tokens
+
+
+WITH_ADDED = ["x<|endoftext|>y", "<|endoftext|>", "<|endoftext|><|endoftext|> a", "a <|endoftext|>\n b  c <|endoftext|>", "  <|endoftext|>  ", "<|endoftext|", "plain text", ""]
+
+
+def test_added_tokens_are_found_as_the_loaded_tokenizer_finds_them(documents, tmp_path):
+    loaded = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = [loaded.encode(t, add_special_tokens=False).ids for t in WITH_ADDED]
+    assert ids[0] == [87, 50256, 88]
+    assert [np.frombuffer(x, np.uint16).tolist() for x in encoder(TOKENIZER).tokenized(WITH_ADDED)] == ids
+
+    docs = documents(*enumerate(WITH_ADDED))
+    expected = {k: (len(x) + 1, lambda end, x=x: zlib.crc32(np.array([*x, end], "<u4").tobytes())) for k, x in enumerate(ids)}
+    packed = packing.packed(docs, TOKENIZER).collect()
+    assert {r.doc_id: (r.length, r.ids_crc32) for r in packed} == {k: (n, crc(2)) for k, (n, crc) in expected.items()}
+    framed = frames.round_trip(docs, str(tmp_path), TOKENIZER).collect()
+    assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in framed} == {k: (n, crc(0)) for k, (n, crc) in expected.items()}
