@@ -7,6 +7,7 @@ identifier and a secret that belong together are near.
 
 Spans count code points. They follow from the pieces between matches (``split``) and the matches, in one pass over the text.
 The interval join is an equi-join on cells as wide as the allowed distance, so that its rows are bounded by the cells' width.
+A span is in all cells it covers, whatever its length; a pair is joined in the first cell that both share.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ ACCESS, HEX = r"AKIA[A-Z0-9]{16,}", r"[0-9a-f]{24,}"
 SHORTEST_VALUE = 6
 #: Weak kinds. Identifiers and secrets stand alone between characters that cannot belong to them.
 IDENTIFIER = r"(?<![A-Za-z0-9_])[A-Z](?=[A-Z0-9]{0,30}[0-9])[A-Z0-9]{15,31}(?![A-Za-z0-9_])"
-SECRET = r"(?<![A-Za-z0-9+/_=-])(?=[a-z0-9+/]*[A-Z])(?=[A-Z0-9+/]*[a-z])(?=[A-Za-z+/]*[0-9])[A-Za-z0-9+/]{32,64}={0,2}(?![A-Za-z0-9+/_=-])"
+SECRET = r"(?<![A-Za-z0-9+/_=-])(?=[a-z0-9+/]*[A-Z])(?=[A-Z0-9+/]*[a-z])(?=[A-Za-z+/]*[0-9])[A-Za-z0-9+/]{32,}+={0,2}+(?![A-Za-z0-9+/_=-])"
 ENDPOINT = r"""(?i)\bhttps?://[a-z0-9.-]+(?::[0-9]{1,5})?(?:/[^\x20\x09-\x0D"'<>]*)?"""
 SCOPE_END = r"\n[\x20\x09\x0D]*\n"
 BASE, WEAK = ("assign", "access", "hex"), ("identifier", "secret", "endpoint")
@@ -64,11 +65,14 @@ def _joined(found: Column) -> Column:
 
 def _meeting(left: DataFrame, right: DataFrame, reach: int) -> DataFrame:
     """Pairs of parts of the same text and scope with a gap of ``reach`` at most: columns of the left, and ``with_*``."""
-    cells = left.withColumn("near", F.explode(F.expr(f"sequence((start - {reach}) div {reach} - 1, end div {reach} + 1)")))
-    other = right.select(*(F.col(c).alias(f"with_{c}") for c in ("id", "scope", "start", "rank", "end")), F.expr(f"start div {reach}").alias("cell"))
+    first = f"greatest(0, start - {reach}) div {reach}"
+    cells = left.withColumn("first", F.expr(first)).withColumn("near", F.explode(F.expr(f"sequence(first, (end + {reach}) div {reach})")))
+    other = right.select(*(F.col(c).alias(f"with_{c}") for c in ("id", "scope", "start", "rank", "end")))
+    other = other.withColumn("cell", F.explode(F.expr(f"sequence(with_start div {reach}, with_end div {reach})")))
     on = (F.col("id") == F.col("with_id")) & (F.col("scope") == F.col("with_scope")) & (F.col("near") == F.col("cell"))
+    once = F.expr(f"cell = greatest(first, with_start div {reach})")
     gap = F.greatest(F.col("with_start") - F.col("end"), F.col("start") - F.col("with_end"))
-    return cells.join(other, on).where(gap <= reach).drop("near", "cell")
+    return cells.join(other, on).where(once & (gap <= reach)).drop("first", "near", "cell")
 
 
 def linked(parts: DataFrame, *, reach: int = REACH) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from eventlake.llm import frames, packing, robust_quality
+from eventlake.llm import frames, packing, robust_quality, secret_links
 from eventlake.llm.queries import TOKENIZER
 from eventlake.llm.tokens import encoder
 
@@ -58,3 +58,13 @@ def test_added_tokens_are_found_as_the_loaded_tokenizer_finds_them(documents, tm
     assert {r.doc_id: (r.length, r.ids_crc32) for r in packed} == {k: (n, crc(2)) for k, (n, crc) in expected.items()}
     framed = frames.round_trip(docs, str(tmp_path), TOKENIZER).collect()
     assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in framed} == {k: (n, crc(0)) for k, (n, crc) in expected.items()}
+
+
+# secrets
+
+
+def test_long_spans_meet_identifiers_and_endpoints(documents):
+    identifier, endpoint, long = "ASIA1234567890ABCDEF", "https://store.example.com/bucket", "aB3x" * 400
+    texts = [f"token={long} {identifier} {endpoint}", "0a" * 900 + f" {identifier}", f"{identifier} {'aB3/' * 22} {endpoint}", f"token={long} {'. ' * 300}{identifier}", f"{identifier} token={long} {endpoint}"]
+    got = {r.doc_id: [x.split(":")[0] for x in r.spans.split(",")] for r in secret_links.scan(documents(*enumerate(texts))).collect()}
+    assert got == {0: ["assign", "identifier", "endpoint"], 1: ["hex", "identifier"], 2: ["identifier", "secret", "endpoint"], 3: ["assign"], 4: ["identifier", "assign", "endpoint"]}
