@@ -1,8 +1,8 @@
 """Mixing sources to target weights with a multivariate-hypergeometric splitting tree.
 
 A source's documents are permuted by a hash and cut into blocks, ranges of the permutation. A source below its target is taken
-whole as often as it fits; the rest is a prefix of its permutation and up to three further documents that bring it close to the
-target. This gives each source an exact quota of blocks. A binary tree splits the quotas among output shards: at each node the
+whole as often as it fits; the rest is a prefix of its permutation, without documents longer than what is missing, continued
+behind them until none fits, and one further document if it brings the source closer to the target. This gives each source an exact quota of blocks. A binary tree splits the quotas among output shards: at each node the
 left half's number of blocks from each source is a hypergeometric draw, source after source, so that every shard is a random
 sample without replacement of the whole mix. Shards then draw their blocks from the permuted list of each source, disjoint by
 construction, and order their documents by a hash.
@@ -24,6 +24,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, CAP, SEED = (5, 2, 1), 3, 0
 #: Words of a block and of an output shard.
 BLOCK_WORDS, SHARD_WORDS = 1 << 15, 1 << 22
+#: Runs of the last pass: places after and up to, and the length above which documents are left out.
+RUNS = "array<struct<after:bigint,upto:bigint,gap:double>>"
+TAKEN = "exists(runs, r -> u > r.after and u <= r.upto and size <= r.gap) or array_contains(finish, u)"
 
 
 def permutation(key: str, text: str, seed: int) -> Column:
@@ -56,43 +59,73 @@ def _block() -> Column:
 
 
 def plan(rows: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Written: for each source its target, the number of whole passes (``passes``), of blocks, and the cut of the last pass:
-    documents up to (cut_block, cut_u), and those at the places in ``finish``. ``quota``: block copies the mix takes."""
+    """Written: for each source its target, the number of whole passes (``passes``), of blocks, and what the last pass takes: the
+    documents of its ``runs`` and those at the places in ``finish``. ``quota``: block copies the mix takes."""
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     sources = targets(rows, weights, cap).withColumns({"passes": passes, "blocks": F.greatest(F.lit(1), F.ceil(F.col("source_size") / block_words)).cast("long")})
     sources = written(sources.withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size")), "passes")
-    placed = _with_source(rows, sources, "number", "blocks", "rest").withColumn("block", _block())
-
-    upto = F.sum("words").over(Window.partitionBy("number").orderBy("block"))
-    blocks = placed.groupBy("number", "rest", "block").agg(F.sum("size").alias("words")).withColumn("upto", upto)
-    cut = blocks.where("upto > rest").groupBy("number").agg(F.min(F.struct(F.col("block").alias("cut_block"), (F.col("upto") - F.col("words")).alias("before"))).alias("c")).select("number", "c.*")
-    cut = written(cut, "cut")
-    inside = placed.join(cut, "number").where("block = cut_block")
-    so_far = F.col("before") + F.sum("size").over(Window.partitionBy("number").orderBy("u"))  # a block's rows
-    prefix = inside.withColumn("so_far", so_far).where("so_far <= rest").groupBy("number").agg(F.max("u").alias("cut_u"), F.max("so_far").alias("drawn"))
-    cut = cut.join(prefix, "number", "left").select("number", "cut_block", F.coalesce("cut_u", F.lit(-1)).alias("cut_u"), F.coalesce("drawn", "before").alias("drawn"))
-    cut = written(cut, "cut")
-    finish = _finished(placed, cut)
-    whole = sources.join(finish, "number", "left")
+    placed = _with_source(rows.select("source", "size", "u"), sources, "number", "blocks", "rest").where("rest > 0 and size > 0")
+    none = {"after": F.lit(-1).cast("long"), "cut_u": F.lit(None).cast("long"), "runs": F.array().cast(RUNS), "finish": F.array().cast("array<bigint>")}
+    state = sources.where("rest > 0").select("number", "blocks", F.col("rest").alias("gap")).withColumns(none)
+    more = True
+    while more:
+        state = _run(placed, written(state, "state"), block_words)
+        state, more = _largest(placed, state)
+    finish = _closest(placed, state).select("number", "cut_u", "runs", "finish")
+    whole = sources.join(finish, "number", "left").withColumn("cut_block", F.expr("if(cut_u is null, -1L, greatest(0L, shiftright(cut_u, 24) * blocks div 16777216))"))
     quota = F.col("passes") * F.col("blocks") + F.when(F.col("rest") > 0, F.col("cut_block") + 1).otherwise(0)
-    columns = {"cut_block": F.coalesce("cut_block", F.lit(-1)), "cut_u": F.coalesce("cut_u", F.lit(-1)), "finish": F.coalesce("finish", F.array().cast("array<bigint>")), "quota": F.coalesce(quota, F.lit(0))}
+    columns = {"runs": F.coalesce("runs", F.array().cast(RUNS)), "finish": F.coalesce("finish", F.array().cast("array<bigint>")), "quota": F.coalesce(quota, F.lit(0))}
     return written(whole.withColumns(columns), "plan")
 
 
-def _finished(placed: DataFrame, cut: DataFrame) -> DataFrame:
-    """Written: ``cut`` with the places of the documents that finish the last pass (``finish``): behind the cut, twice the
-    largest that still fits, then the one that comes closest to the target."""
-    found = cut.withColumn("finish", F.array().cast("array<bigint>"))
-    behind = "(block > cut_block or (block = cut_block and u > cut_u)) and size > 0 and not array_contains(finish, u)"
-    for fits in (True, True, False):
-        gap = F.col("rest") - F.col("drawn")
-        miss = F.abs(F.col("size") - gap)
-        wanted = F.col("size") <= gap if fits else miss < gap
-        best = placed.join(found, "number").where(behind).where(wanted).groupBy("number").agg(F.min(F.struct(miss.alias("miss"), "u", "size")).alias("best"))
-        joined = found.join(best, "number", "left")
-        more = F.when(F.col("best").isNull(), F.col("finish")).otherwise(F.concat("finish", F.array("best.u")))
-        found = written(joined.select("number", "cut_block", "cut_u", (F.col("drawn") + F.coalesce("best.size", F.lit(0))).alias("drawn"), more.alias("finish")), "finish")
-    return found
+def _run(placed: DataFrame, state: DataFrame, block_words: int) -> DataFrame:
+    """Written: ``state`` with one more run: behind the place ``after``, the longest prefix of the documents that are not longer
+    than the gap. ``after`` moves to the document that ends it. Runs that start with less than a block's words do not move
+    ``cut_u``, which bounds the blocks: their documents go to the last one."""
+    live = F.expr("u > after and size <= gap and not array_contains(finish, u)")
+    ahead = placed.join(state.select("number", "after", "gap", "finish"), "number").where(live).select("number", "gap", "u", "size", _block().alias("block"))
+    upto = F.sum("words").over(Window.partitionBy("number").orderBy("block"))
+    blocks = ahead.groupBy("number", "gap", "block").agg(F.sum("size").alias("words"), F.max("u").alias("last")).withColumn("upto", upto)
+    ends = F.min(F.when(F.col("upto") > F.col("gap"), F.struct("block", (F.col("upto") - F.col("words")).alias("before"))))
+    fits = F.max(F.when(F.col("upto") <= F.col("gap"), F.struct("upto", "last")))
+    cut = written(blocks.groupBy("number").agg(ends.alias("ends"), fits.alias("fits")), "cut")
+    at = cut.select("number", F.col("ends.block").alias("cut_at"), F.col("ends.before").alias("before")).where("cut_at is not null")
+    inside = ahead.join(at, "number").where("block = cut_at")
+    so_far = F.col("before") + F.sum("size").over(Window.partitionBy("number").orderBy("u"))  # a block's rows
+    within = inside.withColumn("so_far", so_far).groupBy("number").agg(F.max(F.when(F.col("so_far") <= F.col("gap"), F.struct("so_far", "u"))).alias("p"), F.min(F.when(F.col("so_far") > F.col("gap"), F.col("u"))).alias("stop"))
+    found = cut.join(within, "number", "left").select("number", F.coalesce("p.so_far", "fits.upto", F.lit(0)).alias("got"), F.coalesce("p.u", "fits.last").alias("to"), F.coalesce("stop", "fits.last").alias("stop"))
+    joined = state.join(found, "number", "left")
+    run = F.struct("after", F.coalesce("to", "after").alias("upto"), "gap")
+    return written(
+        joined.select(
+            "number", "blocks", (F.col("gap") - F.coalesce("got", F.lit(0))).alias("gap"), F.coalesce("stop", "after").alias("after"),
+            F.when(F.col("cut_u").isNull() | (F.col("gap") >= block_words), F.coalesce("to", "cut_u", "after")).otherwise(F.col("cut_u")).alias("cut_u"),
+            F.when(F.col("to").isNull(), F.col("runs")).otherwise(F.concat("runs", F.array(run))).cast(RUNS).alias("runs"), "finish",
+        ),
+        "state",
+    )
+
+
+def _best(placed: DataFrame, state: DataFrame, where: str) -> DataFrame:
+    """``state`` and the place that misses the gap least (``best``) among those that ``where`` admits. Rows that share a place go together."""
+    free = placed.join(state.select("number", "gap", "after", "runs", "finish"), "number").where(f"not ({TAKEN})")
+    places = free.groupBy("number", "gap", "after", "u").agg(F.sum("size").alias("size")).where(where)
+    best = places.groupBy("number").agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("miss"), "u", "size")).alias("best"))
+    joined = state.join(best, "number", "left")
+    gap = F.col("gap") - F.coalesce("best.size", F.lit(0))
+    finish = F.when(F.col("best").isNull(), F.col("finish")).otherwise(F.concat("finish", F.array("best.u")))
+    return joined.select("number", "blocks", gap.alias("gap"), "after", "cut_u", "runs", finish.alias("finish"), F.col("best").isNotNull().alias("more"))
+
+
+def _largest(placed: DataFrame, state: DataFrame) -> tuple[DataFrame, bool]:
+    """The largest document behind that still fits; with the runs, this halves the gap each time or leaves none that fits."""
+    found = written(_best(placed, state, "u > after and size <= gap"), "finish")
+    return found.drop("more"), not found.where("more").isEmpty()
+
+
+def _closest(placed: DataFrame, state: DataFrame) -> DataFrame:
+    """The document that brings the last pass closer to the target from above, if there is one."""
+    return written(_best(placed, state, "abs(size - gap) < gap"), "finish")
 
 
 def _with_source(rows: DataFrame, sources: DataFrame, *columns: str) -> DataFrame:
@@ -145,9 +178,9 @@ def shards(sources: DataFrame, *, shard_words: int = SHARD_WORDS, seed: int = SE
 
 def drawn(rows: DataFrame, sources: DataFrame, blocks: DataFrame) -> DataFrame:
     """``rows`` with ``pass`` and ``shard``: once for each time the mix takes them, and once with NULLs if never."""
-    columns = ("number", "blocks", "source_size", "target", "passes", "cut_block", "cut_u", "finish")
+    columns = ("number", "blocks", "source_size", "target", "passes", "cut_block", "runs", "finish")
     placed = _with_source(rows, sources, *columns).withColumn("block", _block())
-    part = F.expr("cut_block >= 0 and (block < cut_block or (block = cut_block and u <= cut_u) or array_contains(finish, u))")
+    part = F.expr(TAKEN)
     times = F.col("passes") + F.when(part, 1).otherwise(0)
     taken = placed.withColumn("pass", F.explode_outer(F.when(times > 0, F.sequence(F.lit(0).cast("long"), times - 1))))
     copy = F.col("pass") * F.col("blocks") + F.when(F.col("pass") < F.col("passes"), F.col("block")).otherwise(F.least("block", "cut_block"))

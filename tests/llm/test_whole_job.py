@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from eventlake.llm import frames, packing, robust_quality, secret_links
+from eventlake.llm import frames, mixing, packing, robust_quality, secret_links
 from eventlake.llm.queries import TOKENIZER
 from eventlake.llm.tokens import encoder
 
@@ -68,3 +69,17 @@ def test_long_spans_meet_identifiers_and_endpoints(documents):
     texts = [f"token={long} {identifier} {endpoint}", "0a" * 900 + f" {identifier}", f"{identifier} {'aB3/' * 22} {endpoint}", f"token={long} {'. ' * 300}{identifier}", f"{identifier} token={long} {endpoint}"]
     got = {r.doc_id: [x.split(":")[0] for x in r.spans.split(",")] for r in secret_links.scan(documents(*enumerate(texts))).collect()}
     assert got == {0: ["assign", "identifier", "endpoint"], 1: ["hex", "identifier"], 2: ["identifier", "secret", "endpoint"], 3: ["assign"], 4: ["identifier", "assign", "endpoint"]}
+
+
+# mixing
+
+
+def test_a_long_document_does_not_end_a_pass(spark):
+    rows = [(1, 300_000, "a", 1 << 35), *((i, 100, "a", i << 37) for i in range(2, 1_000)), (2_000, 400_000, "b", 5)]
+    placed = spark.createDataFrame(rows, "doc_id long, size long, source string, u long")
+    sources = mixing.plan(placed, weights=(1, 9), block_words=1_000).cache()
+    taken, target = defaultdict(int), {}
+    for r in mixing.drawn(placed, sources, mixing.shards(sources)).where("shard is not null").collect():
+        taken[r.source] += r["size"]
+        target[r.source] = r.target
+    assert abs(target["a"] - 79_980) < 1 and abs(taken["a"] - target["a"]) <= 50
