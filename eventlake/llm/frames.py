@@ -22,9 +22,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.llm.common import chunks, text_of, written
-from eventlake.llm.tokens import encoder
+from eventlake.llm.tokens import CHUNK, encoder
 
-END, LEVEL, CHUNK, SLICE = 0, 3, 1 << 22, 1024
+END, LEVEL, SLICE = 0, 3, 1024
 # Fixed values of the zstandard seekable format: skippable frames' magic numbers, the table's, its flag for checksums.
 SKIPPABLE, SEEK_TABLE, SEEKABLE, CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
 _ENTRY, _FOOTER = struct.Struct("<III"), struct.Struct("<IBI")
@@ -101,7 +101,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, *, key: str = "doc_id",
         writer = None
         for part in (c for batch in batches for c in chunks(batch, "text", CHUNK)):
             writer = writer or Writer(path)
-            for row, raw in zip(part.column("key").to_pylist(), encoder(tokenizer).tokenized(part.column("text").to_pylist()), strict=True):
+            for row, raw in zip(part.column("key").to_pylist(), encoder(tokenizer).tokenized(part.column("text")), strict=True):
                 writer.add(row, np.append(np.frombuffer(raw, np.uint16), np.uint16(end)))
         if writer:
             writer.close()

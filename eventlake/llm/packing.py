@@ -18,12 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.llm.common import chunks, text_of, written
-from eventlake.llm.tokens import encoder
+from eventlake.llm.tokens import CHUNK, encoder
 
 SIZE, END = 1024, 2
 #: Pieces of a partition, and rounds of exchange at most.
 PARTITION_ROWS, ROUNDS = 1 << 15, 4
-CHUNK = 1 << 22
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -33,7 +32,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str =
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (c for batch in batches for c in chunks(batch, "text", CHUNK)):
             rows = []
-            for row, raw in zip(part.column("key").to_pylist(), encoder(tokenizer).tokenized(part.column("text").to_pylist()), strict=True):
+            for row, raw in zip(part.column("key").to_pylist(), encoder(tokenizer).tokenized(part.column("text")), strict=True):
                 ids = np.append(np.frombuffer(raw, np.uint16), np.uint16(end))
                 first = (len(ids) - 1) % size + 1
                 edges = [0, *range(first, len(ids) + 1, size)]

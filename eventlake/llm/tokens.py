@@ -3,12 +3,23 @@
 from __future__ import annotations
 
 import re
+import string
 from array import array
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 #: Words, and pieces of words, that a worker meets before it forgets those it did not meet again.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
+#: Bytes of text that are encoded together.
+CHUNK = 1 << 24
+#: A space before anything that may be white space, and NUL: texts whose words do not simply begin at each space.
+_UNUSUAL = r"\x00| [\x00-\x20\x7f-\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}-\x{202f}\x{205f}\x{3000}]"
 #: Words of one run of letters and one of punctuation, which need no Unicode tables to be split.
-_PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
+_LETTERS = " ?[A-Za-zÀ-ÖØ-öø-ɏ]+"
+_PUNCTUATION = string.punctuation
+_PLAIN = re.compile(f"({_LETTERS})([{re.escape(_PUNCTUATION)}]*)")
 _LOADED: dict[str, Encoder] = {}
 
 
@@ -24,8 +35,8 @@ class Encoder(dict):
 
     Its pieces never join across the place before a space that a non-space follows, so a text's ids are those of its words,
     each with its space. A word falls into pieces by the pattern of the vocabulary, and the library's model gives the ids of
-    each distinct piece once. ``pattern``: the vocabulary's own pattern of pieces. ``encode`` reads all text as ordinary text;
-    ``tokenized`` finds the tokenizer's added tokens in it first, as the tokenizer does as loaded.
+    each distinct piece once. ``pattern``: the vocabulary's own pattern of pieces. ``encode`` and ``encode_columns`` read all
+    text as ordinary text; ``tokenized`` finds the tokenizer's added tokens in it first, as the tokenizer does as loaded.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -39,7 +50,9 @@ class Encoder(dict):
         added = self.tokenizer.get_added_tokens_decoder()
         self.added = {t.content: array("H", [i]).tobytes() for i, t in added.items()}
         self.plain_added = not any(t.lstrip or t.rstrip or t.single_word for t in added.values())
-        self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split
+        names = sorted(self.added, key=len, reverse=True)
+        self.split = re.compile("(" + "|".join(map(re.escape, names)) + ")").split
+        self.unusual = "|".join([_UNUSUAL, *(r"\Q" + t + r"\E" for t in names)])
 
     def __missing__(self, word: str) -> bytes:
         value = self.earlier_words.get(word)
@@ -57,32 +70,80 @@ class Encoder(dict):
         self.ids[piece] = value
         return value
 
+    def _forget(self) -> None:
+        if len(self) > REMEMBERED:
+            self.earlier_words = dict(self)
+            self.clear()
+        if len(self.ids) > REMEMBERED:
+            self.ids, self.earlier_ids = {}, self.ids
+
     def encode(self, texts: list[str]) -> list[bytes]:
         out = []
         for text in texts:
-            if len(self) > REMEMBERED:
-                self.earlier_words = dict(self)
-                self.clear()
-            if len(self.ids) > REMEMBERED:
-                self.ids, self.earlier_ids = {}, self.ids
+            self._forget()
             out.append(b"".join(map(self.__getitem__, _words(text))))
         return out
 
+    def encode_columns(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each text's begin.
+
+        For texts without NUL and without white space after a space, whose words begin at each space. Arrow finds the
+        distinct words, parts plain ones into letters and punctuation, and finds the distinct parts of these.
+        """
+        words = pc.split_pattern(pc.replace_substring(texts, " ", "\x00 "), "\x00")
+        coded = pc.dictionary_encode(words.flatten())
+        distinct = coded.dictionary
+        letters = pc.utf8_rtrim(distinct, characters=_PUNCTUATION)
+        plain = pc.match_substring_regex(letters, f"^{_LETTERS}$")
+        tails = pc.replace_substring_regex(pc.if_else(plain, distinct, ""), f"^{_LETTERS}", "")
+        self._forget()
+        kept: list[bytes] = []
+        parts = np.empty((len(distinct), 2), np.int64)
+        for column, values in enumerate([letters, tails]):
+            part = pc.dictionary_encode(pc.if_else(plain, values, ""))
+            parts[:, column] = part.indices.to_numpy(zero_copy_only=False) + len(kept)
+            kept += [self.ids.get(p) or (self._piece(p) if p else b"") for p in part.dictionary.to_pylist()]
+        others = np.flatnonzero(~plain.to_numpy(zero_copy_only=False))
+        parts[others, 0] = np.arange(len(others)) + len(kept)
+        kept += map(self.__getitem__, distinct.take(pa.array(others)).to_pylist())
+
+        lengths = np.fromiter(map(len, kept), np.int64, len(kept)) // 2
+        ids, ends = _gathered(np.frombuffer(b"".join(kept), np.uint16), np.cumsum(lengths) - lengths, lengths, parts.ravel())
+        ids, ends = _gathered(ids, ends[:-1:2], np.diff(ends[::2]), coded.indices.to_numpy(zero_copy_only=False))
+        return ids, ends[words.offsets.to_numpy() - words.offsets[0].as_py()]
+
+    def tokenized(self, texts: pa.Array | list[str]) -> list[bytes]:
+        """Ids of whole texts, added tokens found as the tokenizer finds them."""
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        apart = pc.match_substring_regex(texts, self.unusual).to_numpy(zero_copy_only=False)
+        out: list[bytes] = [b""] * len(texts)
+        usual = np.flatnonzero(~apart)
+        if len(usual):
+            ids, ends = self.encode_columns(texts.take(pa.array(usual)))
+            raw = memoryview(ids).cast("B")
+            for i, a, b in zip(usual.tolist(), (ends[:-1] * 2).tolist(), (ends[1:] * 2).tolist(), strict=True):
+                out[i] = bytes(raw[a:b])
+        for i in np.flatnonzero(apart).tolist():
+            out[i] = self._unusual(texts[i].as_py())
+        return out
 
-    def tokenized(self, texts: list[str]) -> list[bytes]:
+    def _unusual(self, text: str) -> bytes:
         """Added tokens that take in their surroundings are left to the library."""
-        out = []
-        for text in texts:
-            if not any(t in text for t in self.added):
-                out += self.encode([text])
-            elif self.plain_added:
-                parts = self.split(text)
-                parts[::2] = self.encode(parts[::2])
-                parts[1::2] = [self.added[t] for t in parts[1::2]]
-                out.append(b"".join(parts))
-            else:
-                out.append(array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes())
-        return out
+        if not any(t in text for t in self.added):
+            return self.encode([text])[0]
+        if not self.plain_added:
+            return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        parts = self.split(text)
+        parts[::2] = self.encode(parts[::2])
+        parts[1::2] = [self.added[t] for t in parts[1::2]]
+        return b"".join(parts)
+
+
+def _gathered(ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``ids`` that ``codes`` name, one after the other, and where each begins (and the last ends)."""
+    counts = lengths[codes]
+    ends = np.append(0, np.cumsum(counts))
+    return ids[np.repeat(starts[codes] - ends[:-1], counts) + np.arange(ends[-1])], ends
 
 
 def _words(text: str) -> list[str]:
