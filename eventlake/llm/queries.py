@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import frames, golomb_dedup, merkle_manifest, mixing, mixture_packing, ngram_join, packing, reply_trees, robust_quality, secret_links, site_templates, url_trees
+from eventlake.llm import frames, golomb_dedup, merkle_manifest, mixing, mixture_packing, ngram_join, packing, prefix_trie, reply_trees, robust_quality, secret_links, site_templates, url_trees
 from eventlake.llm.common import table
 from eventlake.session import scratch_path
 
@@ -48,6 +48,7 @@ def queries() -> dict[str, Query]:
         "op8_reply_trees": _replies,
         "op9_url_trees": _pages(url_trees.filtered),
         "op10_golomb_dedup": _documents(golomb_dedup.exact_duplicates),
+        "op11_prefix_trie": lambda spark, sf_dir: prefix_trie.families(table(spark, sf_dir, "conversations")),
         "op12_merkle_manifest": _documents(merkle_manifest.tampered_rows),
         "op13_mixture_packing": _documents(lambda docs: mixture_packing.packed(docs, TOKENIZER)),
         "pipeline": run,

@@ -1,0 +1,121 @@
+"""The prefix trie against one built from the rebuilt texts."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventlake.llm import prefix_trie
+from eventlake.llm.prefix_trie import IDENTITY, element, inverse, product
+
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def _rebuilt(rows):
+    own = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own[conv].append((turn is not None, turn or 0, role or "", hashlib.sha256((text or "").encode()).hexdigest(), text or ""))
+    own = {c: [(t[2], t[4]) for t in sorted(turns)] for c, turns in own.items()}
+    out = {}
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % 4
+        base = c - (c % 20 if c >= 0 else -(-c % 20))
+        out[c] = own.get(base, [])[:h] + own[c][h:]
+    return out
+
+
+def _expected(rows):
+    conversations = _rebuilt(rows)
+    members = defaultdict(list)
+    for c, turns in conversations.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    below = defaultdict(lambda: [0, 0])
+    children = defaultdict(int)
+    for prefix in members:
+        if prefix:
+            children[prefix[:-1]] += 1
+    for prefix, convs in members.items():
+        saved = (len(convs) - 1) * len(re.findall(r"[^\x20\x09-\x0D]+", prefix[-1][1])) if prefix else 0
+        for d in range(len(prefix) + 1):
+            below[prefix[:d]][0] += not children[prefix]
+            below[prefix[:d]][1] += saved
+    out = []
+    for prefix, convs in members.items():
+        ends = ",".join(str(c) for c in sorted(convs) if len(conversations[c]) == len(prefix))
+        parent = min(members[prefix[:-1]]) if prefix else None
+        out.append((min(convs), len(prefix), parent, len(convs), children[prefix], *below[prefix], hashlib.sha256(ends.encode()).hexdigest()))
+    return out
+
+
+def _key(row):
+    return tuple((v is not None, v) for v in row)
+
+
+def _same(got, rows):
+    assert sorted((tuple(r[c] for c in COLUMNS) for r in got), key=_key) == sorted(_expected(rows), key=_key)
+
+
+def test_the_registered_query_matches_rebuilt_texts(run, sample):
+    _same(run("op11_prefix_trie"), sample("conversations", "conv_id", "turn", "role", "text"))
+
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def _run(spark, rows):
+    return prefix_trie.families(spark.createDataFrame(rows, SCHEMA)).collect()
+
+
+def test_hot_groups_short_bases_and_missing_ones(spark):
+    rows = []
+    for c in range(200):
+        for t in range(c % 6 + (c % 20 == 0)):
+            rows.append((c, t, "user" if t % 2 == 0 else "assistant", "same words here" if t < 2 or c % 3 else f"own {c}"))
+    rows = [r for r in rows if r[0] not in (40, 60)]  # families without a base
+    _same(_run(spark, rows), rows)
+
+
+def test_one_long_conversation_and_its_copies_over_many_ranges(spark, setting):
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = [(c, t, "user", f"turn {t}") for c in (20, 21, 22, 23, 24) for t in range(150)] + [(20 + 1000 * i, 0, "user", "turn 0") for i in range(60)]
+    _same(_run(spark, rows), rows)
+
+
+def test_nulls_ties_repeated_rows_and_long_texts(spark):
+    rows = [(1, None, None, None), (1, None, "user", ""), (1, 0, None, "x"), (1, 0, None, "x"), (2, 5, "a", "b"), (2, 5, "a", "c"), (2, 5, "A", "b")]
+    rows += [(None, 1, "user", "nobody"), (0, 0, "user", "head"), (0, 1, "", "w " * 300_000), (-3, 1, "user", "minus"), (20, 1, "a\nb", "c"), (20, 2, "a", "b\nc"), (7, 1, "user", "")]
+    _same(_run(spark, rows), rows)
+    assert _run(spark, rows[:0]) == []
+
+
+def test_columns_of_clashing_names(spark):
+    rows = [(c, t, "user", f"{c % 3}") for c in range(30) for t in range(3)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for name in ("conv", "part", "place", "x", "y", "px", "depth", "n_words", "base", "h", "sha", "k", "c"):
+        docs = docs.withColumn(name, F.lit("z"))
+    _same(prefix_trie.families(docs).collect(), rows)
+
+
+def test_elements_form_a_monoid_with_inverses():
+    x, y, z = (element(hashlib.blake2b(bytes([i]), digest_size=32).digest()) for i in range(3))
+    assert product(product(x, y), z) == product(x, product(y, z)) != product(product(y, x), z)
+    assert product(x, inverse(x)) == product(inverse(x), x) == IDENTITY == product(IDENTITY, IDENTITY)
+
+
+def test_collisions_are_found_and_drawn_anew(spark, monkeypatch):
+    rows = [(c, t, "user", f"{c} {t}") for c in range(20, 30) for t in range(4)]
+    monkeypatch.setattr(prefix_trie, "_one_text_each", lambda turns: False)
+    with pytest.raises(prefix_trie.CollisionError):
+        _run(spark, rows)
+    nodes = spark.createDataFrame([(1, 1, 7, 7, 0, 0, 1, 3, 3, True), (2, 1, 7, 7, 0, 0, 1, 4, 3, True)], "conv long, depth long, x long, y long, px long, py long, n_words long, r0 long, r1 long, ends boolean")
+    assert [r.one for r in prefix_trie._nodes(nodes).collect()] == [False]
+    classes = spark.createDataFrame([(1, 1, "a", "b"), (1, 1, "a", "c")], "r0 long, r1 long, role string, text string")
+    monkeypatch.undo()
+    assert not prefix_trie._one_text_each(classes) and prefix_trie._one_text_each(classes.limit(1))
