@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.operators.lookup import join_unique
-from eventlake.session import BROADCAST_ROWS
+from eventlake.session import BROADCAST_ROWS, written
+from eventlake.sources.key_index import EVENT, NATURAL, KeyIndex, days_in
 
 KEY = "record_natural_key"
 ARRIVAL = ("kafka_partition", "kafka_offset", "kafka_topic", "event_id")
@@ -62,3 +63,38 @@ def new_records(
         how="left_anti",
         count_in=batch,
     )
+
+
+def unstored_records(
+    batch: DataFrame,
+    index: KeyIndex,
+    *,
+    batch_rows: int,
+    name: str | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """:func:`new_records` by the stored table's key index: the table is not read, and the index, however large, not shuffled.
+
+    ``name``: the batch's own name; what an earlier attempt entered under it does not count. Natural keys are looked up among
+    the batch's days only. The keys found are no more than the batch has; written, they are counted, and an event id that the
+    batch repeats is salted where they are too many to broadcast.
+    """
+    lookup = {"rows": batch_rows, "but": name, "broadcast_rows": broadcast_rows}
+    keys = batch.where(F.col(NATURAL).isNotNull()).select(F.col(NATURAL).alias("key"))
+    stored = written(index.held(keys, NATURAL, days=days_in(batch), **lookup), "stored-keys")
+    known = stored.count()
+    right = F.broadcast(stored) if known <= broadcast_rows else stored
+    unmatched = batch.join(right.withColumnRenamed("key", NATURAL), NATURAL, "left_anti")
+
+    ids = unmatched.where(F.col(EVENT).isNotNull()).select(F.col(EVENT).alias("key")).distinct()
+    found = written(index.held(ids, EVENT, **lookup), "stored-ids")
+    return join_unique(
+        unmatched,
+        found.withColumnRenamed("key", EVENT),
+        EVENT,
+        spread_by=NATURAL,
+        keyed_rows=found.count(),
+        how="left_anti",
+        broadcast_rows=broadcast_rows,
+        count_in=batch,
+    )

@@ -13,10 +13,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventlake.operators.bronze import bad_records, good_records, identified, parse_messages
 from eventlake.operators.silver import clean, quarantined_records, valid_records
-from eventlake.operators.upsert import first_per_key, new_records
+from eventlake.operators.upsert import first_per_key, unstored_records
 from eventlake.schemas import SILVER_COLUMNS, conform
 from eventlake.session import require_utc
-from eventlake.sources.tables import BATCH_COLUMN, read_if_exists, write_batch
+from eventlake.sources.key_index import BUCKETS, KeyIndex, index_path
+from eventlake.sources.tables import BATCH_COLUMN, write_batch
 
 LOG = logging.getLogger(__name__)
 
@@ -50,21 +51,23 @@ def write_raw_batch(parsed: DataFrame, batch: str, raw_path: str, bad_path: str)
             write_batch(bad_records(held), bad_path, batch)
 
 
-def upsert_batch(valid: DataFrame, batch: str, clean_path: str) -> int:
+def upsert_batch(valid: DataFrame, batch: str, clean_path: str, *, buckets: int = BUCKETS) -> int:
     """Insert the records of a batch that the clean table does not hold yet; return how many.
 
-    The batch's own partition is left out of the comparison: a replay after a crash decides as the
-    first attempt did and replaces whatever that attempt wrote. One writer per table.
+    They are compared with the table's key index, which the batch's own partition does not count in: a replay after a crash
+    decides as the first attempt did and replaces whatever that attempt wrote. One writer per table.
     """
     spark = valid.sparkSession
     with _kept(first_per_key(valid)) as candidates:
-        rows = candidates.count()
-        fresh = candidates
-        stored = read_if_exists(spark, clean_path)
-        if stored is not None:
-            fresh = new_records(candidates, stored.where(F.col(BATCH_COLUMN) != batch), batch_rows=rows)
+        index = KeyIndex(spark, index_path(clean_path), buckets)
+        index.complete(clean_path, but=batch)
+        fresh = unstored_records(candidates, index, batch_rows=candidates.count(), name=batch)
         # Joins by name move their key to the front; every batch is stored in the order of the contract.
-        return write_batch(fresh.select(*candidates.columns), clean_path, batch)
+        rows = write_batch(fresh.select(*candidates.columns), clean_path, batch)
+    if rows:
+        stored = spark.read.parquet(f"{clean_path.rstrip('/')}/{BATCH_COLUMN}={batch}")
+        index.add(stored.withColumn(BATCH_COLUMN, F.lit(batch)), [batch])
+    return rows
 
 
 def write_clean_batch(cleaned: DataFrame, batch: str, clean_path: str, quarantine_path: str) -> None:

@@ -19,9 +19,9 @@ from eventlake.ml.models import CLASSIFIERS, REGRESSORS, explain
 from eventlake.ml.training import CLASSIFICATION, REGRESSION, train
 from eventlake.operators import bronze, events, gold, profile, quality, ranking, silver, upsert
 from eventlake.schemas import BRONZE_COLUMNS, RAW_COLUMNS, SILVER_COLUMNS
-from eventlake.session import scratch_path, written
+from eventlake.session import scratch_path
 from eventlake.sources import csv_events, messages, tables
-from eventlake.streaming.jobs import start_clean_stream, start_raw_stream
+from eventlake.streaming.jobs import start_clean_stream, start_raw_stream, upsert_batch
 from harness import fixtures
 from harness.layers import clean_layer, feature_layer, once, raw_layer, source_rows
 
@@ -173,12 +173,12 @@ def silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def silver_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The clean table after a second delivery: what it held, and what the upsert inserts."""
-    valid = silver.valid_records(silver.clean(fixtures.deliveries(raw_layer(spark, sf_dir))))
-    target = written(upsert.first_per_key(valid.where("delivery = 1")), "clean")
-    batch = written(upsert.first_per_key(valid.where("delivery = 2")), "candidates")
-    inserted = upsert.new_records(batch, target, batch_rows=batch.count())
-    return target.unionByName(inserted).select(*SILVER_COLUMNS)
+    """The clean table after a second delivery, compared by the table's key index."""
+    valid = silver.valid_records(silver.clean(fixtures.deliveries(raw_layer(spark, sf_dir)))).select(*SILVER_COLUMNS, "delivery")
+    path = scratch_path(spark, "upserted")
+    for delivery in (1, 2):
+        upsert_batch(valid.where(F.col("delivery") == delivery).drop("delivery"), f"delivery-{delivery}", path)
+    return tables.read_table(spark, path).select(*SILVER_COLUMNS)
 
 
 # -- analytic tables -------------------------------------------------------------------------------
