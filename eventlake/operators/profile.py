@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.operators.quality import counters, value_counts
-from eventlake.operators.ranking import totals_before
 
 # Profiled columns and chart sizes.
 PROFILE_COLUMNS = ["magnitudo", "depth", "latitude", "longitude", "significance"]
@@ -18,6 +19,8 @@ SHARE_COLUMNS = ["depth_bucket", "magnitude_bucket", "tsunami"]
 BINS = 30
 TOP_STATES = 15
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+#: Parts that a bracket of values is counted by in one pass of a selection.
+SELECTION_BINS = 4096
 
 
 def _known(column: str) -> Column:
@@ -26,39 +29,83 @@ def _known(column: str) -> Column:
     return F.when(~F.isnan(number), number)
 
 
-def _unpivoted(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    pairs = [F.struct(F.lit(c).alias("column"), _known(c).alias("value")) for c in columns]
-    return df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
+class _Bracket(NamedTuple):
+    """Values of a column from ``low`` to ``high``, both of which occur, with ``before`` of its values below them."""
+
+    column: str
+    low: float
+    high: float
+    before: int
+
+
+def _bin(bracket: _Bracket, first: bool) -> Column:
+    """The part of its bracket that a value falls into, NULL outside. Parts are in the order of the values, and the two ends lie
+    in different ones.
+
+    Equal widths, but where these could go on for long: infinite ends are parts of their own, a bracket around zero is split there
+    once equal widths have been tried, and one that spans many magnitudes is split by magnitude.
+    """
+    value, (_, low, high, _) = _known(bracket.column), bracket
+
+    def width_of(x: Column, start: float, end: float) -> Column:
+        return F.floor((x - F.lit(start)) / F.lit(end - start) * SELECTION_BINS)
+
+    if math.isinf(low) or math.isinf(high):
+        number = F.when(value == -math.inf, 0).when(value == math.inf, 2).otherwise(1)
+    elif math.isinf(high - low) or (low < 0 < high and not first):
+        number = F.signum(value)
+    elif low * high > 0 and max(low / high, high / low) > SELECTION_BINS:
+        ends = sorted([abs(low), abs(high)])
+        number = math.copysign(1, low) * width_of(F.log(F.abs(value)), *map(math.log, ends))
+    else:
+        number = F.least(width_of(value, low, high), F.lit(SELECTION_BINS - 1))
+    return F.when(value.between(low, high), number.cast("int"))
+
+
+def _values_at(df: DataFrame, ranks: dict[str, set[int]], whole: dict[str, _Bracket]) -> dict[tuple[str, int], float]:
+    """The values of each column at the given ranks (from 0), by selection.
+
+    Each pass counts the values of every open bracket by parts and goes on with the part that holds the rank, until its smallest
+    and largest value are one. A pass shuffles counts of parts, never values; one row for each rank comes to the driver and
+    enters the next pass as constants. Eight passes suffice for any doubles, two for a few thousand distinct ones.
+    """
+    found = {(c, r): whole[c] for c, wanted in ranks.items() for r in wanted}
+    first = True
+    while True:
+        brackets = sorted({b for b in found.values() if b.low < b.high})
+        if not brackets:
+            return {target: b.low + 0.0 for target, b in found.items()}  # no negative zero
+        parts = [F.struct(F.lit(i).alias("bracket"), _bin(b, first).alias("part"), _known(b.column).alias("value")) for i, b in enumerate(brackets)]
+        measures = [F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")]
+        counted = df.select(F.inline(F.array(*parts))).where("part IS NOT NULL").groupBy("bracket", "part").agg(*measures)
+        below = Window.partitionBy("bracket").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        placed = counted.withColumn("before", F.coalesce(F.sum("n").over(below), F.lit(0)))
+        wanted = [(t, brackets.index(b), t[1] - b.before) for t, b in found.items() if b.low < b.high]
+        holds = [(F.col("bracket") == i) & (F.col("before") <= r) & (F.col("before") + F.col("n") > r) for _, i, r in wanted]
+        rows = placed.where(reduce(Column.__or__, holds)).collect()
+        for target, i, r in wanted:
+            (row,) = [x for x in rows if x["bracket"] == i and x["before"] <= r < x["before"] + x["n"]]
+            found[target] = _Bracket(target[0], row["low"], row["high"], brackets[i].before + row["before"])
+        first = False
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], quantiles: dict[str, float]) -> DataFrame:
     """Quantiles per column with linear interpolation between neighbours: ``column`` and one column each.
 
-    Values are counted first, then ranked with :func:`totals_before`; no task ever holds all values
-    of a column.
+    A column without values has no row. Nothing is ranked or written: see :func:`_values_at`.
     """
-    counted = _unpivoted(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    ranked = totals_before(counted, ["column", "value"], ["n"])
-    # Ranks run through all columns; each column starts where its smallest value stands.
-    bounds = ranked.groupBy("column").agg(F.min("n_before").alias("start"), F.sum("n").alias("total"))
-    placed = ranked.join(F.broadcast(bounds), "column")  # one row per profiled column
-    first = F.col("n_before") - F.col("start")
-    last = first + F.col("n") - 1
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((first <= rank) & (rank <= last), F.col("value")))
-
-    picked, interpolated = [], []
-    for name, q in quantiles.items():
-        position = F.lit(q) * (F.col("total") - 1)
-        picked += [
-            at(F.floor(position)).alias(f"{name}_low"),
-            at(F.ceil(position)).alias(f"{name}_high"),
-            F.max(position - F.floor(position)).alias(f"{name}_part"),
-        ]
-        low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
-        interpolated.append((low + (high - low) * F.col(f"{name}_part")).alias(name))
-    return placed.groupBy("column").agg(*picked).select("column", *interpolated)
+    measures = {"n": F.count, "low": F.min, "high": F.max}
+    row = df.agg(*(f(_known(c)).alias(f"{m}_{i}") for i, c in enumerate(columns) for m, f in measures.items())).first()
+    whole = {c: _Bracket(c, row[f"low_{i}"], row[f"high_{i}"], 0) for i, c in enumerate(columns) if row[f"n_{i}"]}
+    places = {c: [q * (row[f"n_{i}"] - 1) for q in quantiles.values()] for i, c in enumerate(columns) if c in whole}
+    values = _values_at(df, {c: {f(p) for p in at for f in (math.floor, math.ceil)} for c, at in places.items()}, whole)
+
+    def between(c: str, place: float) -> float:
+        low, high = values[c, math.floor(place)], values[c, math.ceil(place)]
+        return low if low == high else low + (high - low) * (place - math.floor(place))
+
+    rows = [(c, *(between(c, p) for p in at)) for c, at in places.items()]
+    return df.sparkSession.createDataFrame(rows, ", ".join(["column string", *(f"{name} double" for name in quantiles)]))
 
 
 def numeric_profile(
@@ -83,7 +130,7 @@ def numeric_profile(
     moments = flat.select(F.inline(F.array(*per_column)))
     joined = moments
     if accuracy is None:
-        joined = moments.join(F.broadcast(exact_quantiles(df, columns, QUARTILES)), "column", "left")
+        joined = moments.join(F.broadcast(exact_quantiles(df, columns, QUARTILES)), "column", "left")  # one row per column
     rounded = [F.round(c, digits).alias(c) for c in ["mean", "std", "min", *QUARTILES, "max"]]
     return joined.select("column", "count", *rounded)
 

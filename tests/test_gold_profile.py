@@ -1,3 +1,4 @@
+import math
 import random
 import statistics
 from collections import Counter
@@ -114,6 +115,51 @@ def test_numeric_profile_is_pandas_describe(sample):
     assert np.allclose(approximate.loc["significance"].astype(float).to_numpy(), expected["significance"].to_numpy(), atol=1)
 
 
+INF = float("inf")
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [3.0],
+        [-0.0, 0.0, 0.0],
+        [1.0, 2.0],
+        [0.1 * i for i in range(50_000)],
+        [1.0] * 5000 + [1.0 + 2**-52] * 5000 + [1e300],
+        [(-1) ** i * 2.0 ** (i % 2000 - 1000) for i in range(9000)],
+        [-(2.0 ** -(i % 1070)) for i in range(4001)],
+        [-1.7e308, 1.7e308, 5e-324, -5e-324, 0.0],
+        [-INF, -INF, 1.0, 2.0, INF],
+        [INF, INF],
+    ],
+)
+def test_quantiles_by_selection_are_those_of_the_sorted_values(spark, values):
+    df = spark.createDataFrame([(v,) for v in values + [None, float("nan")]], "x double").repartition(3)
+    ranked = sorted(values)
+
+    def at(q):
+        place = q * (len(ranked) - 1)
+        low, high = ranked[math.floor(place)], ranked[math.ceil(place)]
+        return low if low == high else low + (high - low) * (place - math.floor(place))
+
+    shares = {"q0": 0.0, "q25": 0.25, "q37": 0.37, "q50": 0.5, "q75": 0.75, "q100": 1.0}
+    row = profile.exact_quantiles(df, ["x"], shares).first()
+    got, expected = [row[name] for name in shares], [at(q) for q in shares.values()]
+    assert [repr(g + 0.0) for g in got] == [repr(e + 0.0) for e in expected] and "-0.0" not in map(repr, got)
+
+
+def test_selection_takes_few_passes_and_shuffles_counts_only(spark, monkeypatch, sample):
+    frame, df = sample
+    plans, select = [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: plans.append(plan(self)) or select(self))
+    profile.exact_quantiles(df, list(frame.columns), profile.QUARTILES)
+    passes = [p for p in plans if "bracket" in p]
+    assert 1 <= len(passes) <= 3
+    for text in passes:
+        moved = [line for line in text.splitlines() if "Exchange" in line and "RoundRobin" not in line and "REPARTITION" not in line]
+        assert moved and all("hashpartitioning(bracket" in line for line in moved) and "rangepartitioning" not in text
+
+
 def test_profile_of_an_empty_column(spark):
     row = profile.numeric_profile(spark.createDataFrame([(None,)], "x double"), ["x"]).first()
     assert row["count"] == 0 and row["q50"] is None
