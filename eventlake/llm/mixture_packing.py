@@ -4,14 +4,16 @@
 2. All queues are cut at the same points of the mixture into blocks of about ``WINDOWS`` windows. Up to a point a source has
    given its target share of the ids, rounded down to a whole one: what is missing is carried to the next block.
 3. A block fills its windows by deficit round-robin: per window a source earns its share of the window. It is served once it
-   has earned ``QUANTUM`` ids, or all that it has left; what a window has room for beyond that is lent to the source that is
-   owed most. Credits, and debts, go on to the next window.
+   has earned ``QUANTUM`` ids, or all that it has left; what a window has room for beyond that is lent to the sources that are
+   due next. Credits, and debts, go on to the next window.
 4. Blocks do not end on windows. The window that a block leaves open is filled by the next block first, so that only the
    very last window of all can be short.
 """
 
 from __future__ import annotations
 
+import bisect
+import heapq
 import zlib
 from collections.abc import Iterator
 from fractions import Fraction
@@ -84,12 +86,20 @@ class Mixture:
         share = given + (n - out) / served if served else given
         return min(size, int(share * weight))
 
-    def blocks(self, source: str | None, size: int, start: int, length: int, step: int) -> Iterator[tuple[int, int, int]]:
-        """The pieces (block, start, length) of a stretch of the source's queue; block ``b`` ends where ``(b + 1) * step`` ids are out."""
+    def _first(self, source: str | None, size: int, start: int, step: int) -> int:
+        """The first block whose end lies behind ``start``."""
+        if source not in self.named:  # given(n) > start from n on:
+            n = self.out_named + -(-(start + 1) * (self.total - self.out_named) // size)
+            return -(-n // step) - 1
         low, high = 0, -(-self.total // step)
-        while low < high:  # the first block whose end lies behind the start
+        while low < high:
             middle = (low + high) // 2
             low, high = (low, middle) if self.given(source, size, (middle + 1) * step) > start else (middle + 1, high)
+        return low
+
+    def blocks(self, source: str | None, size: int, start: int, length: int, step: int) -> Iterator[tuple[int, int, int]]:
+        """The pieces (block, start, length) of a stretch of the source's queue; block ``b`` ends where ``(b + 1) * step`` ids are out."""
+        low = self._first(source, size, start, step)
         while length:
             stop = self.given(source, size, min(self.total, (low + 1) * step))
             if stop > start:
@@ -104,31 +114,38 @@ def served(supplies: list[int], rooms: list[int], quantum: int) -> np.ndarray:
 
     ``rooms``: the windows' sizes, together the supplies. Credits are counted in parts of an id, so nothing is rounded.
     """
-    share = np.array(supplies, np.int64)
-    total, left = int(share.sum()), share.copy()
-    credit = np.zeros(len(share), np.int64)
-    out = np.zeros((len(rooms), len(share)), np.int64)
-    turn = 0
-    for window, size in enumerate(rooms):
-        credit += size * share
-        room = size
-        ready = np.flatnonzero((left > 0) & (credit >= np.minimum(quantum, left) * total))
-        for s in np.roll(ready, -np.searchsorted(ready, turn)).tolist():
-            take = min(int(credit[s]) // total, int(left[s]), room)
-            out[window, s] += take
-            left[s] -= take
-            credit[s] -= take * total
-            room -= take
-            turn = s + 1
-            if not room:
-                break
+    total, left, taken = sum(supplies), list(supplies), [0] * len(supplies)
+    out = np.zeros((len(rooms), len(supplies)), np.int64)
+
+    def due(s: int) -> tuple[int, int]:
+        """How many ids all sources must have earned until this one has earned a quantum."""
+        return -(-(taken[s] + min(quantum, left[s])) * total // supplies[s]), s
+
+    def serve(s: int, most: int) -> int:
+        n = min(most, left[s], room)
+        out[window, s] += n
+        left[s] -= n
+        taken[s] += n
+        if left[s]:
+            heapq.heappush(waiting, due(s))
+        return room - n
+
+    waiting = [due(s) for s in range(len(supplies))]
+    heapq.heapify(waiting)
+    earned = turn = 0
+    for window, room in enumerate(rooms):
+        earned += room
+        ready = []
+        while waiting and waiting[0][0] <= earned:
+            ready.append(heapq.heappop(waiting)[1])
+        ready.sort()
+        first = bisect.bisect_left(ready, turn)
+        for s in ready[first:] + ready[:first]:
+            if room:
+                turn = s + 1
+            room = serve(s, (earned * supplies[s] - taken[s] * total) // total)
         while room:
-            s = int(np.argmax(np.where(left > 0, credit, np.iinfo(np.int64).min)))
-            take = min(room, int(left[s]), quantum)
-            out[window, s] += take
-            left[s] -= take
-            credit[s] -= take * total
-            room -= take
+            room = serve(heapq.heappop(waiting)[1], quantum)
     return out
 
 

@@ -11,9 +11,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words, and pieces of words, that a worker meets before it forgets those it did not meet again.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 #: Bytes of text that are encoded together.
-CHUNK = 1 << 24
+CHUNK = 1 << 22
 #: A space before anything that may be white space, and NUL: texts whose words do not simply begin at each space.
 _UNUSUAL = r"\x00| [\x00-\x20\x7f-\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}-\x{202f}\x{205f}\x{3000}]"
 #: Words of one run of letters and one of punctuation, which need no Unicode tables to be split.
@@ -143,7 +143,9 @@ def _gathered(ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray, codes: n
     """The runs of ``ids`` that ``codes`` name, one after the other, and where each begins (and the last ends)."""
     counts = lengths[codes]
     ends = np.append(0, np.cumsum(counts))
-    return ids[np.repeat(starts[codes] - ends[:-1], counts) + np.arange(ends[-1])], ends
+    places = np.repeat((starts[codes] - ends[:-1]).astype(np.int32), counts)
+    places += np.arange(len(places), dtype=np.int32)  # a text has fewer bytes, and so fewer ids, than 2^31
+    return ids[places], ends
 
 
 def _words(text: str) -> list[str]:
