@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventlake.ml.models import StoredModel
 from eventlake.ml.runs import best_run
 from eventlake.ml.training import CLASSIFICATION, Task
 from eventlake.sources.tables import require_rows, write_table
@@ -27,7 +27,7 @@ def predict(task: Task, features: DataFrame, runs: DataFrame, *, predicted_at: s
     if run is None:
         return None
     stamp = predicted_at or datetime.now(timezone.utc).replace(tzinfo=None).isoformat() + "Z"
-    scored = PipelineModel.load(run["artifact_uri"]).transform(features)
+    scored = StoredModel(features.sparkSession, run["artifact_uri"]).transform(features)
     extra = [second_probability(scored).alias("probability_tsunami")] if task is CLASSIFICATION else []
     return scored.select(
         "event_id",

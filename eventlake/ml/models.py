@@ -1,10 +1,9 @@
-"""The seven estimators, their pipelines, and what a fitted pipeline says about its inputs."""
+"""The seven estimators, the form in which they are stored, and what a fitted one says about its inputs."""
 
 from __future__ import annotations
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
     GBTRegressor,
@@ -12,11 +11,10 @@ from pyspark.ml.regression import (
     LinearRegression,
     RandomForestRegressor,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from eventlake.ml.data import CLASSIFICATION_FEATURES, REGRESSION_FEATURES, SEED
-
-STATE_INDEX = "state_index_model"
+from eventlake.ml.vectors import STATE_INDEX, with_vector
 
 # Model names and hyperparameters.
 REGRESSORS = {
@@ -64,21 +62,36 @@ def estimator(model_name: str, seed: int = SEED, **changes) -> Estimator:
     return model.setSeed(seed) if model.hasParam("seed") else model
 
 
-def build_pipeline(model_name: str, seed: int = SEED, **changes) -> Pipeline:
-    """State index, feature vector, model. Rows with a missing input get no prediction."""
-    index = StringIndexer(inputCol="state", outputCol=STATE_INDEX, handleInvalid="keep")
-    vector = VectorAssembler(inputCols=input_columns(model_name), outputCol="features", handleInvalid="skip")
-    return Pipeline(stages=[index, vector, estimator(model_name, seed, **changes)])
+class StoredModel:
+    """A fitted model and its state index, as stored below ``path``. It scores rows that have the states' names."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.path, self.index = path, spark.read.parquet(f"{path}/state_index")
+        self.states = self.index.count()
+        self.model: Model = PipelineModel.load(f"{path}/model").stages[0]
+
+    @property
+    def numbers(self) -> list[str]:
+        return CLASSIFICATION_FEATURES if self.model.hasParam("probabilityCol") else REGRESSION_FEATURES
+
+    def with_vector(self, rows: DataFrame) -> DataFrame:
+        return with_vector(rows, self.index, self.numbers, states=self.states)
 
+    def transform(self, rows: DataFrame) -> DataFrame:
+        """Adds the prediction; rows with a missing input get none."""
+        return self.model.transform(self.with_vector(rows))
 
-def fit_stored(model_name: str, train: DataFrame, path: str, seed: int = SEED, **changes) -> PipelineModel:
-    """Fit, save and return the model as saved.
+
+def fit_stored(model_name: str, vectors: DataFrame, index: DataFrame, path: str, seed: int = SEED, **changes) -> StoredModel:
+    """Fit on rows that have their vectors, save, and return the model as saved.
 
     The fitted object itself keeps a training summary that refers to the session, which can make its
     ``transform`` unserialisable once the session has observed a query. The saved model has none.
     """
-    build_pipeline(model_name, seed, **changes).fit(train).write().overwrite().save(path)
-    return PipelineModel.load(path)
+    fitted = estimator(model_name, seed, **changes).fit(vectors)
+    PipelineModel([fitted]).write().overwrite().save(f"{path}/model")
+    index.write.mode("overwrite").parquet(f"{path}/state_index")
+    return StoredModel(vectors.sparkSession, path)
 
 
 #: What explains a model: the name of the quantity, and the attributes that hold it and its constant term.
@@ -90,10 +103,14 @@ EXPLAINED = {
 }
 
 
-def explain(fitted: PipelineModel, model_name: str) -> list[dict]:
-    """One row per input of the model: ``feature, kind, value``; the constant term of a linear model is a row too."""
+def explain(model: Model, model_name: str) -> list[dict]:
+    """One row per input of the model: ``feature, kind, value``; the constant term of a linear model is a row too.
+
+    A model that holds neither quantity gets one row that says so, without a value.
+    """
     kind, values, constant = EXPLAINED.get(model_name, _TREES)
-    model = fitted.stages[-1]
+    if not hasattr(model, values):
+        return [{"feature": "not_available", "kind": model_name, "value": None}]
     row = lambda feature, value: {"feature": feature, "kind": kind, "value": float(value)}
     rows = list(map(row, input_columns(model_name), getattr(model, values).toArray()))
     return rows if constant is None else [*rows, row(constant, getattr(model, constant))]

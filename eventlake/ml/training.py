@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
+from pyspark.ml import Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +16,8 @@ from eventlake.ml.data import MIN_ROWS, SEED, TRAIN_SHARE, class_weights, split,
 from eventlake.ml.metrics import classification_metrics, confusion_matrix, curve_auc, regression_metrics
 from eventlake.ml.models import CLASSIFIERS, REGRESSORS, explain, fit_stored, hyperparameters, input_columns
 from eventlake.ml.runs import append_run, write_csv
+from eventlake.ml.vectors import state_index, with_vector
+from eventlake.session import written
 
 SAMPLE_ROWS = 100
 
@@ -64,9 +66,9 @@ def prediction_sample(task: Task, predictions: DataFrame, rows: int = SAMPLE_ROW
     return predictions.select(*task.sample_columns).orderBy("event_id").limit(rows)
 
 
-def _write_diagnostics(task: Task, folder: str, fitted: PipelineModel, model_name: str, predictions: DataFrame) -> None:
+def _write_diagnostics(task: Task, folder: str, fitted: Model, model_name: str, predictions: DataFrame) -> None:
     spark = predictions.sparkSession
-    write_csv(spark.createDataFrame(explain(fitted, model_name)), f"{folder}/feature_importance_or_coefficients")
+    write_csv(spark.createDataFrame(explain(fitted, model_name), "feature string, kind string, value double"), f"{folder}/feature_importance_or_coefficients")
     write_csv(prediction_sample(task, predictions), f"{folder}/prediction_sample")
     if task is CLASSIFICATION:
         write_csv(confusion_matrix(predictions), f"{folder}/confusion_matrix")
@@ -88,7 +90,7 @@ def train(
     ``changes`` holds hyperparameters to replace, by model name.
 
     Below ``folder`` stand ``runs`` (the run table), ``models/<run id>`` and ``diagnostics/<run id>``.
-    The data is held on executors, once for both parts, because the estimators read it repeatedly.
+    The states are indexed once and the vectors of both parts stored once; every estimator reads the same table.
     """
     spark = data.sparkSession
     held = [data.persist(StorageLevel.MEMORY_AND_DISK)]
@@ -112,15 +114,20 @@ def train(
             shared["class_weights"] = weights
             train_part = with_class_weights(train_part, weights)
 
+        chosen = models or task.models
+        index = written(state_index(train_part), "state-index")
+        numbers, states = input_columns(chosen[0])[:-1], index.count()
+        train_part, test_part = (written(with_vector(p, index, numbers, states=states), "vectors") for p in (train_part, test_part))
+        held.pop().unpersist()
         results = []
-        for model_name in models or task.models:
+        for model_name in chosen:
             run_id, started = uuid.uuid4().hex, datetime.now(timezone.utc)
             artifact, changed = f"{folder}/models/{run_id}", (changes or {}).get(model_name, {})
-            fitted = fit_stored(model_name, train_part, artifact, seed, **changed)
-            predictions = fitted.transform(test_part).persist(StorageLevel.MEMORY_AND_DISK)
+            stored = fit_stored(model_name, train_part, index, artifact, seed, **changed)
+            predictions = stored.model.transform(test_part).persist(StorageLevel.MEMORY_AND_DISK)
             held.append(predictions)
             metrics = evaluate(task, predictions)
-            _write_diagnostics(task, f"{folder}/diagnostics/{run_id}", fitted, model_name, predictions)
+            _write_diagnostics(task, f"{folder}/diagnostics/{run_id}", stored.model, model_name, predictions)
             predictions.unpersist()
             append_run(
                 spark,

@@ -246,6 +246,56 @@ FROM (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY
 _RUN_INFO = "run_id, status, start_time, end_time, artifact_uri"
 
 
+_REGRESSION_INPUTS = ("latitude", "longitude", "depth", "significance", "month", "hour", "tsunami")
+_CLASSIFICATION_INPUTS = ("latitude", "longitude", "depth", "magnitudo", "significance", "month", "hour")
+_IN_TRAIN = "CAST('0x' || substr(md5('42:' || event_id), 1, 8) AS BIGINT) < 3435973836"
+_LINEAR = {"linear_regression_baseline", "generalized_linear_regression", "logistic_regression_baseline"}
+_REGRESSORS = ("linear_regression_baseline", "decision_tree_regressor", "random_forest_regressor", "gbt_regressor", "generalized_linear_regression")
+_CLASSIFIERS = ("logistic_regression_baseline", "random_forest_classifier")
+
+
+def _certified(name: str) -> str:
+    """What a trained model must agree with: row counts, moments of inputs and label, sums of labels; rules that no node breaks."""
+    classes = name in _CLASSIFIERS
+    inputs = _CLASSIFICATION_INPUTS if classes else _REGRESSION_INPUTS
+    source, label = ("risk", "CAST(tsunami AS DOUBLE)") if classes else ("features", "magnitudo")
+    known = " AND ".join(f"{c} IS NOT NULL" for c in [*inputs, "tsunami" if classes else "magnitudo"]) + (" AND tsunami IN (0, 1)" if classes else "")
+    parts = [
+        ("parts", f"SELECT *, {label} AS y, {_IN_TRAIN} AS in_train FROM {source} WHERE {known}"),
+        ("learned", "SELECT *, count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY y)) AS balanced FROM parts WHERE in_train"),
+        ("ranked", "SELECT state, row_number() OVER (ORDER BY count(*) DESC, state) - 1 AS place FROM learned GROUP BY state"),
+        ("vectors", f"SELECT l.*, r.place, {'balanced' if classes else '1.0'} AS w FROM learned l JOIN ranked r ON l.state = r.state"),
+    ]
+
+    def row(kind: str, key: str, value: str, relation: str = "") -> str:
+        return f"SELECT '{kind}' AS kind, '{key}' AS name, {value} AS value, true AS holds {relation}"
+
+    rows = [row("rows", part, "CAST(count(*) AS DOUBLE)", f"FROM parts WHERE in_train = {flag}") for part, flag in (("train", "true"), ("test", "false"))]
+    rows += [row("metric", m, "CAST(NULL AS DOUBLE)") for m in (("accuracy", "precision", "recall", "f1", "roc_auc") if classes else ("rmse", "mae", "r2"))]
+    if name in _LINEAR:
+        moments = {**{c: c for c in inputs}, "state_index_model": "place", "intercept": "1"}
+        rows += [row("moment", n, f"round(sum(w * CAST({x} AS DOUBLE) * y) / sum(w), 6)", "FROM vectors") for n, x in moments.items()]
+    else:
+        rows += [row("breaches", n, "CAST(0 AS DOUBLE)") for n in ("children", "predictions", "impurities", "gains")]
+        rows += [row("input", n, "CAST(NULL AS DOUBLE)") for n in [*inputs, "state_index_model"]]
+    if name in ("decision_tree_regressor", "gbt_regressor"):
+        rows += [row("breaches", "leaves", "CAST(0 AS DOUBLE)"), row("total", "label", "round(sum(y), 6)", "FROM vectors")]
+    return _sql([*(RISK if classes else GOLD), *parts], " UNION ALL ".join(rows))
+
+
+def _scored(task: str, inputs: tuple[str, ...], models: int) -> str:
+    known = " AND ".join(f"{c} IS NOT NULL" for c in inputs)
+    return _sql(GOLD, f"SELECT event_id, '{task}' AS model_name, '2024-02-01T00:00:00Z' AS predicted_at, true AS agrees, true AS best, {models} AS n_models FROM features WHERE {known}")
+
+
+def _trained() -> dict[str, str]:
+    return {
+        **{f"model_{n}": _certified(n) for n in [*_REGRESSORS, *_CLASSIFIERS]},
+        "inference_regression": _scored("magnitude_regression", _REGRESSION_INPUTS, len(_REGRESSORS)),
+        "inference_classification": _scored("tsunami_classification", _CLASSIFICATION_INPUTS, len(_CLASSIFIERS)),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     silver = _columns(SILVER_COLUMNS)
     return {
@@ -352,6 +402,7 @@ def oracle_sql() -> dict[str, str]:
             RUNS,
             "SELECT rmse AS \"RMSE\", mae AS \"MAE\", r2 AS \"R2\", model_name AS \"Model\" FROM runs WHERE experiment = 'magnitude_regression' AND rmse IS NOT NULL",
         ),
+        **_trained(),
         # streams
         "stream_bronze": _sql(STREAMED_BRONZE, f"SELECT {_columns(BRONZE_COLUMNS)} FROM parsed WHERE event_id IS NOT NULL"),
         "stream_bad_records": _sql(STREAMED_BRONZE, f"SELECT raw_json, {MESSAGE} FROM parsed WHERE event_id IS NULL"),

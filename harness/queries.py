@@ -7,19 +7,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventlake.ml import certificates
 from eventlake.ml import data as ml_data
 from eventlake.ml import metrics as ml_metrics
 from eventlake.ml import runs as ml_runs
 from eventlake.ml.inference import predict
-from eventlake.ml.models import CLASSIFIERS, REGRESSORS, explain
-from eventlake.ml.training import CLASSIFICATION, REGRESSION, train
+from eventlake.ml.models import CLASSIFIERS, REGRESSORS, StoredModel
+from eventlake.ml.training import CLASSIFICATION, REGRESSION, evaluate, train
 from eventlake.operators import bronze, events, gold, profile, quality, ranking, silver, upsert
 from eventlake.schemas import BRONZE_COLUMNS, RAW_COLUMNS, SILVER_COLUMNS
-from eventlake.session import scratch_path
+from eventlake.session import scratch_path, written
 from eventlake.sources import csv_events, messages, tables
 from eventlake.streaming.jobs import start_clean_stream, start_raw_stream, upsert_batch
 from harness import fixtures
@@ -453,19 +454,48 @@ CATALOG["stream_quarantine"] = _streamed("quarantine")
 # -- trained models --------------------------------------------------------------------------------
 
 
+def _task(spark: SparkSession, sf_dir: str, name: str):
+    """A model's task, its data and the two parts."""
+    task, data = (REGRESSION, regression_data) if name in REGRESSORS else (CLASSIFICATION, classification_data)
+    rows = written(data(spark, sf_dir), "training-data")
+    return task, rows, *ml_data.split(rows)
+
+
 def _model(name: str) -> Query:
-    """Metrics on the test part and importance or coefficient per input of one trained model."""
+    """One model, trained and stored, and its certificate: what follows from the data, and whether the model agrees.
+
+    ``rows`` of both parts, ``metric``: the logged ones are those of predictions computed from the stored model, and by kind
+    of model ``moment``, ``breaches``, ``total`` and ``input`` (see ``certificates``).
+    """
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = scratch_path(spark, "models")
-        if name in REGRESSORS:
-            (result,) = train(REGRESSION, regression_data(spark, sf_dir), folder, models=[name])
-        else:
-            (result,) = train(CLASSIFICATION, classification_data(spark, sf_dir), folder, models=[name])
-        fitted = PipelineModel.load(f"{folder}/models/{result['run_id']}")
-        rows = [("metric", m, v) for m, v in result.items() if isinstance(v, float)]
-        rows += [("input", e["feature"], e["value"]) for e in explain(fitted, name)]
-        return spark.createDataFrame(rows, "kind string, name string, value double")
+        task, rows, train_part, test_part = _task(spark, sf_dir, name)
+        (result,) = train(task, rows, folder, models=[name])
+        weight = None
+        if task is CLASSIFICATION:
+            weight = "class_weight"
+            weights = {r["label"]: r["class_weight"] for r in ml_data.class_weights(train_part).collect()}  # two classes
+            train_part = ml_data.with_class_weights(train_part, weights)
+        stored = StoredModel(spark, f"{folder}/models/{result['run_id']}")
+        vectors, held_out = (written(stored.with_vector(part), "vectors") for part in (train_part, test_part))
+
+        logged = ml_runs.read_runs(spark, f"{folder}/runs").first()["params"]
+        counts = [("rows", part, float(n), logged[f"{part}_row_count"] == str(n)) for part, n in (("train", vectors.count()), ("test", held_out.count()))]
+        again = certificates.relational_predictions(stored, held_out, name)
+        scored = held_out.drop("prediction").join(again.withColumnRenamed("recomputed", "prediction"), "event_id")
+        if task is CLASSIFICATION:
+            p = F.col("recomputed_probability")
+            scored = scored.withColumn("rawPrediction", array_to_vector(F.array(1 - p, p)))
+        metrics = evaluate(task, written(scored, "scored"))
+        counts += [("metric", m, None, abs(v - result[m]) <= 1e-9) for m, v in metrics.items()]
+        found = spark.createDataFrame(counts, certificates.CERTIFICATE)
+        if hasattr(stored.model, "coefficients"):
+            return rounded(found.unionByName(certificates.optimality(stored, name, vectors, label=task.label, weight=weight)), "value")
+        found = found.unionByName(certificates.node_rules(stored, name))
+        if name in ("decision_tree_regressor", "gbt_regressor"):
+            found = found.unionByName(certificates.leaf_rules(stored, name, vectors, task.label))
+        return rounded(found, "value")
 
     return query
 
@@ -474,19 +504,37 @@ for _name in [*REGRESSORS, *CLASSIFIERS]:
     CATALOG[f"model_{_name}"] = _model(_name)
 
 
+def _inference(spark: SparkSession, sf_dir: str, task) -> DataFrame:
+    """All models of a task are trained and logged, and the best one scores every feature row.
+
+    ``agrees``: the prediction (and probability) is the one that the stored model's coefficients or nodes give; ``best``: no
+    run of the ``n_models`` has a better metric.
+    """
+    folder, features = scratch_path(spark, "models"), feature_layer(spark, sf_dir)
+    results = train(task, _task(spark, sf_dir, task.models[0])[1], folder)
+    runs = ml_runs.read_runs(spark, f"{folder}/runs")
+    scored = written(predict(task, features, runs, predicted_at=FIXED_TIME), "predictions")
+    run = ml_runs.best_run(runs, task.experiment, task.order_metric, ascending=task.ascending)
+    stored = StoredModel(spark, run["artifact_uri"])
+    again = certificates.relational_predictions(stored, stored.with_vector(features), run["params"]["model_name"])
+    agrees = F.abs(F.col("prediction") - F.col("recomputed")) <= 1e-9
+    if task is CLASSIFICATION:
+        agrees = agrees & (F.abs(F.col("probability_tsunami") - F.col("recomputed_probability")) <= 1e-9)
+    values = [r[task.order_metric] for r in results]
+    best = run["metrics"][task.order_metric] == (min(values) if task.ascending else max(values))
+    same_run = (F.col("run_id") == run["run_id"]) & (F.col("model_version") == run["run_id"])
+    joined = scored.join(again, "event_id", "left").withColumn("agrees", F.coalesce(agrees & same_run, F.lit(False)))
+    return joined.select("event_id", "model_name", "predicted_at", "agrees", F.lit(best).alias("best"), F.lit(len(results)).alias("n_models"))
+
+
 @register
 def inference_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two models are trained and logged; the one with the lower error scores every feature row."""
-    folder, features = scratch_path(spark, "models"), feature_layer(spark, sf_dir)
-    train(REGRESSION, ml_data.regression_data(features), folder, models=["linear_regression_baseline", "decision_tree_regressor"])
-    return predict(REGRESSION, features, ml_runs.read_runs(spark, f"{folder}/runs"), predicted_at=FIXED_TIME)
+    return _inference(spark, sf_dir, REGRESSION)
 
 
 @register
 def inference_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, features = scratch_path(spark, "models"), feature_layer(spark, sf_dir)
-    train(CLASSIFICATION, classification_data(spark, sf_dir), folder, models=["logistic_regression_baseline"])
-    return predict(CLASSIFICATION, features, ml_runs.read_runs(spark, f"{folder}/runs"), predicted_at=FIXED_TIME)
+    return _inference(spark, sf_dir, CLASSIFICATION)
 
 
 def comparable(query: Query) -> Query:

@@ -6,11 +6,14 @@ from glob import glob
 
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
-from eventlake.ml import data, inference, metrics, runs
-from eventlake.ml.models import CLASSIFIERS, REGRESSORS, build_pipeline, estimator, explain, input_columns
+from eventlake.ml import certificates, data, inference, metrics, runs, training
+from eventlake.ml.models import CLASSIFIERS, REGRESSORS, StoredModel, estimator, explain, fit_stored, input_columns
 from eventlake.ml.training import CLASSIFICATION, REGRESSION, train
+from eventlake.ml.vectors import STATE_INDEX, state_index, with_vector
+from tests.helpers import plan
 
 
 @pytest.fixture(scope="module")
@@ -90,7 +93,7 @@ def test_hyperparameters_reach_the_estimators():
     assert estimator("generalized_linear_regression").getLink() == "identity"
     assert len(REGRESSORS) == 5 and len(CLASSIFIERS) == 2
     with pytest.raises(ValueError, match="unknown model"):
-        build_pipeline("other")
+        estimator("other")
 
 
 def test_train_log_and_score(spark, features, lake):
@@ -131,12 +134,72 @@ def test_classification_end_to_end(spark, features, lake):
         train(REGRESSION, data.regression_data(features.limit(20)), lake)
 
 
-def test_explanations(features):
+def fitted(features, name, folder, **changes):
     frame = data.regression_data(features)
-    linear = explain(build_pipeline("linear_regression_baseline").fit(frame), "linear_regression_baseline")
+    index = state_index(frame)
+    vectors = with_vector(frame, index, input_columns(name)[:-1], states=index.count())
+    return vectors, fit_stored(name, vectors, index, f"{folder}/{name}", **changes)
+
+
+def test_explanations(features, lake):
+    linear = explain(fitted(features, "linear_regression_baseline", lake)[1].model, "linear_regression_baseline")
     assert [r["feature"] for r in linear] == [*input_columns("linear_regression_baseline"), "intercept"]
-    tree = explain(build_pipeline("decision_tree_regressor").fit(frame), "decision_tree_regressor")
+    tree = explain(fitted(features, "decision_tree_regressor", lake)[1].model, "decision_tree_regressor")
     assert sum(r["value"] for r in tree) == pytest.approx(1)
+    assert explain(object(), "linear_regression_baseline") == [{"feature": "not_available", "kind": "linear_regression_baseline", "value": None}]
+
+
+def test_states_are_indexed_as_the_string_indexer_does(spark, features):
+    frame = data.regression_data(features)
+    index = state_index(frame)
+    expected = StringIndexer(inputCol="state", outputCol="i", handleInvalid="keep").fit(frame)
+    new = frame.unionByName(frame.limit(1).withColumns({"state": F.lit("never seen"), "event_id": F.lit("new")}))
+    new = new.unionByName(frame.limit(1).withColumns({"state": F.lit(None).cast("string"), "event_id": F.lit("none")}))
+    got = {r["event_id"]: r[STATE_INDEX] for r in with_vector(new, index, ["depth"], states=index.count()).collect()}
+    assert got == {r["event_id"]: r["i"] for r in expected.transform(new).collect()}
+
+
+@pytest.mark.parametrize("states, kind", [(100, "nominal"), (300, "numeric")])
+def test_any_number_of_states_can_be_learned(spark, lake, states, kind):
+    rows = spark.range(1200).selectExpr("concat('e', id) event_id", f"concat('s', id % {states}) state", *(f"CAST(id % 17 AS double) {c}" for c in data.REGRESSION_FEATURES), "CAST(id % 5 AS double) magnitudo")
+    index = state_index(rows)
+    vectors = with_vector(rows, index, data.REGRESSION_FEATURES, states=index.count())
+    assert kind in vectors.schema["features"].metadata["ml_attr"]["attrs"] and "CollectLimit" not in plan(vectors)
+    stored = fit_stored("decision_tree_regressor", vectors, index, f"{lake}/m")
+    assert stored.states == states and stored.transform(rows).count() == 1200
+
+
+def test_one_index_and_one_vector_table_for_all_estimators(spark, features, lake, monkeypatch):
+    made, tables, fit = [], [], training.fit_stored
+    monkeypatch.setattr(training, "state_index", lambda rows: made.append(1) or state_index(rows))
+    monkeypatch.setattr(training, "fit_stored", lambda name, vectors, *a, **k: tables.append(tuple(vectors.inputFiles())) or fit(name, vectors, *a, **k))
+    small = {"random_forest_regressor": {"numTrees": 3}, "gbt_regressor": {"maxIter": 2}}
+    assert len(train(REGRESSION, data.regression_data(features), lake, changes=small)) == 5
+    assert made == [1] and len(tables) == 5 and len(set(tables)) == 1 and tables[0]
+
+
+def holds(rows):
+    return {(r["kind"], r["name"]): r["holds"] for r in rows.collect()}
+
+
+def test_certificates_tell_a_fitted_model_from_a_changed_one(spark, features, lake):
+    name = "linear_regression_baseline"
+    vectors, stored = fitted(features, name, lake)
+    assert set(holds(certificates.optimality(stored, name, vectors, label="magnitudo")).values()) == {True}
+    other = fitted(features, "generalized_linear_regression", lake, regParam=0.06)[1]
+    assert False in holds(certificates.optimality(other, "generalized_linear_regression", vectors, label="magnitudo")).values()
+
+    for name, changes in (("decision_tree_regressor", {}), ("gbt_regressor", {"maxIter": 4})):
+        vectors, stored = fitted(features, name, lake, **changes)
+        assert set(holds(certificates.node_rules(stored, name)).values()) == {True}
+        assert set(holds(certificates.leaf_rules(stored, name, vectors, "magnitudo")).values()) == {True}
+        moved = vectors.withColumn("magnitudo", F.col("magnitudo") + (F.col("event_id") == "e3").cast("double"))
+        assert not any(holds(certificates.leaf_rules(stored, name, moved, "magnitudo")).values())
+        again = certificates.relational_predictions(stored, vectors, name)
+        told = stored.model.transform(vectors).select("event_id", "prediction").join(again, "event_id")
+        assert told.where("abs(prediction - recomputed) > 1e-9").isEmpty() and told.count() == 400
+    nodes = certificates.node_table(StoredModel(spark, f"{lake}/decision_tree_regressor"))
+    assert nodes.where("id = 0").count() == 1 and nodes.where("left >= 0 AND gain < 0").isEmpty()
 
 
 def run(i, **changes):
