@@ -5,9 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.session import BROADCAST_ROWS, HOT_KEYS, SALTS
+from eventlake.session import BROADCAST_ROWS, TASK_ROWS, written
 
-_SALT, _HOT = "_salt", "_hot"
+_SALT, _PARTS, _HOT = "_salt", "_parts", "_hot"
+
+
+def hot_keys(facts: DataFrame, key: str, *, task_rows: int = TASK_ROWS, most: int = BROADCAST_ROWS) -> DataFrame:
+    """Written: the keys (NULL too) with more than ``task_rows`` rows and the ``_parts`` that each is to be split into.
+
+    Counts are combined before they are shuffled. There are at most rows / ``task_rows`` such keys; should that be more than
+    ``most``, the rows asked for are doubled until they fit.
+    """
+    counted = facts.groupBy(F.col(key).alias(_HOT)).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > task_rows)
+    hot = written(counted, "hot-keys")
+    while hot.where(F.col("_n") > task_rows).limit(most + 1).count() > most:
+        task_rows *= 2
+    return hot.where(F.col("_n") > task_rows).select(_HOT, F.ceil(F.col("_n") / task_rows).cast("int").alias(_PARTS))
 
 
 def join_unique(
@@ -20,29 +33,23 @@ def join_unique(
     how: str = "left",
     broadcast_rows: int = BROADCAST_ROWS,
     count_in: DataFrame | None = None,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Join ``facts`` with ``keyed``, which holds each key once and at most ``keyed_rows`` rows.
 
-    Up to ``broadcast_rows`` the keyed side is broadcast and the facts are not shuffled. Beyond, or
-    where the size is not known, both sides shuffle on the key, and the most frequent keys of the facts are salted: their rows spread
-    over ``SALTS`` tasks, each with its own copy of the one matching row. Only ``HOT_KEYS`` keys are
-    copied; any other key holds less than one ``HOT_KEYS``-th of the facts. Rows without a key match
-    nothing and are spread too. The salt is a hash of ``spread_by``, so a task that is run again
-    places its rows as before. ``count_in`` is a cheaper frame to find the frequent keys in, one that
-    holds all rows of the facts.
+    Up to ``broadcast_rows`` the keyed side is broadcast and the facts are not shuffled. Beyond, or where the size is not known,
+    both sides shuffle on the key, and every key with more than ``task_rows`` rows is split: its rows spread over as many parts
+    as its frequency asks for, each with its own copy of the one matching row, so a part has about ``task_rows`` rows at
+    most, whatever the key's share or rank. Rows without a key match nothing and are split alike. The part is a hash of
+    ``spread_by``, so a task that is run again places its rows as before. ``count_in`` is a cheaper frame to count the keys in,
+    one that holds all rows of the facts.
     """
     if keyed_rows is not None and keyed_rows <= broadcast_rows:
         return facts.join(F.broadcast(keyed), key, how)
 
-    counted = facts if count_in is None else count_in
-    frequency = counted.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    # Ordered by key as well: the set must be the same wherever it is evaluated.
-    hot = frequency.orderBy(F.desc("_n"), key).limit(HOT_KEYS).select(key, F.lit(True).alias(_HOT))
-
-    spread = F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")
-    salt = F.when(F.col(_HOT) | F.col(key).isNull(), spread).otherwise(0)
-    salted = facts.join(F.broadcast(hot), key, "left").withColumn(_SALT, salt).drop(_HOT)
-
-    last_copy = F.when(F.col(_HOT), SALTS - 1).otherwise(0)
-    copies = keyed.join(F.broadcast(hot), key, "left").withColumn(_SALT, F.explode(F.sequence(F.lit(0), last_copy))).drop(_HOT)
+    hot = F.broadcast(hot_keys(facts if count_in is None else count_in, key, task_rows=task_rows))
+    parts = F.coalesce(F.col(_PARTS), F.lit(1))
+    same = F.col(key).eqNullSafe(F.col(_HOT))
+    salted = facts.join(hot, same, "left").withColumn(_SALT, F.pmod(F.xxhash64(spread_by), parts).cast("int")).drop(_HOT, _PARTS)
+    copies = keyed.join(hot, same, "left").withColumn(_SALT, F.explode(F.sequence(F.lit(0), parts - 1))).drop(_HOT, _PARTS)
     return salted.join(copies, [key, _SALT], how).drop(_SALT)

@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Most rows that are ever broadcast. At roughly 150 bytes a row this stays under 80 MB per executor.
 BROADCAST_ROWS = 500_000
-#: Keys treated as hot in a shuffled join, and the number of tasks that share one of them.
-HOT_KEYS = 1000
-SALTS = 32
+#: Most rows of one key that a shuffled join puts into one part. At roughly 200 bytes a row these are 200 MB.
+TASK_ROWS = 1_000_000
 
 _UTC_NAMES = {"UTC", "ETC/UTC", "GMT", "ETC/GMT", "Z", "+00:00", "UTC+00:00", "ETC/UCT", "UCT", "ZULU"}
 
