@@ -5,10 +5,11 @@ The folder form is what is tested. The Kafka form needs the Kafka package on the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.schemas import BRONZE_COLUMNS, BRONZE_SCHEMA, ENVELOPE_SCHEMA
+from eventlake.sources.tables import read_if_exists
 
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str, *, starting_offsets: str = "earliest", max_offsets_per_trigger: int | None = None) -> DataFrame:
@@ -34,22 +35,45 @@ def folder_stream(spark: SparkSession, path: str, *, max_files_per_trigger: int
     return reader.parquet(path)
 
 
+def _next_offset(spark: SparkSession, path: str) -> int:
+    """The offset after the last one published to a topic folder.
+
+    The last publish left it as a mark beside the folder, with the number of files it saw. Where files came without one, from
+    a publish that ended early, the offsets are read.
+    """
+    topic, marks = read_if_exists(spark, path), read_if_exists(spark, _marks(path))
+    if topic is None:
+        return 0
+    last = marks.orderBy(F.desc("next_offset")).first() if marks is not None else None
+    if last is not None and last["files"] == len(topic.inputFiles()):
+        return last["next_offset"]
+    return (topic.agg(F.max("offset")).first()[0] or 0) + 1
+
+
+def _marks(path: str) -> str:
+    return path.rstrip("/") + "_marks"
+
+
 def publish_folder(messages: DataFrame, path: str, topic: str, *, partitions: int = 3) -> None:
-    """Append keyed messages to a topic folder.
+    """Append keyed messages to a topic folder. One publisher per folder.
 
-    As on a broker the partition follows from the key; a message without a given offset gets one that
-    is unique and rising within its write task.
+    As on a broker the partition follows from the key; a message without a given offset gets one that is unique in the folder:
+    it goes on after the last publish and rises within its write task.
     """
-    columns = set(messages.columns)
+    spark, columns = messages.sparkSession, set(messages.columns)
     envelope = {
         "topic": F.lit(topic),
         "partition": F.pmod(F.xxhash64("key"), F.lit(partitions)).cast("int"),
-        "offset": F.monotonically_increasing_id(),
+        "offset": F.monotonically_increasing_id() + (0 if "offset" in columns else _next_offset(spark, path)),
         "timestamp": F.current_timestamp(),
     }
     filled = messages.withColumns({c: e for c, e in envelope.items() if c not in columns})
     typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in ENVELOPE_SCHEMA]
-    filled.select(*typed).write.mode("append").parquet(path)
+    counted = Observation()
+    filled.select(*typed).observe(counted, F.max("offset").alias("last")).write.mode("append").parquet(path)
+    last = counted.get["last"]
+    mark = [((-1 if last is None else last) + 1, len(spark.read.parquet(path).inputFiles()))]
+    spark.createDataFrame(mark, "next_offset bigint, files bigint").coalesce(1).write.mode("append").parquet(_marks(path))
 
 
 def raw_layer_stream(spark: SparkSession, path: str, *, max_files_per_trigger: int | None = None) -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,9 +16,9 @@ from eventlake.operators.bronze import bad_records, good_records, identified, pa
 from eventlake.operators.silver import clean, quarantined_records, valid_records
 from eventlake.operators.upsert import first_per_key, unstored_records
 from eventlake.schemas import SILVER_COLUMNS, conform
-from eventlake.session import require_utc
+from eventlake.session import require_utc, written
 from eventlake.sources.key_index import BUCKETS, KeyIndex, index_path
-from eventlake.sources.tables import BATCH_COLUMN, write_batch
+from eventlake.sources.tables import BATCH_COLUMN, read_if_exists, write_batch
 
 LOG = logging.getLogger(__name__)
 
@@ -70,6 +71,38 @@ def upsert_batch(valid: DataFrame, batch: str, clean_path: str, *, buckets: int
     return rows
 
 
+#: A message as it was delivered: where it stood in its topic, and what it said.
+_DELIVERY = ["kafka_topic", "kafka_partition", "kafka_offset", "event_id", "record_natural_key"]
+
+
+def quarantine_batch(invalid: DataFrame, batch: str, path: str) -> int:
+    """Store the invalid records of a batch that no other batch has stored; return how many.
+
+    A raw batch that is written anew after a crash is read anew: its messages stand where they stood. Beside the table, each
+    batch leaves the range of offsets that it covers of each topic partition, so only batches with an overlapping range are
+    compared, which are none in the usual course. The range is left first: without rows it does no harm.
+    """
+    spark = invalid.sparkSession
+    where = ["kafka_topic", "kafka_partition"]
+    ranges = invalid.groupBy(*where).agg(F.min("kafka_offset").alias("first"), F.max("kafka_offset").alias("last"))
+    commits_path = path.rstrip("/") + "_commits"
+    stored, commits = read_if_exists(spark, path), read_if_exists(spark, commits_path)
+    ranges = written(ranges.withColumn(BATCH_COLUMN, F.lit(batch)), "offset-ranges")
+    ranges.coalesce(1).write.mode("append").parquet(commits_path)
+    fresh = invalid.dropDuplicates(_DELIVERY)
+    if stored is not None and commits is not None:
+        mine = ranges.select(*(F.col(c).alias(f"_{c}") for c in [*where, "first", "last"]))
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in where]
+        unnumbered = F.col("first").isNull() | F.col("_first").isNull()
+        overlap = unnumbered | ((F.col("first") <= F.col("_last")) & (F.col("last") >= F.col("_first")))
+        others = commits.where(F.col(BATCH_COLUMN) != batch).join(F.broadcast(mine), same[0] & same[1] & overlap, "left_semi")  # one row per topic partition
+        names = others.select(BATCH_COLUMN).distinct()
+        known = stored.join(F.broadcast(names), BATCH_COLUMN, "left_semi").select(*(F.col(c).alias(f"_{c}") for c in _DELIVERY)).distinct()
+        equal = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _DELIVERY])
+        fresh = fresh.join(known, equal, "left_anti")
+    return write_batch(fresh, path, batch)
+
+
 def write_clean_batch(cleaned: DataFrame, batch: str, clean_path: str, quarantine_path: str) -> None:
     """Upsert the valid records of a micro-batch and quarantine the rest; skip an empty side."""
     with _kept(conform(cleaned, SILVER_COLUMNS, "clean layer")) as held:
@@ -79,7 +112,7 @@ def write_clean_batch(cleaned: DataFrame, batch: str, clean_path: str, quarantin
             inserted = upsert_batch(valid_records(held), batch, clean_path)
             LOG.info("clean batch %s: inserted=%s", batch, inserted)
         if invalid:
-            write_batch(quarantined_records(held), quarantine_path, batch)
+            quarantine_batch(quarantined_records(held), batch, quarantine_path)
 
 
 def _start(

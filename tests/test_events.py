@@ -96,3 +96,18 @@ def test_publish_to_a_folder_topic(spark, lake):
     rows = spark.read.parquet(f"{lake}/topic").collect()
     assert {r["topic"] for r in rows} == {"events"} and all(0 <= r["partition"] < 4 for r in rows)
     assert len({(r["partition"], r["offset"]) for r in rows}) == 2
+
+
+def test_offsets_go_on_over_publishes(spark, lake):
+    path = f"{lake}/topic"
+    sent = events.to_messages(raw(spark, {}, {"state": "B"}, {"state": "C"}).repartition(3))
+    for n in range(1, 4):
+        messages.publish_folder(sent, path, "events")
+        rows = spark.read.parquet(path).collect()
+        assert len(rows) == 3 * n and len({r["offset"] for r in rows}) == 3 * n
+    # A publish that ended before it left its mark: files are there that the last mark has not seen.
+    given = spark.read.parquet(path).limit(1).selectExpr("topic", "partition", "CAST(1000000000000 AS bigint) AS offset", "timestamp", "key", "value")
+    given.write.mode("append").parquet(path)
+    messages.publish_folder(sent, path, "events")
+    offsets = [r["offset"] for r in spark.read.parquet(path).collect()]
+    assert len(set(offsets)) == len(offsets) == 13 and max(offsets) > 10**12

@@ -110,3 +110,32 @@ def test_every_batch_is_stored_in_the_order_of_the_contract(spark, lake):
         rows = silver.clean(raw(spark, {"event_id": f"e{i}", "place": f"p{i}"}))
         jobs.upsert_batch(rows.select(*SILVER_COLUMNS), f"s-{i}", f"{lake}/clean")
         assert spark.read.parquet(f"{lake}/clean/batch=s-{i}").columns == SILVER_COLUMNS
+
+
+def test_a_raw_batch_written_anew_is_quarantined_once(spark, lake):
+    send(lake, raw(spark, {"event_id": "a"}, BAD, {**BAD, "event_id": None, "place": "P", "kafka_offset": 7}, {**BAD, "event_id": "other", "kafka_offset": 9}))
+    drain(spark, lake)
+    before = load(spark, lake, "quarantine")
+    assert len(before) == 2 and len(load(spark, lake, "raw")) == 3
+    # A crash before the stream's commit: the batch is written again, to new files under its own name.
+    (name,) = {r[0] for r in spark.read.parquet(f"{lake}/raw").select("batch").collect()}
+    parsed = bronze.parse_messages(spark.read.parquet(f"{lake}/messages"))
+    jobs.write_raw_batch(parsed, name, f"{lake}/raw", f"{lake}/bad")
+    drain(spark, lake)
+    assert load(spark, lake, "quarantine") == before and len(load(spark, lake, "raw")) == 3 and len(load(spark, lake, "clean")) == 1
+    # Delivered again it is a message of its own; with a new checkpoint all are read again and known.
+    send(lake, raw(spark, {**BAD, "kafka_offset": 21}))
+    drain(spark, lake)
+    assert len(load(spark, lake, "quarantine")) == 3
+    drain(spark, lake, tag="-other")
+    assert len(load(spark, lake, "quarantine")) == 3
+
+
+def test_quarantine_compares_overlapping_batches_only(spark, lake, monkeypatch):
+    def invalid(*offsets):
+        return silver.quarantined_records(silver.clean(raw(spark, *({**BAD, "kafka_offset": i} for i in offsets)))).select(*SILVER_COLUMNS)
+
+    path = f"{lake}/quarantine"
+    assert [jobs.quarantine_batch(invalid(*x), f"s-{i}", path) for i, x in enumerate([(1, 2), (5, 6), (8,), (2, 7), (2, 7)])] == [2, 2, 1, 1, 0]
+    assert jobs.quarantine_batch(invalid(2, 7), "s-3", path) == 1  # a replay decides as before
+    assert sorted(r["kafka_offset"] for r in spark.read.parquet(path).collect()) == [1, 2, 5, 6, 7, 8]
