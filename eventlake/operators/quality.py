@@ -1,12 +1,12 @@
 """Data-quality report on the clean or the raw layer.
 
 The report needs three passes whatever the number of columns: one aggregate for all counters, one
-for all value distributions, one for the top records. Metrics whose columns are absent are left out.
+for all value distributions and the years, one for the top records. A metric whose column is absent is NULL, a list empty.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -80,12 +80,16 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return grouped.select(F.coalesce(*pick).alias("entry"), "count").select("entry.*", "count")
 
 
-def top_values(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
-    """The most frequent values per column, ties by value (NULL first): adds ``rank`` from 1."""
-    by_count = Window.partitionBy("column").orderBy(F.desc("count"), F.asc_nulls_first("value"))
-    ranked = value_counts(df, list(limits)).withColumn("rank", F.row_number().over(by_count))
-    widest = max(limits.values())
-    allowed = F.coalesce(*(F.when(F.col("column") == c, n) for c, n in limits.items()))
+def top_values(df: DataFrame, limits: Mapping[str, int], whole: Sequence[str] = ()) -> DataFrame:
+    """The most frequent values per column, ties by value (NULL first): adds ``rank`` from 1.
+
+    Of the columns ``whole`` every value stays, each with rank 1, from the same pass.
+    """
+    alone = F.when(F.col("column").isin(list(whole)), F.col("value")) if whole else F.lit(None).cast("string")
+    by_count = Window.partitionBy("column", alone).orderBy(F.desc("count"), F.asc_nulls_first("value"))
+    ranked = value_counts(df, [*limits, *whole]).withColumn("rank", F.row_number().over(by_count))
+    widest = max([1, *limits.values()])
+    allowed = F.coalesce(*(F.when(F.col("column") == c, n) for c, n in limits.items()), F.lit(1))
     # The constant bound lets Spark limit each group before the shuffle; the second is the exact limit.
     return ranked.where(F.col("rank") <= widest).where(F.col("rank") <= allowed)
 
@@ -122,24 +126,30 @@ def report(df: DataFrame, generated_at: str | None = None) -> DataFrame:
         parts.append(stamp)
     parts.append(counters(df).withColumn("value", F.col("value").cast("string")))
 
-    names = {c: f"{c}_distribution" for c in DISTRIBUTION_LIMITS} | {"state": "top_states_by_event_count"}
+    names = {c: f"{c}_distribution" for c in DISTRIBUTION_LIMITS} | {"state": "top_states_by_event_count", "year": "yearly_record_count"}
     limits = {c: n for c, n in {**DISTRIBUTION_LIMITS, "state": TOP_STATES}.items() if c in df.columns}
-    if limits:
-        tops = top_values(df, limits)
-        metric = F.coalesce(*(F.when(F.col("column") == c, F.lit(names[c])) for c in limits))
+    years = ["year"] if "year" in df.columns else []
+    counted = [*limits, *years]
+    if counted:
+        tops = top_values(df, limits, years)
+        metric = F.coalesce(*(F.when(F.col("column") == c, F.lit(names[c])) for c in counted))
         objects = [
-            F.when(F.col("column") == c, _object(F.col("value").cast(df.schema[c].dataType).alias(c), "count")) for c in limits
+            F.when(F.col("column") == c, _object(F.col("value").cast(df.schema[c].dataType).alias(c), "count")) for c in counted
         ]
-        parts.append(tops.select(metric.alias("metric"), _position("rank"), F.coalesce(*objects).alias("value")))
-    if "year" in df.columns:
-        years = yearly_counts(df)
-        parts.append(years.select(F.lit("yearly_record_count").alias("metric"), F.coalesce(F.lpad(F.col("year").cast("string"), 6, "0"), F.lit("")).alias("key"), _object("year", "count")))
+        of_year = F.coalesce(F.lpad("value", 6, "0"), F.lit(""))
+        key = F.when(F.col("column") == "year", of_year).otherwise(_position("rank"))
+        parts.append(tops.select(metric.alias("metric"), key.alias("key"), F.coalesce(*objects).alias("value")))
     if set(TOP_RECORD_COLUMNS) <= set(df.columns):
         order = Window.orderBy(F.desc_nulls_last("magnitudo"), F.asc("event_id"))
         # At most TOP_RECORDS rows are left here.
         tops = top_magnitude(df).withColumn("rank", F.row_number().over(order))
         parts.append(tops.select(F.lit("top_magnitudo_records").alias("metric"), _position("rank"), _object(*TOP_RECORD_COLUMNS)))
 
+    told = {"total_record_count", "null_counts", *_counters(df), *(names[c] for c in counted)}
+    told |= {"top_magnitudo_records"} if set(TOP_RECORD_COLUMNS) <= set(df.columns) else set()
+    untold = [(m, None, None) for m in METRICS if m not in told and m != "generated_at"]
+    if untold:
+        parts.append(df.sparkSession.createDataFrame(untold, "metric string, key string, value string"))
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
@@ -155,6 +165,22 @@ def _object(*columns: str | Column) -> Column:
     return F.to_json(F.struct(*columns), options).alias("value")
 
 
+# The metrics in the order of the report document.
+METRICS = (
+    "generated_at",
+    "total_record_count",
+    "null_counts",
+    "invalid_latitude_count",
+    "invalid_longitude_count",
+    "null_magnitudo_count",
+    "negative_depth_count",
+    "tsunami_distribution",
+    "status_distribution",
+    "data_type_distribution",
+    "yearly_record_count",
+    "top_magnitudo_records",
+    "top_states_by_event_count",
+)
 LIST_METRICS = (*(f"{c}_distribution" for c in DISTRIBUTION_LIMITS), "top_states_by_event_count", "yearly_record_count", "top_magnitudo_records")
 
 
@@ -178,11 +204,24 @@ def by_metric(report_df: DataFrame) -> DataFrame:
     return grouped.select("metric", text.alias("value"))
 
 
+def document(metrics: DataFrame) -> DataFrame:
+    """The report as one JSON object, column ``document``: numbers, objects and lists by metric, a missing value as null.
+
+    ``metrics``: what :func:`by_metric` gives, one row for each of a dozen metrics.
+    """
+    place = F.coalesce(F.array_position(F.array(*map(F.lit, METRICS)), F.col("metric")), F.lit(0))
+    quoted = lambda c: F.regexp_extract(F.to_json(F.array(c)), r"(?s)^\[(.*)\]$", 1)
+    value = F.when(F.col("metric") == "generated_at", quoted(F.col("value"))).otherwise(F.col("value"))
+    member = F.concat(quoted(F.col("metric")), F.lit(":"), F.coalesce(value, F.lit("null")))
+    members = F.transform(F.sort_array(F.collect_list(F.struct(place.alias("place"), member.alias("member")))), lambda e: e["member"])
+    return metrics.agg(F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}")).alias("document"))
+
+
 def write_report(report_df: DataFrame, folder: str) -> None:
-    """Write the report as JSON lines and as a two-column CSV with header, one file each."""
+    """Write the report as one JSON object and as a two-column CSV with header, one file each."""
     rows = by_metric(report_df).coalesce(1).persist()
     try:
-        rows.write.mode("overwrite").json(f"{folder}/data_quality_report_json")
+        document(rows).coalesce(1).write.mode("overwrite").text(f"{folder}/data_quality_report_json")
         rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{folder}/data_quality_report_csv")
     finally:
         rows.unpersist()

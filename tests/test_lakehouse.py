@@ -53,7 +53,8 @@ def test_from_csv_to_predictions(spark, tmp_path, monkeypatch):
     lakehouse.summarise_runs(spark, lake)
     summary = spark.read.option("header", True).option("escape", '"').csv(f"{lake.reports}/run_summary")
     assert summary.count() == 2 and {"metric_rmse", "metric_f1", "param_model_name"} <= set(summary.columns)
-    assert json.loads(spark.read.json(f"{lake.reports}/data_quality_report_json").where("metric = 'null_counts'").first()["value"])
+    (document,) = [json.loads(r["value"]) for r in spark.read.text(f"{lake.reports}/data_quality_report_json").collect()]
+    assert document["total_record_count"] == 392 and document["null_counts"]["event_id"] == 0 and document["yearly_record_count"]
 
 
 def test_features_stay_when_nothing_is_usable(spark, lake):

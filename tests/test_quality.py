@@ -24,16 +24,24 @@ def test_report_on_the_clean_layer(spark):
     assert top[0]["event_timestamp"] == "1970-01-02T00:00:00.000000" and top[2]["magnitudo"] is None
 
 
-def test_report_on_the_raw_layer_leaves_out_what_it_cannot_tell(spark):
+def test_report_on_the_raw_layer_is_null_or_empty_where_it_cannot_tell(spark):
     got = as_dict(quality.report(raw(spark, {}, BAD)))
     assert got["invalid_latitude_count"] == "1" and got["negative_depth_count"] == "1"
-    assert "yearly_record_count" not in got and "top_magnitudo_records" not in got
+    assert got["yearly_record_count"] == "[]" and got["top_magnitudo_records"] == "[]"
     assert json.loads(got["tsunami_distribution"]) == [{"tsunami": "0", "count": 2}]
 
 
 def test_report_on_a_table_without_any_known_column(spark):
     got = as_dict(quality.report(spark.range(3).withColumnRenamed("id", "x")))
-    assert got == {"total_record_count": "3", "null_counts": '{"x":0}'}
+    assert (got.pop("total_record_count"), got.pop("null_counts")) == ("3", '{"x":0}')
+    assert {m for m, v in got.items() if v is None} == {"invalid_latitude_count", "invalid_longitude_count", "null_magnitudo_count", "negative_depth_count"}
+    assert {m for m, v in got.items() if v == "[]"} == set(quality.LIST_METRICS) and set(got) == set(quality.METRICS[3:])
+
+
+def test_the_report_reads_its_table_three_times(spark, lake):
+    silver.clean(raw(spark, {}, BAD)).write.parquet(f"{lake}/t")
+    text = plan(quality.report(spark.read.parquet(f"{lake}/t"), generated_at="now"))
+    assert text.count("FileScan") == 3 and text.count("WindowGroupLimit") == 2
 
 
 def test_counters_need_one_pass(spark, lake):
@@ -57,9 +65,21 @@ def test_write_report(spark, lake):
     with open(path, newline="", encoding="utf-8") as file:
         rows = {r["metric"]: r["value"] for r in csv.DictReader(file)}
     assert rows["total_record_count"] == "2" and json.loads(rows["null_counts"])["magnitudo"] == 1
-    (path,) = glob(f"{lake}/data_quality_report_json/*.json")
+    (path,) = glob(f"{lake}/data_quality_report_json/*.txt")
     with open(path, encoding="utf-8") as file:
-        assert {json.loads(line)["metric"] for line in file} == set(rows)
+        told = json.load(file)
+    assert list(told) == [m for m in quality.METRICS if m in rows]
+    assert told["total_record_count"] == 2 and told["null_counts"]["magnitudo"] == 1 and told["invalid_latitude_count"] == 1
+    assert told["yearly_record_count"] == [{"year": 1970, "count": 2}]
+    assert told["top_magnitudo_records"][0]["magnitudo"] == 2.0 and told["top_magnitudo_records"][1]["magnitudo"] is None
+    assert told["top_states_by_event_count"] == [{"state": "First", "count": 1}, {"state": "Second", "count": 1}]
+
+
+def test_the_document_quotes_text_and_keeps_null(spark):
+    rows = quality.by_metric(quality.report(spark.range(1).withColumnRenamed("id", 'a"b'), generated_at='no"w \\ ü'))
+    told = json.loads(quality.document(rows).first()["document"])
+    assert list(told) == list(quality.METRICS) and told["generated_at"] == 'no"w \\ ü' and told["null_counts"] == {'a"b': 0}
+    assert told["negative_depth_count"] is None and told["status_distribution"] == []
 
 
 def test_a_record_without_timestamp_hides_no_year(spark, lake):
