@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.session import BROADCAST_ROWS
+from eventlake.sources.folders import Folders
 from eventlake.sources.tables import BATCH_COLUMN, read_if_exists
 
 NATURAL, EVENT = "record_natural_key", "event_id"
@@ -27,6 +28,13 @@ NO_DAY = "0001-01-01"
 _COLUMNS = {NATURAL: "key string, day date, batch string", EVENT: "key string, batch string", "batches": "batch string"}
 
 
+_GENERATION = "generation-"
+
+
+def _number(generation: str) -> int:
+    return int(generation[len(_GENERATION) :])
+
+
 def index_path(table_path: str) -> str:
     return table_path.rstrip("/") + "_keys"
 
@@ -40,7 +48,14 @@ class KeyIndex:
     """The index at ``path``. ``buckets`` may not change in the life of an index, and is part of its folders' names."""
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS) -> None:
-        self.spark, self.root, self.buckets = spark, f"{path.rstrip('/')}/buckets={buckets}", buckets
+        self.spark, self.buckets = spark, buckets
+        self.folders = Folders(spark, f"{path.rstrip('/')}/buckets={buckets}")
+        whole = [n for n in self.folders.names() if n.startswith(_GENERATION) and self._is_whole(n)]
+        self.root = f"{self.folders.root}/{max(whole, key=_number) if whole else _GENERATION + '0'}"
+
+    def _is_whole(self, generation: str) -> bool:
+        """A generation is whole once its list of batches, which is written last, is there."""
+        return "_SUCCESS" in self.folders.names(f"{generation}/batches")
 
     def _table(self, kind: str) -> str:
         """The name under which the session's catalog knows a folder of the index; the data stays outside the warehouse."""
@@ -66,8 +81,30 @@ class KeyIndex:
         """Enter the keys of stored rows, which carry their batch. A batch entered twice counts once: its rows only repeat."""
         self._append(stored.where(F.col(NATURAL).isNotNull()).select(F.col(NATURAL).alias("key"), day_of().alias("day"), BATCH_COLUMN), NATURAL, "day", "key")
         self._append(stored.where(F.col(EVENT).isNotNull()).select(F.col(EVENT).alias("key"), BATCH_COLUMN).distinct(), EVENT, "key")
+        self.note(batches)
+
+    def note(self, batches: Sequence[str]) -> None:
+        """Enter batches whose keys the index holds under other names."""
         self.spark.createDataFrame([(b,) for b in batches], "batch string").coalesce(1).write.mode("append").insertInto(self._table("batches"))
 
+    def compact(self) -> None:
+        """Rewrite the index with one file for each bucket, as a new generation; its list of batches makes it the current one.
+
+        Keys that a replay has entered twice become one. Interrupted, the old generation stays.
+        """
+        old = self.root
+        new = KeyIndex(self.spark, self.folders.root.rsplit("/", 1)[0], self.buckets)
+        generation = _GENERATION + str(_number(old.rsplit("/", 1)[1]) + 1)
+        self.folders.remove(generation)  # what an interrupted attempt left
+        new.root = f"{self.folders.root}/{generation}"
+        for kind, order in ((NATURAL, ("day", "key")), (EVENT, ("key",))):
+            new._append(self.keys(kind).distinct(), kind, *order)
+        new.note(sorted(self.batches()))
+        self.root = new.root
+        for name in self.folders.names():
+            if name.startswith(_GENERATION) and name != generation:
+                self.folders.remove(name)
+
     def complete(self, table_path: str, *, but: str | None = None) -> None:
         """Enter the batches of the table that the index does not hold: all of them for a new index, or those of a writer that
         ended between the two. ``but``: a batch about to be written anew."""

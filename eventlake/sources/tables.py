@@ -11,20 +11,36 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from eventlake.sources.folders import Folders
 
 BATCH_COLUMN = "batch"
+_SELF_DESCRIBED = {"delta"}
 
 _ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_TABLE_NOT_FOUND", "DELTA_MISSING_DELTA_TABLE"}
 
 
-def read_if_exists(spark: SparkSession, path: str, *, fmt: str = "parquet", merge_schema: bool = False) -> DataFrame | None:
-    """Load a table, or None where there is none yet.
+def packed_path(path: str) -> str:
+    """Where the settled batches of a table are packed (see ``compaction``)."""
+    return path.rstrip("/") + "_packed"
+
+
+def read_if_exists(spark: SparkSession, path: str, *, fmt: str = "parquet", merge_schema: bool = False, schema: StructType | None = None) -> DataFrame | None:
+    """Load a table, its packed batches included, or None where there is none yet.
 
-    ``merge_schema`` unites the columns of appends that added some (Parquet).
+    ``merge_schema`` unites the columns of appends that added some (Parquet). ``schema`` declares the columns, which then need
+    not be found out from a file; formats that know their own columns ignore it.
     """
     reader = spark.read.format(fmt)
+    if merge_schema:
+        reader = reader.option("mergeSchema", "true")
+    if schema is not None and fmt not in _SELF_DESCRIBED:
+        reader = reader.schema(schema)
     try:
-        return (reader.option("mergeSchema", "true") if merge_schema else reader).load(path)
+        packed = any(n.startswith(BATCH_COLUMN + "=") for n in Folders(spark, packed_path(path)).names())
+        table = reader.load(path)
+        return table.unionByName(reader.load(packed_path(path)), allowMissingColumns=merge_schema) if packed else table
     except AnalysisException as error:
         if (error.getCondition() or "").split(".")[0] in _ABSENT:
             return None
@@ -35,8 +51,8 @@ def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
     return read_if_exists(spark, path, fmt=fmt) is not None
 
 
-def read_table(spark: SparkSession, path: str, *, fmt: str = "parquet", merge_schema: bool = False) -> DataFrame:
-    table = read_if_exists(spark, path, fmt=fmt, merge_schema=merge_schema)
+def read_table(spark: SparkSession, path: str, *, fmt: str = "parquet", merge_schema: bool = False, schema: StructType | None = None) -> DataFrame:
+    table = read_if_exists(spark, path, fmt=fmt, merge_schema=merge_schema, schema=schema)
     if table is None:
         raise FileNotFoundError(f"no {fmt} table at {path}")
     return table
