@@ -40,7 +40,7 @@ def predict(task: Task, features: DataFrame, runs: DataFrame, *, predicted_at: s
     )
 
 
-def write_predictions(task: Task, features: DataFrame, runs: DataFrame, path: str) -> int | None:
+def write_predictions(task: Task, features: DataFrame, runs: DataFrame, path: str, fmt: str = "parquet") -> int | None:
     """Overwrite the prediction table; returns the row count, or None without a run."""
     predictions = predict(task, require_rows(features, "feature table"), runs)
-    return None if predictions is None else write_table(predictions, path)
+    return None if predictions is None else write_table(predictions, path, fmt=fmt)

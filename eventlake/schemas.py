@@ -88,10 +88,19 @@ _TYPES = {
     "kafka_offset": T.LongType(),
     "kafka_timestamp": T.TimestampType(),
 }
+#: Types from the clean layer on, where they are not text.
+_CLEAN_TYPES = {
+    **_TYPES,
+    "time": T.LongType(),
+    **dict.fromkeys(["date", "ingested_at", "event_timestamp"], T.TimestampType()),
+    **dict.fromkeys(["tsunami", "significance", "year", "month", "day", "hour", "quality_score"], T.IntegerType()),
+    **dict.fromkeys(["magnitudo", "longitude", "latitude", "depth", "abs_latitude", "abs_longitude", "state_index"], T.DoubleType()),
+    **dict.fromkeys([c for c in [*QUALITY_COLUMNS, *FEATURE_COLUMNS] if c.startswith(("invalid_", "missing_", "negative_", "is_"))], T.BooleanType()),
+}
 
 
-def _struct(columns: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, _TYPES.get(c, T.StringType()), True) for c in columns])
+def _struct(columns: list[str], types: dict[str, T.DataType] = _TYPES) -> T.StructType:
+    return T.StructType([T.StructField(c, types.get(c, T.StringType()), True) for c in columns])
 
 
 #: JSON payload: everything arrives as text and is typed in the clean layer.
@@ -99,6 +108,10 @@ EVENT_SCHEMA = _struct(EVENT_COLUMNS)
 BRONZE_SCHEMA = _struct(BRONZE_COLUMNS)
 BAD_RECORD_SCHEMA = _struct(BAD_RECORD_COLUMNS)
 
+SILVER_SCHEMA = _struct(SILVER_COLUMNS, _CLEAN_TYPES)
+FEATURE_SCHEMA = _struct(FEATURE_COLUMNS, _CLEAN_TYPES)
+RISK_SCHEMA = _struct(RISK_COLUMNS, _CLEAN_TYPES)
+
 #: What a message source delivers, whether the broker or a folder of files.
 ENVELOPE_SCHEMA = T.StructType(
     [

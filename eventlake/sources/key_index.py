@@ -105,10 +105,10 @@ class KeyIndex:
             if name.startswith(_GENERATION) and name != generation:
                 self.folders.remove(name)
 
-    def complete(self, table_path: str, *, but: str | None = None) -> None:
+    def complete(self, table_path: str, *, but: str | None = None, fmt: str = "parquet") -> None:
         """Enter the batches of the table that the index does not hold: all of them for a new index, or those of a writer that
         ended between the two. ``but``: a batch about to be written anew."""
-        table = read_if_exists(self.spark, table_path)
+        table = read_if_exists(self.spark, table_path, fmt=fmt)
         if table is None:
             return
         stored = {part[len(BATCH_COLUMN) + 1 :] for f in table.inputFiles() for part in f.split("/") if part.startswith(BATCH_COLUMN + "=")}

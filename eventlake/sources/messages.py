@@ -5,27 +5,49 @@ The folder form is what is tested. The Kafka form needs the Kafka package on the
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.schemas import BRONZE_COLUMNS, BRONZE_SCHEMA, ENVELOPE_SCHEMA
-from eventlake.sources.tables import read_if_exists
+from eventlake.sources.tables import SELF_DESCRIBED, read_if_exists
 
 
-def kafka_stream(spark: SparkSession, servers: str, topic: str, *, starting_offsets: str = "earliest", max_offsets_per_trigger: int | None = None) -> DataFrame:
-    options = {
-        "kafka.bootstrap.servers": servers,
-        "subscribe": topic,
-        "startingOffsets": starting_offsets,
-        "failOnDataLoss": "false",
-    }
-    if max_offsets_per_trigger:
-        options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
-    return spark.readStream.format("kafka").options(**options).load()
+#: Bounds a micro-batch of a topic, so that a backlog of any size is worked off in steps.
+MAX_OFFSETS = 500_000_000
+
+
+@dataclass(frozen=True)
+class KafkaTopic:
+    """A topic and how a stream reads it."""
+
+    servers: str
+    topic: str
+    starting_offsets: str = "earliest"
+    max_offsets_per_trigger: int | None = MAX_OFFSETS
+
+    def read_options(self) -> dict[str, str]:
+        options = {
+            "kafka.bootstrap.servers": self.servers,
+            "subscribe": self.topic,
+            "startingOffsets": self.starting_offsets,
+            "failOnDataLoss": "false",
+        }
+        if self.max_offsets_per_trigger:
+            options["maxOffsetsPerTrigger"] = str(self.max_offsets_per_trigger)
+        return options
+
+    def write_options(self) -> dict[str, str]:
+        return {"kafka.bootstrap.servers": self.servers, "topic": self.topic}
+
+
+def kafka_stream(spark: SparkSession, topic: KafkaTopic) -> DataFrame:
+    return spark.readStream.format("kafka").options(**topic.read_options()).load()
 
 
-def publish_kafka(messages: DataFrame, servers: str, topic: str) -> None:
-    messages.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+def publish_kafka(messages: DataFrame, topic: KafkaTopic) -> None:
+    messages.write.format("kafka").options(**topic.write_options()).save()
 
 
 def folder_stream(spark: SparkSession, path: str, *, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -76,9 +98,11 @@ def publish_folder(messages: DataFrame, path: str, topic: str, *, partitions: in
     spark.createDataFrame(mark, "next_offset bigint, files bigint").coalesce(1).write.mode("append").parquet(_marks(path))
 
 
-def raw_layer_stream(spark: SparkSession, path: str, *, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The raw table as a stream."""
-    reader = spark.readStream.schema(BRONZE_SCHEMA)
+def raw_layer_stream(spark: SparkSession, path: str, *, max_files_per_trigger: int | None = None, fmt: str = "parquet") -> DataFrame:
+    """The raw table as a stream. Its columns are declared, but to a format that knows them."""
+    reader = spark.readStream.format(fmt)
+    if fmt not in SELF_DESCRIBED:
+        reader = reader.schema(BRONZE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(path).select(*BRONZE_COLUMNS)
+    return reader.load(path).select(*BRONZE_COLUMNS)

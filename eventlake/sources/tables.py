@@ -16,7 +16,8 @@ from pyspark.sql.types import StructType
 from eventlake.sources.folders import Folders
 
 BATCH_COLUMN = "batch"
-_SELF_DESCRIBED = {"delta"}
+#: Formats that know their own columns.
+SELF_DESCRIBED = {"delta"}
 
 _ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_TABLE_NOT_FOUND", "DELTA_MISSING_DELTA_TABLE"}
 
@@ -35,7 +36,7 @@ def read_if_exists(spark: SparkSession, path: str, *, fmt: str = "parquet", merg
     reader = spark.read.format(fmt)
     if merge_schema:
         reader = reader.option("mergeSchema", "true")
-    if schema is not None and fmt not in _SELF_DESCRIBED:
+    if schema is not None and fmt not in SELF_DESCRIBED:
         reader = reader.schema(schema)
     try:
         packed = any(n.startswith(BATCH_COLUMN + "=") for n in Folders(spark, packed_path(path)).names())

@@ -41,18 +41,18 @@ def _sides(batch: DataFrame, passes) -> tuple[int, int]:
     return row["passed"], row["failed"]
 
 
-def write_raw_batch(parsed: DataFrame, batch: str, raw_path: str, bad_path: str) -> None:
+def write_raw_batch(parsed: DataFrame, batch: str, raw_path: str, bad_path: str, *, fmt: str = "parquet") -> None:
     """Route a parsed micro-batch to the raw table and the bad-records table; skip an empty side."""
     with _kept(parsed) as held:
         good, bad = _sides(held, identified())
         LOG.info("raw batch %s: good=%s bad=%s", batch, good, bad)
         if good:
-            write_batch(good_records(held), raw_path, batch)
+            write_batch(good_records(held), raw_path, batch, fmt)
         if bad:
-            write_batch(bad_records(held), bad_path, batch)
+            write_batch(bad_records(held), bad_path, batch, fmt)
 
 
-def upsert_batch(valid: DataFrame, batch: str, clean_path: str, *, buckets: int = BUCKETS) -> int:
+def upsert_batch(valid: DataFrame, batch: str, clean_path: str, *, buckets: int = BUCKETS, fmt: str = "parquet") -> int:
     """Insert the records of a batch that the clean table does not hold yet; return how many.
 
     They are compared with the table's key index, which the batch's own partition does not count in: a replay after a crash
@@ -61,13 +61,12 @@ def upsert_batch(valid: DataFrame, batch: str, clean_path: str, *, buckets: int
     spark = valid.sparkSession
     with _kept(first_per_key(valid)) as candidates:
         index = KeyIndex(spark, index_path(clean_path), buckets)
-        index.complete(clean_path, but=batch)
+        index.complete(clean_path, but=batch, fmt=fmt)
         fresh = unstored_records(candidates, index, batch_rows=candidates.count(), name=batch)
         # Joins by name move their key to the front; every batch is stored in the order of the contract.
-        rows = write_batch(fresh.select(*candidates.columns), clean_path, batch)
+        rows = write_batch(fresh.select(*candidates.columns), clean_path, batch, fmt)
     if rows:
-        stored = spark.read.parquet(f"{clean_path.rstrip('/')}/{BATCH_COLUMN}={batch}")
-        index.add(stored.withColumn(BATCH_COLUMN, F.lit(batch)), [batch])
+        index.add(spark.read.format(fmt).load(clean_path).where(F.col(BATCH_COLUMN) == batch), [batch])
     return rows
 
 
@@ -75,7 +74,7 @@ def upsert_batch(valid: DataFrame, batch: str, clean_path: str, *, buckets: int
 _DELIVERY = ["kafka_topic", "kafka_partition", "kafka_offset", "event_id", "record_natural_key"]
 
 
-def quarantine_batch(invalid: DataFrame, batch: str, path: str) -> int:
+def quarantine_batch(invalid: DataFrame, batch: str, path: str, *, fmt: str = "parquet") -> int:
     """Store the invalid records of a batch that no other batch has stored; return how many.
 
     A raw batch that is written anew after a crash is read anew: its messages stand where they stood. Beside the table, each
@@ -86,7 +85,7 @@ def quarantine_batch(invalid: DataFrame, batch: str, path: str) -> int:
     where = ["kafka_topic", "kafka_partition"]
     ranges = invalid.groupBy(*where).agg(F.min("kafka_offset").alias("first"), F.max("kafka_offset").alias("last"))
     commits_path = path.rstrip("/") + "_commits"
-    stored, commits = read_if_exists(spark, path), read_if_exists(spark, commits_path)
+    stored, commits = read_if_exists(spark, path, fmt=fmt), read_if_exists(spark, commits_path)
     ranges = written(ranges.withColumn(BATCH_COLUMN, F.lit(batch)), "offset-ranges")
     ranges.coalesce(1).write.mode("append").parquet(commits_path)
     fresh = invalid.dropDuplicates(_DELIVERY)
@@ -100,19 +99,19 @@ def quarantine_batch(invalid: DataFrame, batch: str, path: str) -> int:
         known = stored.join(F.broadcast(names), BATCH_COLUMN, "left_semi").select(*(F.col(c).alias(f"_{c}") for c in _DELIVERY)).distinct()
         equal = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _DELIVERY])
         fresh = fresh.join(known, equal, "left_anti")
-    return write_batch(fresh, path, batch)
+    return write_batch(fresh, path, batch, fmt)
 
 
-def write_clean_batch(cleaned: DataFrame, batch: str, clean_path: str, quarantine_path: str) -> None:
+def write_clean_batch(cleaned: DataFrame, batch: str, clean_path: str, quarantine_path: str, *, fmt: str = "parquet") -> None:
     """Upsert the valid records of a micro-batch and quarantine the rest; skip an empty side."""
     with _kept(conform(cleaned, SILVER_COLUMNS, "clean layer")) as held:
         valid, invalid = _sides(held, F.col("is_valid_record"))
         LOG.info("clean batch %s: valid=%s invalid=%s", batch, valid, invalid)
         if valid:
-            inserted = upsert_batch(valid_records(held), batch, clean_path)
+            inserted = upsert_batch(valid_records(held), batch, clean_path, fmt=fmt)
             LOG.info("clean batch %s: inserted=%s", batch, inserted)
         if invalid:
-            quarantine_batch(quarantined_records(held), batch, quarantine_path)
+            quarantine_batch(quarantined_records(held), batch, quarantine_path, fmt=fmt)
 
 
 def _start(
@@ -148,11 +147,12 @@ def start_raw_stream(
     name: str = "messages_to_raw",
     available_now: bool = True,
     processing_time: str = PROCESSING_TIME,
+    fmt: str = "parquet",
 ) -> StreamingQuery:
     """Parse a message stream and land it. With ``available_now`` it stops when the backlog is done."""
     return _start(
         parse_messages(messages),
-        lambda parsed, batch: write_raw_batch(parsed, batch, raw_path, bad_path),
+        lambda parsed, batch: write_raw_batch(parsed, batch, raw_path, bad_path, fmt=fmt),
         checkpoint,
         name,
         available_now,
@@ -169,11 +169,12 @@ def start_clean_stream(
     name: str = "raw_to_clean",
     available_now: bool = True,
     processing_time: str = PROCESSING_TIME,
+    fmt: str = "parquet",
 ) -> StreamingQuery:
     """Clean a stream of the raw layer and upsert it."""
     return _start(
         clean(raw),
-        lambda cleaned, batch: write_clean_batch(cleaned, batch, clean_path, quarantine_path),
+        lambda cleaned, batch: write_clean_batch(cleaned, batch, clean_path, quarantine_path, fmt=fmt),
         checkpoint,
         name,
         available_now,
