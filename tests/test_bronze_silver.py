@@ -1,6 +1,8 @@
+import pytest
+
 from eventlake.operators import bronze, silver
 from eventlake.schemas import BAD_RECORD_COLUMNS, BRONZE_COLUMNS, ENVELOPE_SCHEMA, SILVER_COLUMNS
-from tests.helpers import BAD, raw
+from tests.helpers import BAD, BOUNDARIES, raw
 
 
 def parse(spark, *payloads):
@@ -31,15 +33,23 @@ def test_parse_and_route(spark):
     ]
 
 
-def test_clean_types_and_flags(spark):
-    cleaned = silver.clean(raw(spark, {}, BAD))
+def test_clean_types(spark):
+    cleaned = silver.clean(raw(spark, {}))
     assert cleaned.columns == SILVER_COLUMNS
-    bad, good = cleaned.orderBy("event_id").collect()
+    good = cleaned.first()
     assert (good["status"], good["data_type"], good["state"], good["place"]) == ("status", "type", "First", "Place")
     assert (good["year"], good["month"], good["day"], good["hour"]) == (1970, 1, 2, 0)
     assert good["is_valid_record"] and good["quality_score"] == 100
-    assert bad["invalid_latitude"] and bad["invalid_longitude"] and bad["missing_magnitudo"] and bad["negative_depth"]
-    assert not bad["is_valid_record"] and bad["quality_score"] == 15
+
+
+@pytest.mark.parametrize("flag", BOUNDARIES)
+def test_each_flag_at_both_sides_of_its_limit(spark, flag):
+    column, inside, beyond, points, valid = BOUNDARIES[flag]
+    rows = silver.clean(raw(spark, *({column: v, "event_id": f"{i:02}"} for i, v in enumerate([*inside, *beyond])))).orderBy("event_id").collect()
+    flags = [{f for f in BOUNDARIES if r[f]} for r in rows]
+    assert flags == [set()] * len(inside) + [{flag}] * len(beyond)
+    assert [r["quality_score"] for r in rows] == [100] * len(inside) + [100 - points] * len(beyond)
+    assert [r["is_valid_record"] for r in rows] == [True] * len(inside) + [valid] * len(beyond)
 
 
 def test_missing_values(spark):

@@ -6,29 +6,32 @@ from eventlake.operators import quality, silver
 from tests.helpers import BAD, plan, raw
 
 
+UNMEASURED = {"event_id": "unmeasured", "state": "Second", "magnitudo": None}
+
+
 def as_dict(report):
     return {r["metric"]: r["value"] for r in quality.by_metric(report).collect()}
 
 
 def test_report_on_the_clean_layer(spark):
-    df = silver.clean(raw(spark, {}, BAD, {"event_id": "third", "magnitudo": "9"}))
+    df = silver.clean(raw(spark, {}, UNMEASURED, {"event_id": "third", "magnitudo": "9"}))
     got = as_dict(quality.report(df, generated_at="now"))
     assert got["generated_at"] == "now" and got["total_record_count"] == "3"
-    assert (got["invalid_latitude_count"], got["null_magnitudo_count"], got["negative_depth_count"]) == ("1", "1", "1")
+    assert (got["invalid_latitude_count"], got["null_magnitudo_count"], got["negative_depth_count"]) == ("0", "1", "0")
     assert json.loads(got["null_counts"])["magnitudo"] == 1 and len(json.loads(got["null_counts"])) == 32
     assert json.loads(got["tsunami_distribution"]) == [{"tsunami": 0, "count": 3}]
     assert json.loads(got["yearly_record_count"]) == [{"year": 1970, "count": 3}]
     assert json.loads(got["top_states_by_event_count"]) == [{"state": "First", "count": 2}, {"state": "Second", "count": 1}]
     top = json.loads(got["top_magnitudo_records"])
-    assert [t["event_id"] for t in top] == ["third", "good", "bad"]
+    assert [t["event_id"] for t in top] == ["third", "good", "unmeasured"]
     assert top[0]["event_timestamp"] == "1970-01-02T00:00:00.000000" and top[2]["magnitudo"] is None
 
 
 def test_report_on_the_raw_layer_is_null_or_empty_where_it_cannot_tell(spark):
-    got = as_dict(quality.report(raw(spark, {}, BAD)))
-    assert got["invalid_latitude_count"] == "1" and got["negative_depth_count"] == "1"
+    got = as_dict(quality.report(raw(spark, {}, {"latitude": "90.01"}, {"depth": "-0.01"}, {"depth": "-1"}, {"longitude": None})))
+    assert [got[f"{m}_count"] for m in ("invalid_latitude", "invalid_longitude", "null_magnitudo", "negative_depth")] == ["1", "1", "0", "2"]
     assert got["yearly_record_count"] == "[]" and got["top_magnitudo_records"] == "[]"
-    assert json.loads(got["tsunami_distribution"]) == [{"tsunami": "0", "count": 2}]
+    assert json.loads(got["tsunami_distribution"]) == [{"tsunami": "0", "count": 5}]
 
 
 def test_report_on_a_table_without_any_known_column(spark):
@@ -60,7 +63,7 @@ def test_distributions(spark):
 
 
 def test_write_report(spark, lake):
-    quality.write_report(quality.report(silver.clean(raw(spark, {}, BAD))), lake)
+    quality.write_report(quality.report(silver.clean(raw(spark, {}, UNMEASURED))), lake)
     (path,) = glob(f"{lake}/data_quality_report_csv/*.csv")
     with open(path, newline="", encoding="utf-8") as file:
         rows = {r["metric"]: r["value"] for r in csv.DictReader(file)}
@@ -69,7 +72,7 @@ def test_write_report(spark, lake):
     with open(path, encoding="utf-8") as file:
         told = json.load(file)
     assert list(told) == [m for m in quality.METRICS if m in rows]
-    assert told["total_record_count"] == 2 and told["null_counts"]["magnitudo"] == 1 and told["invalid_latitude_count"] == 1
+    assert told["total_record_count"] == 2 and told["null_counts"]["magnitudo"] == 1 and told["null_magnitudo_count"] == 1
     assert told["yearly_record_count"] == [{"year": 1970, "count": 2}]
     assert told["top_magnitudo_records"][0]["magnitudo"] == 2.0 and told["top_magnitudo_records"][1]["magnitudo"] is None
     assert told["top_states_by_event_count"] == [{"state": "First", "count": 1}, {"state": "Second", "count": 1}]
