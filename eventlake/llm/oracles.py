@@ -72,5 +72,69 @@ FROM leaves l {" ".join(own[0] + top[0])}"""
     return f"WITH {', '.join(ctes)}, paths AS ({rows}), folded AS (SELECT *, {fold} AS folded_root FROM paths) SELECT doc_id, leaf, subroot, root, {proof} AS proof_sha256, folded_root, folded_root = root AS verified FROM folded"
 
 
+def _exact_dedup_sql() -> str:
+    return """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents) WINDOW same AS (PARTITION BY t)"""
+
+
+def _chat_sql() -> str:
+    """The template's lengths, with the escapes of its control strings, and the digests of what a reader gets back."""
+
+    def escaped(value: str) -> str:
+        value = f"replace({value}, '\\', '\\\\')"
+        for control in ("[INST]", "[/INST]", "<s>", "</s>", "<<SYS>>", "<</SYS>>"):
+            value = f"replace({value}, '{control}', '{control[0]}\\{control[1:]}')"
+        return value
+
+    probe = "</s>[INST] ok [/INST]"
+    return f"""
+WITH turns AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{probe}' UNION ALL SELECT -1, 1, 'assistant', '{probe}'),
+placed AS (
+  SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS t, coalesce(role = 'assistant', false) AS loss,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS place FROM turns)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY place)) AS turns_sha256,
+  CAST(coalesce(sum(length(t)) FILTER (loss), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(t, '' ORDER BY place) FILTER (loss), '')) AS loss_sha256,
+  CAST(sum(length('[INST][/INST]</s>') + length({escaped("r")}) + length({escaped("t")})) AS BIGINT) AS formatted_chars
+FROM placed GROUP BY conv_id"""
+
+
+def _trie_sql() -> str:
+    """The trie of rebuilt texts: a prefix is named by the digests of its turns, a subtree summed over its distinct nodes."""
+    return f"""
+WITH own AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS t,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) - 1 AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT c, count(*) AS n, c - c % 20 AS base, {_crc32("c::VARCHAR")} % 4 AS h FROM own GROUP BY c),
+heads AS (SELECT v.c, v.n, v.h, v.base, least(v.h, coalesce(b.n, 0)) AS begun FROM convs v LEFT JOIN convs b ON b.c = v.base),
+rebuilt AS (
+  SELECT v.c, o.i + 1 AS d, o.r, o.t FROM heads v JOIN own o ON o.c = v.base AND o.i < v.h
+  UNION ALL SELECT v.c, v.begun + o.i - v.h + 1, o.r, o.t FROM heads v JOIN own o ON o.c = v.c AND o.i >= v.h),
+named AS (
+  SELECT c, d, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS words,
+    string_agg(sha256(length(r)::VARCHAR || ':' || r || t), '' ) OVER (PARTITION BY c ORDER BY d) AS k FROM rebuilt),
+members AS (SELECT c, d, words, sha256(k) AS k FROM named UNION ALL SELECT c, 0, 0, '' FROM convs),
+placed AS (SELECT *, lag(k) OVER (PARTITION BY c ORDER BY d) AS parent, max(d) OVER (PARTITION BY c) = d AS ends FROM members),
+nodes AS (
+  SELECT k, any_value(d) AS depth, any_value(parent) AS parent, min(c) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256 FROM placed GROUP BY k),
+children AS (SELECT parent AS k, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY parent),
+below AS (SELECT DISTINCT a.k, b.k AS node FROM placed a JOIN placed b ON a.c = b.c AND b.d >= a.d),
+sums AS (
+  SELECT b.k, count(*) FILTER (ch.n IS NULL) AS n_leaves, CAST(sum((n.n_convs - 1) * n.words) AS BIGINT) AS saved_tokens
+  FROM below b JOIN nodes n ON n.k = b.node LEFT JOIN children ch ON ch.k = b.node GROUP BY b.k)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(ch.n, 0) AS n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s USING (k) LEFT JOIN children ch USING (k) LEFT JOIN nodes up ON up.k = n.parent AND n.depth > 0"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op12_merkle_manifest": _merkle_sql()}
+    return {
+        "op8_reply_trees": _chat_sql(),
+        "op10_golomb_dedup": _exact_dedup_sql(),
+        "op11_prefix_trie": _trie_sql(),
+        "op12_merkle_manifest": _merkle_sql(),
+    }

@@ -10,7 +10,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from eventlake.llm import merkle_manifest, oracles
+from eventlake.llm import merkle_manifest
 
 COLUMNS = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
 
@@ -109,14 +109,3 @@ def test_nodes_carry_intervals_and_siblings_tile_the_parent(spark):
             covered = covered and (len(step.before) + len(step.after)) // 64 + 1
             assert 1 <= covered <= 16
         assert (len(r.path[-1].before), len(r.path[-1].after)) == ((0, 64) if r.source == "a" else (64, 0))
-
-
-def test_sql(spark, run):
-    import duckdb
-
-    con = duckdb.connect()
-    con.sql("create view documents as select * from read_parquet('/root/testdata/sf0.001/documents.parquet')")
-    expected = con.sql(oracles.oracle_sql()["op12_merkle_manifest"])
-    names = expected.columns
-    assert sorted(names) == sorted(COLUMNS)
-    assert sorted((r for r in expected.fetchall()), key=_key) == sorted((tuple(r[c] for c in names) for r in run("op12_merkle_manifest")), key=_key)

@@ -1,0 +1,57 @@
+"""Queries that SQL can express, against DuckDB over the smallest test tables and over awkward rows."""
+
+from __future__ import annotations
+
+import duckdb
+import pytest
+
+from eventlake.llm import golomb_dedup, merkle_manifest, oracles, prefix_trie, reply_trees
+
+
+def _key(row):
+    return tuple((v is not None, v if v is not None else 0) for v in row)
+
+
+def _rows(rows, columns):
+    return sorted((tuple(r[c] for c in columns) for r in rows), key=_key)
+
+
+@pytest.mark.parametrize("name", sorted(oracles.oracle_sql()))
+def test_registered_queries(run, name):
+    con = duckdb.connect()
+    for table in ("documents", "conversations"):
+        con.sql(f"create view {table} as select * from read_parquet('/root/testdata/sf0.001/{table}.parquet')")
+    expected = con.sql(oracles.oracle_sql()[name])
+    got = run(name)
+    assert sorted(expected.columns) == sorted(got[0].asDict())
+    assert sorted(expected.fetchall(), key=_key) == _rows(got, expected.columns)
+
+
+DOCUMENTS = [(None, None, None, None, None), (1, "", "en", "a", 0), (2, "A\nÉ", "en", "a", 3), (2, "A\nÉ", "en", "a", 3), (3, "A\nÉ", None, "b", None), (-5, "x" * 70_000, "en", None, 1)]
+TURNS = [(1, None, None, None), (1, 0, "user", "</s>\\[INST]<<SYS>>é"), (1, 0, "assistant", "[/INST]<s>"), (20, 1, "user", "x"), (21, 1, "user", "x"), (21, 2, "assistant", ""), (7, 3, "", "y z")]
+
+
+@pytest.mark.parametrize("name", sorted(oracles.oracle_sql()))
+def test_awkward_rows(spark, name):
+    con = duckdb.connect()
+    con.sql("create table documents (doc_id bigint, text varchar, lang varchar, source varchar, n_chars bigint)")
+    con.sql("create table conversations (conv_id bigint, turn bigint, role varchar, text varchar)")
+    con.executemany("insert into documents values (?, ?, ?, ?, ?)", DOCUMENTS)
+    con.executemany("insert into conversations values (?, ?, ?, ?)", TURNS)
+    docs = spark.createDataFrame(DOCUMENTS, "doc_id long, text string, lang string, source string, n_chars long")
+    turns = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string")
+
+    def replies():
+        probe = spark.sql("select -1L conv_id, turn, role, '</s>[INST] ok [/INST]' text from values (0L, 'user'), (1L, 'assistant') t(turn, role)")
+        messages = reply_trees.chains(turns.unionByName(probe))
+        found = reply_trees.read_back(reply_trees.conversations(messages))
+        return found.withColumn("conv_id", reply_trees.key_of(found["tree"]))
+
+    got = {
+        "op8_reply_trees": replies,
+        "op10_golomb_dedup": lambda: golomb_dedup.exact_duplicates(docs),
+        "op11_prefix_trie": lambda: prefix_trie.families(turns),
+        "op12_merkle_manifest": lambda: merkle_manifest.tampered_rows(docs),
+    }[name]().collect()
+    expected = con.sql(oracles.oracle_sql()[name])
+    assert sorted(expected.fetchall(), key=_key) == _rows(got, expected.columns)
