@@ -83,3 +83,43 @@ def test_a_long_document_does_not_end_a_pass(spark):
         taken[r.source] += r["size"]
         target[r.source] = r.target
     assert abs(target["a"] - 79_980) < 1 and abs(taken["a"] - target["a"]) <= 50
+
+
+def test_time_grows_with_the_spans_and_not_with_their_square(documents):
+    """A text of 40,000 hashes, and one of 8,000 identifiers, scopes and hashes, within seconds."""
+    import time
+
+    hashes = "".join(f"{i:024x}\n" for i in range(40_000))
+    parts = "".join(f"ASIA12345678{i:08d} token=abcdef{i}\n \n" for i in range(8_000))
+    start = time.perf_counter()
+    got = {r.doc_id: r for r in secret_links.scan(documents((1, hashes), (2, parts))).collect()}
+    taken = time.perf_counter() - start
+    assert got[1].n_hex == 40_000 and got[1].spans.endswith("hex:999975:999999")
+    assert got[2].n_assign == 8_000 and got[2].n_linked == 8_000 and got[2].spans.count("identifier") == 8_000
+    assert taken < 60
+
+
+def test_planted_credentials_are_found(documents):
+    """Identifiers beside secrets, planted in prose at known places; the same parts alone, or far apart, are not reported."""
+    rng = np.random.default_rng(5)
+    upper, mixed = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789"
+    prose = lambda n: " ".join(rng.choice(["the", "river", "keeps", "its", "old", "name"], n))
+
+    def identifier():
+        return "K7" + "".join(rng.choice(list(upper), 18))
+
+    def secret():
+        return "aB3" + "".join(rng.choice(list(mixed), 37))
+
+    planted, rows = {}, []
+    for i in range(200):
+        a, b, near = identifier(), secret(), i % 2 == 0
+        between = prose(int(rng.integers(1, 60))) if near else prose(300)
+        text = f"{prose(20)} {a} {between} {b} {prose(20)}" if i % 4 else f"{prose(5)} {b}\n{between if near else prose(300)} {a} {prose(9)}"
+        rows.append((i, text))
+        planted[i] = {text.index(a), text.index(b)} if near else set()
+    rows += [(900 + i, f"{prose(30)} {identifier() if i % 2 else secret()} {prose(30)}") for i in range(50)]
+    got = {r.doc_id: {int(s.split(":")[1]) for s in r.spans.split(",") if s} for r in secret_links.scan(documents(*rows)).collect()}
+    found = sum(len(planted[i] & got[i]) for i in planted)
+    wanted = sum(map(len, planted.values()))
+    assert found / wanted >= 0.9 and not any(got[k] for k in got if not planted.get(k))
