@@ -25,6 +25,8 @@ from eventlake.llm.common import chunks, text_of, written
 from eventlake.llm.tokens import CHUNK, encoder
 
 END, LEVEL, SLICE = 0, 3, 1024
+#: Documents of a file, which bound what a writer and a reader hold; ids that a reading task is meant to get, and most of these tasks.
+FILE_DOCS, READ_IDS, READ_TASKS = 1 << 16, 1 << 23, 20_000
 # Fixed values of the zstandard seekable format: skippable frames' magic numbers, the table's, its flag for checksums.
 SKIPPABLE, SEEK_TABLE, SEEKABLE, CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
 _ENTRY, _FOOTER = struct.Struct("<III"), struct.Struct("<IBI")
@@ -89,23 +91,32 @@ class Reader:
         return np.frombuffer(raw, "<u2")
 
 
-def write(docs: DataFrame, folder: str, tokenizer: str, *, key: str = "doc_id", text: str = "text", end: int = END) -> DataFrame:
-    """Write all rows in ascending order of the key, NULL keys first, ties by text. Returns the files: part, file, docs, tokens.
+def write(docs: DataFrame, folder: str, tokenizer: str, *, key: str = "doc_id", text: str = "text", end: int = END, file_docs: int = FILE_DOCS) -> DataFrame:
+    """Write all rows in ascending order of the key, NULL keys first, ties by text. Returns the files in order: part, file, docs, tokens.
 
     The table of files is written after the files and names those of the attempts that succeeded: what a lost executor
     leaves behind is never read.
     """
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path = f"{folder.rstrip('/')}/{uuid.uuid4().hex}.zst"
-        writer = None
+        writer, path, number = None, None, 0
+
+        def closed() -> pa.RecordBatch:
+            writer.close()
+            part = (TaskContext.get().partitionId() << 24) + number
+            return pa.RecordBatch.from_pydict({"part": [part], "file": [path], "docs": [len(writer.counts)], "tokens": [sum(writer.counts)]})
+
         for part in (c for batch in batches for c in chunks(batch, "text", CHUNK)):
-            writer = writer or Writer(path)
             for row, raw in zip(part.column("key").to_pylist(), encoder(tokenizer).tokenized(part.column("text")), strict=True):
+                if writer is None:
+                    path = f"{folder.rstrip('/')}/{uuid.uuid4().hex}.zst"
+                    writer = Writer(path)
                 writer.add(row, np.append(np.frombuffer(raw, np.uint16), np.uint16(end)))
+                if len(writer.counts) == file_docs:
+                    yield closed()
+                    writer, number = None, number + 1
         if writer:
-            writer.close()
-            yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "file": [path], "docs": [len(writer.counts)], "tokens": [sum(writer.counts)]})
+            yield closed()
 
     rows = docs.select(F.col(key).cast("long").alias("key"), text_of(text).alias("text")).repartitionByRange(F.asc_nulls_first("key"))
     ordered = rows.sortWithinPartitions(F.asc_nulls_first("key"), "text")
@@ -134,7 +145,9 @@ def read(files: DataFrame) -> DataFrame:
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     jobs = files.withColumn("before", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)))
     slices = jobs.select("part", "file", "before", F.explode(F.expr(f"sequence(0L, docs - 1, {SLICE}L)")).alias("first"))
-    return slices.repartition("file", "first").mapInArrow(get, "doc_id long, start long, n_tokens long, ids_crc32 long, part long, place long")
+    facts = files.agg(F.sum("tokens").alias("tokens")).first()["tokens"] or 0
+    tasks = min(READ_TASKS, -(-facts // READ_IDS) or 1)
+    return slices.repartition(tasks, "file", "first").mapInArrow(get, "doc_id long, start long, n_tokens long, ids_crc32 long, part long, place long")
 
 
 def round_trip(docs: DataFrame, folder: str, tokenizer: str) -> DataFrame:

@@ -123,3 +123,18 @@ def test_planted_credentials_are_found(documents):
     found = sum(len(planted[i] & got[i]) for i in planted)
     wanted = sum(map(len, planted.values()))
     assert found / wanted >= 0.9 and not any(got[k] for k in got if not planted.get(k))
+
+
+# frames
+
+
+def test_files_are_bounded_and_read_by_many_tasks(documents, tmp_path, monkeypatch):
+    monkeypatch.setattr(frames, "READ_IDS", 100)
+    docs = documents(*((i, "some words " * (i % 5)) for i in range(100)))
+    files = frames.write(docs.coalesce(1), str(tmp_path), TOKENIZER, file_docs=8)
+    assert files.count() >= 13 and files.where("docs > 8").isEmpty()
+    back = frames.read(files)
+    assert back.rdd.getNumPartitions() >= 4
+    rows = sorted(back.collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == list(range(100))
+    assert [r.start for r in rows] == [0, *np.cumsum([r.n_tokens for r in rows])[:-1].tolist()]
