@@ -12,6 +12,8 @@ BROADCAST_ROWS = 500_000
 #: Most rows of one key that a shuffled join puts into one part. At roughly 200 bytes a row these are 200 MB.
 TASK_ROWS = 1_000_000
 
+#: Folders of local sessions without one, by application.
+_OWN_FOLDERS: dict[str, str] = {}
 _UTC_NAMES = {"UTC", "ETC/UTC", "GMT", "ETC/GMT", "Z", "+00:00", "UTC+00:00", "ETC/UCT", "UCT", "ZULU"}
 
 
@@ -29,8 +31,9 @@ def shared_folder(spark: SparkSession) -> str:
     if folder is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="eventlake-")
-        context.setCheckpointDir(folder)
+        if context.applicationId not in _OWN_FOLDERS:
+            _OWN_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="eventlake-")
+        folder = _OWN_FOLDERS[context.applicationId]
     return folder
 
 
