@@ -10,10 +10,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words, and pieces of words, that a worker meets before it forgets those it did not meet again.
-REMEMBERED = 300_000
+#: Words, and pieces of words, that a worker meets before it forgets those it did not meet again; some 300 bytes each.
+REMEMBERED = 120_000
 #: Bytes of text that are encoded together.
-CHUNK = 1 << 22
+CHUNK = 1 << 21
 #: A space before anything that may be white space, and NUL: texts whose words do not simply begin at each space.
 _UNUSUAL = r"\x00| [\x00-\x20\x7f-\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}-\x{202f}\x{205f}\x{3000}]"
 #: Words of one run of letters and one of punctuation, which need no Unicode tables to be split.
@@ -45,7 +45,7 @@ class Encoder(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.pieces, self.ids = self.tokenizer.model, regex.compile(pattern).findall, {}
-        self.earlier_words, self.earlier_ids = {}, {}
+        self.earlier_words, self.earlier_ids, self.remembered = {}, {}, REMEMBERED
         self.letters = _byte_letters()
         added = self.tokenizer.get_added_tokens_decoder()
         self.added = {t.content: array("H", [i]).tobytes() for i, t in added.items()}
@@ -71,10 +71,10 @@ class Encoder(dict):
         return value
 
     def _forget(self) -> None:
-        if len(self) > REMEMBERED:
+        if len(self) > self.remembered:
             self.earlier_words = dict(self)
             self.clear()
-        if len(self.ids) > REMEMBERED:
+        if len(self.ids) > self.remembered:
             self.ids, self.earlier_ids = {}, self.ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -154,10 +154,12 @@ def _words(text: str) -> list[str]:
     return text.replace(" ", "\x00 ").split("\x00")
 
 
-def encoder(path: str) -> Encoder:
-    """One for each worker, kept between tasks. Vocabularies of up to 65,536 ids."""
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
+    """One for each worker, kept between tasks. Vocabularies of up to 65,536 ids. More ``remembered`` words cost memory and
+    save encoding rare ones again."""
     if path not in _LOADED:
         import public_tokenizers
 
         _LOADED[path] = Encoder(path, public_tokenizers.PATTERN)
+    _LOADED[path].remembered = remembered
     return _LOADED[path]
