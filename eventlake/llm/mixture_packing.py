@@ -26,14 +26,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.llm.common import chunks, text_of, written
-from eventlake.llm.tokens import CHUNK, encoder
+from eventlake.llm.tokens import CHUNK, REMEMBERED_ALONE, encoder
 from eventlake.operators.ranking import totals_before
 
 SIZE, END = 1024, 0
 #: Windows of a block, and ids that a source has earned when it is served.
 WINDOWS, QUANTUM = 1024, 128
-#: Words that a worker remembers while it encodes, and bytes of text encoded together: nothing else needs memory here.
-REMEMBERED, TEXT_BYTES = 300_000, 2 * CHUNK
 #: Most rows of the table of (partition, source) totals that are broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -46,8 +44,8 @@ def queued(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", source: str
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, row, totals = TaskContext.get().partitionId(), 0, {}
         tail = np.uint16(end).tobytes()
-        for batch in (c for b in batches for c in chunks(b, "text", TEXT_BYTES)):
-            ids = [x + tail for x in encoder(tokenizer, REMEMBERED).tokenized(batch.column("text"))]
+        for batch in (c for b in batches for c in chunks(b, "text", 2 * CHUNK)):
+            ids = [x + tail for x in encoder(tokenizer, REMEMBERED_ALONE).tokenized(batch.column("text"))]
             at = []
             for s, x in zip(batch.column("source").to_pylist(), ids, strict=True):
                 at.append(totals.get(s, 0))

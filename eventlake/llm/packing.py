@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.llm.common import chunks, text_of, written
-from eventlake.llm.tokens import CHUNK, encoder
+from eventlake.llm.tokens import CHUNK, REMEMBERED, encoder
 
 SIZE, END = 1024, 2
 #: Pieces of a partition, and rounds of exchange at most.
@@ -26,13 +26,13 @@ PARTITION_ROWS, ROUNDS = 1 << 15, 4
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def pieces(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str = "text", size: int = SIZE, end: int = END, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str = "text", size: int = SIZE, end: int = END, with_ids: bool = False, remembered: int = REMEMBERED) -> DataFrame:
     """The pieces of every row's ids: doc_id, piece, start, length, ids_crc32, and ``ids`` (little-endian uint16) if wanted."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (c for batch in batches for c in chunks(batch, "text", CHUNK)):
             rows = []
-            for row, raw in zip(part.column("key").to_pylist(), encoder(tokenizer).tokenized(part.column("text")), strict=True):
+            for row, raw in zip(part.column("key").to_pylist(), encoder(tokenizer, remembered).tokenized(part.column("text")), strict=True):
                 ids = np.append(np.frombuffer(raw, np.uint16), np.uint16(end))
                 first = (len(ids) - 1) % size + 1
                 edges = [0, *range(first, len(ids) + 1, size)]
@@ -138,13 +138,13 @@ def pack(rows: DataFrame, *, size: int = SIZE, partition_rows: int = PARTITION_R
     return out.select(*named, sequence.alias("sequence_id"), "offset", "certified")
 
 
-def packed(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str = "text", size: int = SIZE, end: int = END) -> DataFrame:
+def packed(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str = "text", size: int = SIZE, end: int = END, remembered: int = REMEMBERED) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset, certified.
 
     A NULL text is empty: its document is the end id alone. Rows that repeat a key are documents of their own, each with
-    pieces from 0. An empty table gives no rows.
+    pieces from 0. An empty table gives no rows. ``remembered``: words that an encoder keeps, at some 300 bytes each.
     """
-    return pack(written(pieces(docs, tokenizer, key=key, text=text, size=size, end=end), "pieces"), size=size)
+    return pack(written(pieces(docs, tokenizer, key=key, text=text, size=size, end=end, remembered=remembered), "pieces"), size=size)
 
 
 def sequences(docs: DataFrame, tokenizer: str, *, size: int = SIZE, end: int = END) -> DataFrame:

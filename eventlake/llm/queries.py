@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from eventlake.llm import frames, golomb_dedup, merkle_manifest, mixing, mixture_packing, ngram_join, packing, prefix_trie, reply_trees, robust_quality, secret_links, site_templates, url_trees
 from eventlake.llm.common import table
+from eventlake.llm.tokens import REMEMBERED_ALONE
 from eventlake.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -41,7 +42,7 @@ def queries() -> dict[str, Query]:
         "op1_robust_outliers": _documents(robust_quality.quality),
         "op2_ngram_jaccard_join": _documents(ngram_join.near_duplicates),
         "op3_credential_linking": _documents(secret_links.scan),
-        "op4_certified_packing": _documents(lambda docs: packing.packed(docs, TOKENIZER)),
+        "op4_certified_packing": _documents(lambda docs: packing.packed(docs, TOKENIZER, remembered=REMEMBERED_ALONE)),
         "op5_hypergeometric_mixing": _documents(mixing.mixed),
         "op6_seekable_frames": _frames,
         "op7_site_templates": _pages(site_templates.extracted),
