@@ -16,7 +16,7 @@ from eventlake.ml.data import MIN_ROWS, SEED, TRAIN_SHARE, class_weights, split,
 from eventlake.ml.metrics import classification_metrics, confusion_matrix, curve_auc, regression_metrics
 from eventlake.ml.models import CLASSIFIERS, REGRESSORS, explain, fit_stored, hyperparameters, input_columns
 from eventlake.ml.runs import append_run, write_csv
-from eventlake.ml.vectors import state_index, with_vector
+from eventlake.ml.vectors import spread, state_index, with_vector
 from eventlake.session import written
 
 SAMPLE_ROWS = 100
@@ -117,7 +117,8 @@ def train(
         chosen = models or task.models
         index = written(state_index(train_part), "state-index")
         numbers, states = input_columns(chosen[0])[:-1], index.count()
-        train_part, test_part = (written(with_vector(p, index, numbers, states=states), "vectors") for p in (train_part, test_part))
+        parts = (train_part, train_rows), (test_part, test_rows)
+        train_part, test_part = (written(spread(with_vector(p, index, numbers, states=states), n), "vectors") for p, n in parts)
         held.pop().unpersist()
         results = []
         for model_name in chosen:

@@ -12,10 +12,18 @@ from eventlake.operators.lookup import join_unique
 from eventlake.operators.ranking import frequency_index
 
 STATE_INDEX = "state_index_model"
+#: A table of vectors with fewer rows for each core is dealt to as many files as there are cores: its bytes would be few splits.
+ROWS_PER_CORE = 1_000_000
 #: Categories that the tree models take; their ``maxBins``.
 MAX_CATEGORIES = 128
 
 
+def spread(vectors: DataFrame, rows: int, rows_per_core: int = ROWS_PER_CORE) -> DataFrame:
+    """Vectors of about so many ``rows``, to be written so that every core gets a part of them to train on or to score."""
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    return vectors.repartition(cores) if rows < cores * rows_per_core else vectors
+
+
 def state_index(train: DataFrame) -> DataFrame:
     """One row per state of the training part: its rank by falling frequency. States are ranked and joined, never collected."""
     return frequency_index(train.where(F.col("state").isNotNull()), "state", STATE_INDEX)

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from eventlake.ml import certificates, data, inference, metrics, runs, training
 from eventlake.ml.models import CLASSIFIERS, REGRESSORS, StoredModel, estimator, explain, fit_stored, input_columns
 from eventlake.ml.training import CLASSIFICATION, REGRESSION, train
-from eventlake.ml.vectors import STATE_INDEX, state_index, with_vector
+from eventlake.ml.vectors import STATE_INDEX, spread, state_index, with_vector
+from eventlake.session import written
 from tests.helpers import plan
 
 
@@ -202,6 +203,33 @@ def test_certificates_tell_a_fitted_model_from_a_changed_one(spark, features, la
     assert nodes.where("id = 0").count() == 1 and nodes.where("left >= 0 AND gain < 0").isEmpty()
 
 
+def test_rows_go_down_the_trees_where_they_lie(spark, features, lake):
+    """No row for each tree, no join for each level; repeated keys and splits by category too."""
+    vectors, stored = fitted(features, "gbt_regressor", lake, maxIter=4, maxDepth=4)
+    vectors = written(vectors, "vectors")
+    again = certificates.relational_predictions(stored, vectors, "gbt_regressor")
+    assert "Join" not in plan(again) and "Generate" not in plan(again)
+    assert "Join" not in plan(certificates.tree_values(stored, vectors, "event_id")) and "Exchange" not in plan(certificates.tree_values(stored, vectors.select("event_id", "features"), "event_id"))
+    by_state = vectors.withColumn("magnitudo", F.when(F.col(STATE_INDEX).isin(0.0, 2.0), 1.0).otherwise(5.0) + F.col("depth") / 1e6)
+    twice = by_state.unionByName(by_state)
+    stored = fit_stored("decision_tree_regressor", twice, spark.read.parquet(f"{lake}/gbt_regressor/state_index"), f"{lake}/by_state")
+    assert not certificates.node_table(stored).where("categories > 0").isEmpty()
+    assert set(holds(certificates.leaf_rules(stored, "decision_tree_regressor", twice, "magnitudo")).values()) == {True}
+    told = stored.model.transform(by_state).select("event_id", "prediction").join(certificates.relational_predictions(stored, twice, "decision_tree_regressor"), "event_id")
+    assert told.where("abs(prediction - recomputed) > 1e-9").isEmpty() and told.count() == 400
+
+
+def test_moments_are_one_aggregate(spark, features, lake):
+    vectors, stored = fitted(features, "linear_regression_baseline", lake)
+    assert "Generate" not in plan(certificates.optimality(stored, "linear_regression_baseline", vectors, label="magnitudo")).split("Aggregate")[-1]
+
+
+def test_every_core_gets_vectors(spark, features):
+    one = features.coalesce(1)
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(one, 400).rdd.getNumPartitions() == cores and spread(one, 400, rows_per_core=1).rdd.getNumPartitions() == 1
+
+
 def run(i, **changes):
     base = {
         "run_id": f"r{i}", "experiment": "x", "status": "FINISHED", "start_time": datetime(2024, 1, 1, 0, i), "end_time": None,
