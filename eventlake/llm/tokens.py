@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words, and pieces of words, that a worker meets before it forgets those it did not meet again; some 300 bytes each.
-REMEMBERED = 120_000
+REMEMBERED = 60_000
 #: The same where a job does nothing else that needs memory.
 REMEMBERED_ALONE = 300_000
 #: Bytes of text that are encoded together.
