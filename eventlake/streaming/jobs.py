@@ -36,20 +36,23 @@ def _kept(df: DataFrame) -> Iterator[DataFrame]:
 
 
 def _sides(batch: DataFrame, passes) -> tuple[int, int]:
-    """Rows that pass and that fail the routing rule, in one job that also fills the cache."""
+    """Rows that pass and that fail the routing rule, in one job, which also fills the cache of a frame that is held."""
     row = batch.agg(F.count_if(passes).alias("passed"), F.count_if(~passes).alias("failed")).first()
     return row["passed"], row["failed"]
 
 
 def write_raw_batch(parsed: DataFrame, batch: str, raw_path: str, bad_path: str, *, fmt: str = "parquet") -> None:
-    """Route a parsed micro-batch to the raw table and the bad-records table; skip an empty side."""
-    with _kept(parsed) as held:
-        good, bad = _sides(held, identified())
-        LOG.info("raw batch %s: good=%s bad=%s", batch, good, bad)
-        if good:
-            write_batch(good_records(held), raw_path, batch, fmt)
-        if bad:
-            write_batch(bad_records(held), bad_path, batch, fmt)
+    """Route a parsed micro-batch to the raw table and the bad-records table; skip an empty side.
+
+    The batch is not held, however large: Spark parses only the event id to count the sides and to find the bad records, so
+    one of the three passes parses whole payloads.
+    """
+    good, bad = _sides(parsed, identified())
+    LOG.info("raw batch %s: good=%s bad=%s", batch, good, bad)
+    if good:
+        write_batch(good_records(parsed), raw_path, batch, fmt)
+    if bad:
+        write_batch(bad_records(parsed), bad_path, batch, fmt)
 
 
 def upsert_batch(valid: DataFrame, batch: str, clean_path: str, *, buckets: int = BUCKETS, fmt: str = "parquet") -> int:

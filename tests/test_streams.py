@@ -139,3 +139,12 @@ def test_quarantine_compares_overlapping_batches_only(spark, lake, monkeypatch):
     assert [jobs.quarantine_batch(invalid(*x), f"s-{i}", path) for i, x in enumerate([(1, 2), (5, 6), (8,), (2, 7), (2, 7)])] == [2, 2, 1, 1, 0]
     assert jobs.quarantine_batch(invalid(2, 7), "s-3", path) == 1  # a replay decides as before
     assert sorted(r["kafka_offset"] for r in spark.read.parquet(path).collect()) == [1, 2, 5, 6, 7, 8]
+
+
+def test_a_raw_batch_is_not_held(spark, lake, monkeypatch):
+    """A cache would hold all payloads of a batch, parsed, however large it is."""
+    send(lake, raw(spark, {"event_id": "a"}, {"event_id": "b", "kafka_offset": 3}), "{bad", '{"place":"no id"}')
+    monkeypatch.setattr(jobs, "_kept", lambda df: pytest.fail("held"))
+    parsed = bronze.parse_messages(spark.read.parquet(f"{lake}/messages"))
+    jobs.write_raw_batch(parsed, "s-0", f"{lake}/raw", f"{lake}/bad")
+    assert [r["event_id"] for r in load(spark, lake, "raw")] == ["a", "b"] and tables.read_table(spark, f"{lake}/bad").count() == 2
