@@ -77,8 +77,10 @@ def unstored_records(
 
     ``name``: the batch's own name; what an earlier attempt entered under it does not count. Natural keys are looked up among
     the batch's days only. The keys found are no more than the batch has; written, they are counted, and an event id that the
-    batch repeats is salted where they are too many to broadcast.
+    batch repeats is salted where they are too many to broadcast. Beside no other batch, all of its records are new.
     """
+    if not index.batches() - {name}:
+        return batch
     lookup = {"rows": batch_rows, "but": name, "broadcast_rows": broadcast_rows}
     keys = batch.where(F.col(NATURAL).isNotNull()).select(F.col(NATURAL).alias("key"))
     stored = written(index.held(keys, NATURAL, days=days_in(batch), **lookup), "stored-keys")

@@ -7,8 +7,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,7 +15,8 @@ from eventlake.operators.bronze import bad_records, good_records, identified, pa
 from eventlake.operators.silver import clean, quarantined_records, valid_records
 from eventlake.operators.upsert import first_per_key, unstored_records
 from eventlake.schemas import SILVER_COLUMNS, conform
-from eventlake.session import require_utc, written
+from eventlake.session import require_utc, scratch_path, written
+from eventlake.sources.folders import Folders
 from eventlake.sources.key_index import BUCKETS, KeyIndex, index_path
 from eventlake.sources.tables import BATCH_COLUMN, read_if_exists, write_batch
 
@@ -26,17 +26,22 @@ PROCESSING_TIME = "10 seconds"
 
 
 @contextmanager
-def _kept(df: DataFrame) -> Iterator[DataFrame]:
-    """Hold a frame that is read more than once; lost blocks are computed again from the source."""
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+def _kept(df: DataFrame, name: str, **counts: Column) -> Iterator[tuple[DataFrame, dict[str, int]]]:
+    """Hold a frame that is read more than once, in the shared folder, and what is counted while it is written.
+
+    However large, it takes no memory from the work on it, and the loss of executors does not undo it. It goes with the block.
+    """
+    spark, path, counted = df.sparkSession, scratch_path(df.sparkSession, name), Observation()
+    folder, _, own = path.rpartition("/")
     try:
-        yield held
+        df.observe(counted, *(c.alias(n) for n, c in counts.items())).write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path), counted.get
     finally:
-        held.unpersist()
+        Folders(spark, folder).remove(own)
 
 
-def _sides(batch: DataFrame, passes) -> tuple[int, int]:
-    """Rows that pass and that fail the routing rule, in one job, which also fills the cache of a frame that is held."""
+def _sides(batch: DataFrame, passes: Column) -> tuple[int, int]:
+    """Rows that pass and that fail the routing rule, in one job."""
     row = batch.agg(F.count_if(passes).alias("passed"), F.count_if(~passes).alias("failed")).first()
     return row["passed"], row["failed"]
 
@@ -62,10 +67,10 @@ def upsert_batch(valid: DataFrame, batch: str, clean_path: str, *, buckets: int
     decides as the first attempt did and replaces whatever that attempt wrote. One writer per table.
     """
     spark = valid.sparkSession
-    with _kept(first_per_key(valid)) as candidates:
+    with _kept(first_per_key(valid), "candidates", rows=F.count(F.lit(1))) as (candidates, counted):
         index = KeyIndex(spark, index_path(clean_path), buckets)
         index.complete(clean_path, but=batch, fmt=fmt)
-        fresh = unstored_records(candidates, index, batch_rows=candidates.count(), name=batch)
+        fresh = unstored_records(candidates, index, batch_rows=counted["rows"], name=batch)
         # Joins by name move their key to the front; every batch is stored in the order of the contract.
         rows = write_batch(fresh.select(*candidates.columns), clean_path, batch, fmt)
     if rows:
@@ -107,8 +112,9 @@ def quarantine_batch(invalid: DataFrame, batch: str, path: str, *, fmt: str = "p
 
 def write_clean_batch(cleaned: DataFrame, batch: str, clean_path: str, quarantine_path: str, *, fmt: str = "parquet") -> None:
     """Upsert the valid records of a micro-batch and quarantine the rest; skip an empty side."""
-    with _kept(conform(cleaned, SILVER_COLUMNS, "clean layer")) as held:
-        valid, invalid = _sides(held, F.col("is_valid_record"))
+    passes = F.col("is_valid_record")
+    with _kept(conform(cleaned, SILVER_COLUMNS, "clean layer"), "cleaned", valid=F.count_if(passes), invalid=F.count_if(~passes)) as (held, counted):
+        valid, invalid = counted["valid"], counted["invalid"]
         LOG.info("clean batch %s: valid=%s invalid=%s", batch, valid, invalid)
         if valid:
             inserted = upsert_batch(valid_records(held), batch, clean_path, fmt=fmt)

@@ -4,7 +4,10 @@ from eventlake.operators import bronze, silver
 from eventlake.operators.events import message_value
 from eventlake.operators.upsert import first_per_key
 from eventlake.schemas import BRONZE_COLUMNS, SILVER_COLUMNS
+from eventlake.session import shared_folder
 from eventlake.sources import messages, tables
+from eventlake.sources.folders import Folders
+from eventlake.sources.key_index import KeyIndex
 from eventlake.streaming import jobs
 from tests.helpers import BAD, raw
 
@@ -148,3 +151,24 @@ def test_a_raw_batch_is_not_held(spark, lake, monkeypatch):
     parsed = bronze.parse_messages(spark.read.parquet(f"{lake}/messages"))
     jobs.write_raw_batch(parsed, "s-0", f"{lake}/raw", f"{lake}/bad")
     assert [r["event_id"] for r in load(spark, lake, "raw")] == ["a", "b"] and tables.read_table(spark, f"{lake}/bad").count() == 2
+
+
+def test_a_clean_batch_takes_no_memory_and_its_copies_go(spark, lake, monkeypatch):
+    """A cache would hold all rows of a batch twice, cleaned and without copies, however large it is."""
+    first = silver.clean(raw(spark, {"event_id": "a"}, {"event_id": "a", "kafka_offset": 2}, BAD))
+    monkeypatch.setattr(type(first), "persist", lambda *_: pytest.fail("held"))
+    jobs.write_clean_batch(first, "s-0", f"{lake}/clean", f"{lake}/quarantine")
+    again = silver.clean(raw(spark, {"event_id": "a", "kafka_offset": 5}, {"event_id": "b", "place": "B", "kafka_offset": 6}, {**BAD, "kafka_offset": 7}))
+    jobs.write_clean_batch(again, "s-1", f"{lake}/clean", f"{lake}/quarantine")
+    assert load(spark, lake, "clean") == [("a", 1), ("b", 6)] and len(load(spark, lake, "quarantine")) == 2
+    nobody = silver.clean(raw(spark, BAD)).limit(0)
+    jobs.write_clean_batch(nobody, "s-2", f"{lake}/clean", f"{lake}/quarantine")
+    assert jobs.upsert_batch(nobody.select(*SILVER_COLUMNS), "s-3", f"{lake}/clean") == 0
+    assert not [n for n in Folders(spark, shared_folder(spark)).names() if n.startswith(("cleaned-", "candidates-"))]
+
+
+def test_the_first_batch_is_not_looked_up(spark, lake, monkeypatch):
+    monkeypatch.setattr(KeyIndex, "held", lambda *_, **__: pytest.fail("looked up"))
+    rows = silver.clean(raw(spark, {"event_id": "a"}, {"event_id": "a", "place": "same id", "kafka_offset": 2})).select(*SILVER_COLUMNS)
+    for _ in range(2):  # a replay finds its own keys only
+        assert jobs.upsert_batch(rows, "s-0", f"{lake}/clean") == 2
