@@ -155,7 +155,7 @@ def candidates(docs: DataFrame, owners: int, *, text: str = "text") -> DataFrame
     prefix = F.expr("cast(n div 5 + 1 - (n - size(tokens)) as int)")
     weight = F.expr("aggregate(tokens, 0L, (s, t) -> s + t.often) / n").alias("weight")
     rows = sets.withColumn("prefix", prefix).where("prefix > 0").select("set_id", "n", F.col("tokens.token").alias("tokens"), "prefix", weight)
-    return written(rows.mapInArrow(_points, "set_id long, n long, tokens array<long>, prefix int, weight double, point array<int>"), "candidates")
+    return written(rows.mapInArrow(_points, "set_id long, n long, tokens array<long>, prefix int, weight double, point array<int>"), "ngram-candidates")
 
 
 def _near(n1: str, n2: str) -> Column:
