@@ -58,7 +58,9 @@ def estimator(model_name: str, seed: int = SEED, **changes) -> Estimator:
     columns = {"featuresCol": "features", "labelCol": "magnitudo"}
     if model_name in CLASSIFIERS:
         columns |= {"labelCol": "label", "weightCol": "class_weight"}
-    model = kind(**columns, **{**settings, **changes})
+    # A forest's trees know where a row has got to; else each level leads every row down every tree from the root.
+    work = {"cacheNodeIds": True} if "numTrees" in settings else {}
+    model = kind(**columns, **{**work, **settings, **changes})
     return model.setSeed(seed) if model.hasParam("seed") else model
 
 

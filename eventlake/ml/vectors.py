@@ -12,8 +12,9 @@ from eventlake.operators.lookup import join_unique
 from eventlake.operators.ranking import frequency_index
 
 STATE_INDEX = "state_index_model"
-#: A table of vectors with fewer rows for each core is dealt to as many files as there are cores: its bytes would be few splits.
-ROWS_PER_CORE = 1_000_000
+#: A table of vectors with fewer rows for each core is dealt to as many files as there are cores: its bytes would be few splits, of
+#: which some cores get one more than others. Vectors of two million rows are about one split.
+ROWS_PER_CORE = 10_000_000
 #: Categories that the tree models take; their ``maxBins``.
 MAX_CATEGORIES = 128
 

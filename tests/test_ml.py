@@ -4,13 +4,15 @@ import random
 from datetime import datetime
 from glob import glob
 
+import numpy as np
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StringIndexer
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from eventlake.ml import certificates, data, inference, metrics, runs, training
-from eventlake.ml.models import CLASSIFIERS, REGRESSORS, StoredModel, estimator, explain, fit_stored, input_columns
+from eventlake.ml.models import CLASSIFIERS, REGRESSORS, StoredModel, estimator, explain, fit_stored, hyperparameters, input_columns
 from eventlake.ml.training import CLASSIFICATION, REGRESSION, train
 from eventlake.ml.vectors import STATE_INDEX, spread, state_index, with_vector
 from eventlake.session import written
@@ -220,6 +222,54 @@ def test_rows_go_down_the_trees_where_they_lie(spark, features, lake):
     assert told.where("abs(prediction - recomputed) > 1e-9").isEmpty() and told.count() == 400
 
 
+def test_a_step_down_a_tree_looks_up_where_the_row_stands(spark, features, lake):
+    """Values on a threshold, beside all of them and unknown ones go where the library's own scoring sends them."""
+    vectors, stored = fitted(features, "random_forest_regressor", lake, numTrees=5, maxDepth=4)
+    trees = certificates._trees(stored, classes=False)
+    edges = {i: parts for i, parts in trees.scales if not isinstance(parts, int)}
+    assert len(edges) > 4 and all(len(e) < 128 and list(e) == sorted(set(e)) for e in edges.values())
+    rng, rows = random.Random(3), []
+    for _ in range(200):
+        rows.append([rng.choice([*edges.get(i, [0.0]), -1e9, 1e9, float("nan"), -0.0, 7.5]) for i in range(7)] + [float(rng.randrange(4))])
+    told = [stored.model.predict(Vectors.dense(x)) for x in rows]
+    got = sum(trees.value[at] for at in trees.walker()(np.array(rows))) / 5
+    assert list(got) == pytest.approx(told, abs=1e-12)
+
+    by_state = vectors.withColumn("magnitudo", F.when(F.col(STATE_INDEX).isin(0.0, 2.0), 1.0).otherwise(5.0) + F.col("depth") / 1e6)
+    stored = fit_stored("decision_tree_regressor", by_state, spark.read.parquet(f"{lake}/random_forest_regressor/state_index"), f"{lake}/by_state")
+    trees = certificates._trees(stored, classes=False)
+    assert trees.listed and any(isinstance(parts, int) for _, parts in trees.scales)
+    rows = [[0.0] * 7 + [c] for c in (0.0, 1.0, 2.0, 3.0, 1.5, -1.0, 99.0)]
+    (at,) = trees.walker()(np.array(rows))
+    assert list(trees.value[at][:4]) == pytest.approx([stored.model.predict(Vectors.dense(x)) for x in rows[:4]])
+    assert len(set(at[4:])) == 1 and trees.value[at][4] in trees.value[at][:4]  # no category: right, at each split
+
+
+def test_a_tree_of_one_leaf_is_walked_too(features, lake):
+    vectors, stored = fitted(features.withColumn("magnitudo", F.lit(4.0)), "decision_tree_regressor", lake)
+    trees = certificates._trees(stored, classes=False)
+    assert len(trees.node) == 1 and [list(trees.value[at]) for at in trees.walker()(np.zeros((3, 8)))] == [[4.0] * 3]
+
+
+@pytest.mark.parametrize("name", ["random_forest_regressor", "random_forest_classifier"])
+def test_forests_keep_where_rows_are_and_grow_the_same_trees(spark, features, lake, name):
+    """Without it, each level leads every row down every tree from the root."""
+    assert estimator(name).getCacheNodeIds() and "cacheNodeIds" not in hyperparameters(name)
+    assert not estimator("decision_tree_regressor").getCacheNodeIds()
+    risk = data.classification_data(features)
+    frame = data.regression_data(features) if name in REGRESSORS else data.with_class_weights(risk, {0.0: 0.7, 1.0: 1.5})
+    index = state_index(frame)
+    vectors = written(with_vector(frame, index, input_columns(name)[:-1], states=index.count()), "vectors")
+    nodes = [certificates.node_table(fit_stored(name, vectors, index, f"{lake}/{kept}", numTrees=6, cacheNodeIds=kept)).orderBy("tree", "id").collect() for kept in (True, False)]
+    assert nodes[0] == nodes[1] and len(nodes[0]) > 12
+
+
+def test_vectors_of_a_few_splits_for_each_core_are_dealt_too(spark, features):
+    """Two splits for each core and one more would take as long as three."""
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(features.coalesce(1), cores * 2_000_000).rdd.getNumPartitions() == cores
+
+
 def test_moments_are_one_aggregate(spark, features, lake):
     vectors, stored = fitted(features, "linear_regression_baseline", lake)
     assert "Generate" not in plan(certificates.optimality(stored, "linear_regression_baseline", vectors, label="magnitudo")).split("Aggregate")[-1]
