@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from eventlake.ml.models import StoredModel
 from eventlake.ml.runs import best_run
 from eventlake.ml.training import CLASSIFICATION, Task
+from eventlake.ml.vectors import spread
 from eventlake.sources.tables import require_rows, write_table
 
 
@@ -22,12 +23,16 @@ def second_probability(scored: DataFrame) -> Column:
 
 
 def predict(task: Task, features: DataFrame, runs: DataFrame, *, predicted_at: str | None = None) -> DataFrame | None:
-    """Predictions of the best run, or None without a run. Rows with a missing input are skipped."""
+    """Predictions of the best run, or None without a run. Rows with a missing input are skipped.
+
+    A feature row is few bytes and costs a forest much: every core gets some, however few files the table has.
+    """
     run = best_run(runs, task.experiment, task.order_metric, ascending=task.ascending)
     if run is None:
         return None
     stamp = predicted_at or datetime.now(timezone.utc).replace(tzinfo=None).isoformat() + "Z"
-    scored = StoredModel(features.sparkSession, run["artifact_uri"]).transform(features)
+    stored = StoredModel(features.sparkSession, run["artifact_uri"])
+    scored = stored.model.transform(spread(stored.with_vector(features), int(run["params"].get("data_row_count", 0))))
     extra = [second_probability(scored).alias("probability_tsunami")] if task is CLASSIFICATION else []
     return scored.select(
         "event_id",

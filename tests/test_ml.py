@@ -264,6 +264,13 @@ def test_forests_keep_where_rows_are_and_grow_the_same_trees(spark, features, la
     assert nodes[0] == nodes[1] and len(nodes[0]) > 12
 
 
+def test_every_core_scores(spark, features, lake):
+    train(REGRESSION, data.regression_data(features), lake, models=["decision_tree_regressor"])
+    scored = inference.predict(REGRESSION, features.coalesce(1), runs.read_runs(spark, f"{lake}/runs"))
+    assert scored.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and scored.count() == 400
+    assert {r[0] for r in scored.select("event_id").collect()} == {f"e{i}" for i in range(400)}
+
+
 def test_vectors_of_a_few_splits_for_each_core_are_dealt_too(spark, features):
     """Two splits for each core and one more would take as long as three."""
     cores = spark.sparkContext.defaultParallelism
